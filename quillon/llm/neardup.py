@@ -24,13 +24,13 @@ from quillon.llm import _text as T
 from quillon.llm._store import Store
 
 #: Minwise positions of a signature.
-POSITIONS = 64
+POSITIONS = 128
 #: Independent trees, and expected branches of a class at a root and below it.
 TREES, ROOT_BRANCHES = 12, 1.5
 #: A node of at most this many classes is compared exhaustively.
-LEAF = 24
+LEAF = 512
 #: Standard deviations of the signature's estimate by which a candidate may lie under the threshold.
-MARGIN = 4.0
+MARGIN = 3.0
 
 _rng = np.random.default_rng(20240229)
 _A = (_rng.integers(0, 1 << 32, POSITIONS, dtype=np.uint32) | np.uint32(1)).astype(np.uint32)

@@ -65,56 +65,64 @@ def candidates(text: Column, base: Column) -> Column:
 
 
 def _upper_tail(z: Column) -> Column:
-    """1 - Phi(z), by the logistic-like approximation 0.5 * erfc in its rational form for z >= 0."""
-    t = 1 / (1 + 0.2316419 * F.abs(z))
-    poly = t * (0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429))))
-    tail = 0.3989422804 * F.exp(-z * z / 2) * poly
-    return F.when(z >= 0, tail).otherwise(1 - tail)
+    """1 - Phi(z), by a rational approximation (absolute error under 1e-7)."""
+    poly = lambda t: t * (0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429))))
+    tail = 0.3989422804 * F.exp(-z * z / 2) * _let(1 / (1 + 0.2316419 * F.abs(z)), poly)
+    return _let(tail, lambda p: F.when(z >= 0, p).otherwise(1 - p))
+
+
+def _let(value: Column, body) -> Column:
+    """body(value) with the value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _sum(a: Column) -> Column:
+    return F.aggregate(a, F.lit(0.0), lambda s, e: s + e)
 
 
 def battery(token: Column) -> Column:
     """The combined p-value of the hypothesis that the token is random in its inferred encoding."""
-    bare = F.regexp_replace(token, "[=-]", "")
-    bare = F.when(token.rlike("^[0-9a-fA-F-]+$"), F.lower(bare)).otherwise(F.translate(F.regexp_replace(token, "=+$", ""), "-_", "+/"))
-    alphabet = F.when(bare.rlike("^[0-9a-f]+$"), F.lit(_HEXA)).when(bare.rlike("^[A-Z2-7]+$"), F.lit(_B32)).otherwise(F.lit(_B64))
-    # one struct, so that each part is computed once
-    parts = F.transform(F.array(F.struct(bare.alias("t"), alphabet.alias("a"))), _parts)
-    return F.get(F.transform(parts, _combined), F.lit(0))
+    hexa = token.rlike("^[0-9a-fA-F-]+$")
+    bare = F.when(hexa, F.lower(F.replace(token, F.lit("-"), F.lit("")))).otherwise(F.translate(F.regexp_replace(token, "=+$", ""), "-_", "+/"))
+    alphabet = F.when(hexa, F.lit(_HEXA)).when(token.rlike("^[A-Z2-7]+=*$"), F.lit(_B32)).otherwise(F.lit(_B64))
+    return _let(F.struct(bare.alias("t"), alphabet.alias("a")), lambda x: _let(_symbols(x), lambda y: _let(_statistics(y), _combined)))
 
 
-def _parts(x: Column) -> Column:
-    v = F.transform(F.split(x["t"], ""), lambda c: F.instr(x["a"], c).cast("double"))
-    return F.struct(F.filter(v, lambda e: e > 0).alias("v"), F.length(x["a"]).cast("double").alias("k"))
+def _symbols(x: Column) -> Column:
+    """v: each character's place in the alphabet, k: the alphabet's size."""
+    places = F.transform(F.split(x["t"], ""), lambda c: F.instr(x["a"], c).cast("double"))
+    return F.struct(F.filter(places, lambda e: e > 0).alias("v"), F.length(x["a"]).cast("double").alias("k"))
 
 
-def _sum(a: Column) -> Column:
-    return F.aggregate(a, F.lit(0.0), lambda s, e: s + e)
+def _statistics(y: Column) -> Column:
+    v, k = y["v"], y["k"]
+    last = F.greatest(F.size(v) - 1, F.lit(0))
+    pairs = F.arrays_zip(F.slice(v, F.lit(1), last).alias("a"), F.slice(v, F.lit(2), last).alias("b"))
+    squares = _sum(F.transform(F.array_distinct(v), lambda d: F.pow(F.size(F.filter(v, lambda e: e == d)).cast("double"), 2)))
+    return F.struct(
+        k.alias("k"),
+        F.size(v).cast("double").alias("n"),
+        squares.alias("squares"),
+        F.size(F.filter(v, lambda e: e > k / 2)).cast("double").alias("high"),
+        _let(pairs, lambda p: F.struct(F.size(F.filter(p, lambda q: (q["a"] > k / 2) != (q["b"] > k / 2))).cast("double").alias("turns"), _sum(F.transform(p, lambda q: (q["a"] - (k + 1) / 2) * (q["b"] - (k + 1) / 2))).alias("serial"))).alias("pairs"),
+    )
 
 
 def _combined(x: Column) -> Column:
-    v, k = x["v"], x["k"]
-    n = F.size(v).cast("double")
-    # chi-squared by the Wilson-Hilferty cube root
-    counts = F.transform(F.array_distinct(v), lambda d: F.size(F.filter(v, lambda e: e == d)).cast("double"))
-    chi = k / n * _sum(F.transform(counts, lambda c: c * c)) - n
+    n, k = x["n"], x["k"]
     df = k - 1
-    z1 = (F.pow(F.greatest(chi, F.lit(0.0)) / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))
-    # runs above and below the middle
-    high = F.transform(v, lambda e: F.when(e > k / 2, 1.0).otherwise(0.0))
-    n1 = _sum(high)
-    n0 = n - n1
-    pairs = F.arrays_zip(F.slice(v, F.lit(1), F.greatest(F.size(v) - 1, F.lit(0))).alias("a"), F.slice(v, F.lit(2), F.greatest(F.size(v) - 1, F.lit(0))).alias("b"))
-    runs = 1 + _sum(F.transform(pairs, lambda p: F.when((p["a"] > k / 2) != (p["b"] > k / 2), 1.0).otherwise(0.0)))
-    mean = 2 * n1 * n0 / n + 1
-    var = (mean - 1) * (mean - 2) / (n - 1)
-    z2 = F.when(var > 0, F.abs(runs - mean) / F.sqrt(var)).otherwise(F.lit(8.0))
-    # serial correlation about the alphabet's middle
-    mid, spread = (k + 1) / 2, (k * k - 1) / 12
-    serial = _sum(F.transform(pairs, lambda p: (p["a"] - mid) * (p["b"] - mid))) / spread
-    z3 = F.abs(serial) / F.sqrt(F.greatest(n - 1, F.lit(1.0)))
-    p = [_upper_tail(z1), 2 * _upper_tail(z2), 2 * _upper_tail(z3)]
-    half = -sum(F.ln(F.least(F.greatest(q, F.lit(1e-30)), F.lit(1.0))) for q in p)  # half of Fisher's statistic, six degrees of freedom
-    return F.when(n >= 16, F.exp(-half) * (1 + half + half * half / 2)).otherwise(F.lit(0.0))
+    # chi-squared uniformity, by the Wilson-Hilferty cube root
+    chi = F.pow(F.greatest(k / n * x["squares"] - n, F.lit(0.0)) / df, F.lit(1 / 3))
+    z1 = (chi - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))
+    # runs above and below the alphabet's middle
+    mean = 2 * x["high"] * (n - x["high"]) / n + 1
+    z2 = _let(mean, lambda m: F.when(m > 2, F.abs(1 + x["pairs"]["turns"] - m) / F.sqrt((m - 1) * (m - 2) / (n - 1))).otherwise(F.lit(8.0)))
+    # serial correlation about the middle
+    z3 = F.abs(x["pairs"]["serial"]) / ((k * k - 1) / 12) / F.sqrt(F.greatest(n - 1, F.lit(1.0)))
+    tails = F.array(_let(z1, _upper_tail), 2 * _let(z2, _upper_tail), 2 * _let(z3, _upper_tail))
+    # half of Fisher's statistic, which has six degrees of freedom
+    half = -_sum(F.transform(tails, lambda q: F.ln(F.least(F.greatest(q, F.lit(1e-30)), F.lit(1.0)))))
+    return F.when(n >= 16, _let(half, lambda h: F.exp(-h) * (1 + h + h * h / 2))).otherwise(F.lit(0.0))
 
 
 def _length_class(length: Column) -> Column:
