@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quillon.plans.gold import cents
+
 # Weights of the scores.
 PRIORITY_WEIGHTS = {"poverty": 0.35, "demand": 0.25, "youth": 0.15, "digital": 0.15, "rurality": 0.10}
 COMBINED_WEIGHTS = {"priority_score": 0.60, "gap_score": 0.30, "first_generation_score": 0.10}
@@ -109,8 +111,8 @@ def allocate(scored: DataFrame, plan: DataFrame, budget: DataFrame, by: str = "y
         F.round("weight", 9).alias("weight"),
         "scenario_rank",
         (base - F.col("scenario_rank")).alias("rank_change"),
-        F.round(amount, 2).alias("region_budget"),
-        F.round(F.try_divide(amount, F.nullif("unit_cost", F.lit(0.0))) * F.col("s.grants_factor"), 4).alias("grants"),
+        cents(amount).alias("region_budget_cents"),
+        F.round(F.try_divide(amount, F.nullif("unit_cost", F.lit(0.0))) * F.col("s.grants_factor"), 6).alias("grants"),
     )
 
 

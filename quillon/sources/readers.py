@@ -59,7 +59,7 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
 
 def decode_bytes(content: Column) -> Column:
     """UTF-8 without BOM if the bytes are that, else Latin-1."""
-    text = F.when(F.is_valid_utf8(content.cast("string")), content.cast("string")).otherwise(F.decode(content, F.lit("ISO-8859-1")))
+    text = F.when(F.is_valid_utf8(content.cast("string")), content.cast("string")).otherwise(F.decode(content, "ISO-8859-1"))
     return F.regexp_replace(text, "^\\uFEFF", "")
 
 
