@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillon.plans.gold import cents
-
 # Weights of the scores.
 PRIORITY_WEIGHTS = {"poverty": 0.35, "demand": 0.25, "youth": 0.15, "digital": 0.15, "rurality": 0.10}
 COMBINED_WEIGHTS = {"priority_score": 0.60, "gap_score": 0.30, "first_generation_score": 0.10}
@@ -33,11 +31,16 @@ def min_max(c: Column, by: str) -> Column:
     return F.when(c.isNotNull(), F.coalesce(F.try_divide((c - low).cast("double"), F.nullif((high - low).cast("double"), F.lit(0.0))), F.lit(0.0)))
 
 
+def nano(c: Column) -> Column:
+    """Whole billionths, half up even where the last bits fall just short of the half."""
+    return F.floor(c * 1e9 + 0.5001).cast("bigint")
+
+
 def weighted(weights: dict[str, float]) -> Column:
     """The weighted mean of the components that aren't null; null if all are."""
     total = sum((F.lit(w) * F.coalesce(F.col(c), F.lit(0.0)) for c, w in weights.items()), F.lit(0.0))
     present = sum((F.when(F.col(c).isNotNull(), F.lit(w)).otherwise(F.lit(0.0)) for c, w in weights.items()), F.lit(0.0))
-    return F.round(F.try_divide(total, F.nullif(present, F.lit(0.0))), 9)
+    return nano(F.try_divide(total, F.nullif(present, F.lit(0.0)))) / F.lit(1e9)
 
 
 def tier(score: Column) -> Column:
@@ -96,11 +99,11 @@ def allocate(scored: DataFrame, plan: DataFrame, budget: DataFrame, by: str = "y
     combined = sum((F.col(f"s.{w}") * F.coalesce(F.col(c), F.lit(0.0)) for w, c in parts), F.lit(0.0))
     literal = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(plan.columns, row, strict=True)]) for row in plan.limit(1000).collect()])
     rows = scored.withColumn("s", F.explode(literal)).join(budget, by)
-    rows = rows.withColumn("raw", F.round(F.when(F.col("s.method") == "priority_score_v2", F.coalesce("score_v2", F.lit(0.0))).otherwise(combined), 9))
+    rows = rows.withColumn("raw", nano(F.when(F.col("s.method") == "priority_score_v2", F.coalesce("score_v2", F.lit(0.0))).otherwise(combined)))
     rows = rows.withColumn("scenario_id", F.col("s.scenario_id"))
     group = Window.partitionBy(by, "scenario_id")
-    total = F.sum(F.col("raw").cast("decimal(20,9)")).over(group).cast("double")
-    rows = rows.withColumn("weight", F.try_divide("raw", F.nullif(total, F.lit(0.0))))
+    total = F.sum("raw").over(group).cast("double")
+    rows = rows.withColumn("weight", F.try_divide(F.col("raw").cast("double"), F.nullif(total, F.lit(0.0))))
     rows = rows.withColumn("scenario_rank", F.row_number().over(group.orderBy(F.desc("raw"), "region")).cast("bigint"))
     base = F.max(F.when(F.col("scenario_id") == "base_priority", F.col("scenario_rank"))).over(Window.partitionBy(by, "region"))
     amount = F.col("budget") * F.col("s.budget_factor") * F.col("weight")
@@ -111,7 +114,8 @@ def allocate(scored: DataFrame, plan: DataFrame, budget: DataFrame, by: str = "y
         F.round("weight", 9).alias("weight"),
         "scenario_rank",
         (base - F.col("scenario_rank")).alias("rank_change"),
-        cents(amount).alias("region_budget_cents"),
+        # Half a cent goes up even where the last bits of the product fall just short of it.
+        F.floor(amount * 100 + 0.500001).cast("bigint").alias("region_budget_cents"),
         F.round(F.try_divide(amount, F.nullif("unit_cost", F.lit(0.0))) * F.col("s.grants_factor"), 6).alias("grants"),
     )
 

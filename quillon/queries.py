@@ -336,7 +336,7 @@ _MM = lambda c: f"CASE WHEN {c} IS NOT NULL THEN coalesce(({c} - min({c}) OVER (
 def _weighted_sql(weights: dict[str, float]) -> str:
     total = " + ".join(f"{w}::DOUBLE * coalesce({c}, 0)" for c, w in weights.items())
     present = " + ".join(f"CASE WHEN {c} IS NOT NULL THEN {w}::DOUBLE ELSE 0 END" for c, w in weights.items())
-    return f"round(({total}) / nullif({present}, 0), 9)"
+    return f"CAST(floor(({total}) / nullif({present}, 0) * 1e9::DOUBLE + 0.5001::DOUBLE) AS BIGINT) / 1e9::DOUBLE"
 
 
 _TIER = lambda s: f"CASE WHEN {s} IS NULL THEN 'Insuficiente' WHEN {s} >= 0.8 THEN 'Muy alta' WHEN {s} >= 0.6 THEN 'Alta' WHEN {s} >= 0.4 THEN 'Media' ELSE 'Baja' END"
@@ -396,9 +396,9 @@ _SCENARIO_ROWS = ", ".join("('{}', '{}', {})".format(s[0], s[1], ", ".join(f"{v}
 
 @_query(f"""WITH {_V2_SQL}, {_BUDGET_SQL}, sc(scenario_id, method, bf, gf, wp, wd, wn, wc, wf) AS (VALUES {_SCENARIO_ROWS}),
 g AS (SELECT year, executed / 100.0::DOUBLE AS budget, executed / 100.0::DOUBLE / (SELECT count(*) FROM orders o WHERE year(o.o_orderdate) = b.year) AS unit_cost FROM b WHERE year IN (SELECT year(o_orderdate) FROM orders)),
-r AS (SELECT scenario_id, region, year, bf, gf, budget, unit_cost, round(CASE WHEN method = 'priority_score_v2' THEN coalesce(score_v2, 0) ELSE wp * coalesce(poverty, 0) + wd * coalesce(demand, 0) + wn * coalesce(youth, 0) + wc * coalesce(gap_score, 0) + wf * coalesce(first_generation_score, 0) END, 9) AS raw FROM z JOIN g USING (year) CROSS JOIN sc),
-w AS (SELECT *, raw / nullif(sum(raw::DECIMAL(20, 9)) OVER (PARTITION BY year, scenario_id)::DOUBLE, 0) AS weight, row_number() OVER (PARTITION BY year, scenario_id ORDER BY raw DESC, region) AS scenario_rank FROM r)
-SELECT scenario_id, region, year, round(weight, 9) AS weight, scenario_rank, max(scenario_rank) FILTER (scenario_id = 'base_priority') OVER (PARTITION BY year, region) - scenario_rank AS rank_change, {_C('budget * bf * weight')} AS region_budget_cents, round(budget * bf * weight / nullif(unit_cost, 0) * gf, 6) AS grants FROM w""")
+r AS (SELECT scenario_id, region, year, bf, gf, budget, unit_cost, CAST(floor((CASE WHEN method = 'priority_score_v2' THEN coalesce(score_v2, 0) ELSE wp * coalesce(poverty, 0) + wd * coalesce(demand, 0) + wn * coalesce(youth, 0) + wc * coalesce(gap_score, 0) + wf * coalesce(first_generation_score, 0) END) * 1e9::DOUBLE + 0.5001::DOUBLE) AS BIGINT) AS raw FROM z JOIN g USING (year) CROSS JOIN sc),
+w AS (SELECT *, raw::DOUBLE / nullif(sum(raw) OVER (PARTITION BY year, scenario_id)::DOUBLE, 0) AS weight, row_number() OVER (PARTITION BY year, scenario_id ORDER BY raw DESC, region) AS scenario_rank FROM r)
+SELECT scenario_id, region, year, round(weight, 9) AS weight, scenario_rank, max(scenario_rank) FILTER (scenario_id = 'base_priority') OVER (PARTITION BY year, region) - scenario_rank AS rank_change, CAST(floor(budget * bf * weight * 100 + 0.500001) AS BIGINT) AS region_budget_cents, round(budget * bf * weight / nullif(unit_cost, 0) * gf, 6) AS grants FROM w""")
 def regional_allocation(spark, sf_dir):
     grants = _table(spark, sf_dir, "orders").groupBy(F.year("o_orderdate").alias("year")).agg(F.count("*").alias("n"))
     budget = _execution(spark, sf_dir).select("year", (F.col("executed") / 100.0).alias("budget")).join(grants, "year").select("year", "budget", (F.col("budget") / F.col("n")).alias("unit_cost"))
