@@ -24,12 +24,12 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays; rows that repeat a doc_id stay together.
+    """One document of each near-duplicate group (links from a similarity of 0.8) stays; rows that repeat a doc_id stay together.
 
     Rows without a doc_id belong to no group and stay.
     """
     ship(spark)
-    gone = neardup.near_duplicates(spark, docs).where("doc_id IS NOT NULL AND NOT kept").select("doc_id").distinct()
+    gone = neardup.near_duplicates(spark, docs, num=80, den=100).where("doc_id IS NOT NULL AND NOT kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
 
 

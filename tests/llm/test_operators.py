@@ -110,3 +110,38 @@ def test_chat_round_trip_of_control_strings(spark):
 def test_pipeline_keeps_each_group_once(spark, sf, documents):
     ids = [r["doc_id"] for r in queries.pipeline(spark, sf).collect()]
     assert len(ids) == len(set(ids)) and set(ids) <= set(documents)
+
+
+def _near_pairs(sizes, seed=7):
+    """(doc_id, text) of pairs that differ in one word: (s - 5) of s + 5 five-word shingles in common."""
+    import random
+
+    r = random.Random(seed)
+    rows = []
+    for s in sizes:
+        words = [f"w{r.randrange(10**9)}" for _ in range(s + 4)]
+        other = list(words)
+        other[r.randrange(5, s - 1)] = f"w{r.randrange(10**9)}"
+        rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(other))]
+    return rows
+
+
+def _brute_components(rows, num, den):
+    sets = {i: {tuple(w[j : j + 5]) for j in range(len(w) - 4)} for i, t in rows for w in [t.split()]}
+    comp = {i: i for i, _ in rows}
+    for a in sets:
+        for b in sets:
+            if a < b and den * len(sets[a] & sets[b]) >= num * len(sets[a] | sets[b]):
+                low, high = sorted((comp[a], comp[b]))
+                comp = {i: low if c == high else c for i, c in comp.items()}
+    return comp
+
+
+def test_pipeline_links_near_copies_from_080(spark, sf):
+    import corpus_pipeline
+
+    rows = _near_pairs([s for s in range(40, 66) for _ in range(3)])
+    comp = _brute_components(rows, 80, 100)
+    assert sum(c != i for i, c in comp.items()) > sum(c != i for i, c in _brute_components(rows, 85, 100).items()) > 0
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r["doc_id"] for r in corpus_pipeline.near(spark, docs, sf).collect()} == {i for i, c in comp.items() if c == i}
