@@ -6,8 +6,10 @@ path of (position, minimum) choices, and classes that share a path meet in a nod
 members are compared with one pivot; then small nodes that still hold several components are
 compared exhaustively and large ones branch again, until every node is small or is one component.
 A node whose members are already connected can add nothing to the components, so a group of any
-size costs its members and not its pairs. Candidate pairs are screened by their minwise signatures
-with a wide margin and every link is confirmed on the full shingle sets of both texts.
+size costs its members and not its pairs. Signatures only decide where classes meet. A pair that meets
+is screened by a bound that can't err: the overlap of two sets is at most the sum, over the buckets
+that their hashes are counted in, of the smaller count. Every pair that the bound leaves is confirmed
+or refused on the full shingle sets of both texts.
 """
 
 from __future__ import annotations
@@ -29,8 +31,8 @@ POSITIONS = 128
 TREES, ROOT_BRANCHES = 12, 1.5
 #: A node of at most this many classes is compared exhaustively.
 LEAF = 512
-#: Standard deviations of the signature's estimate by which a candidate may lie under the threshold.
-MARGIN = 3.0
+#: Buckets in which a set's hashes are counted for the bound on overlaps, and the largest count kept.
+BUCKETS, FULL = 256, 65535
 
 _rng = np.random.default_rng(20240229)
 _A = (_rng.integers(0, 1 << 32, POSITIONS, dtype=np.uint32) | np.uint32(1)).astype(np.uint32)
@@ -45,6 +47,8 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             full = np.flatnonzero(n)
             k1, k2 = np.zeros(b - a, np.uint64), np.zeros(b - a, np.uint64)
             sig = np.zeros((b - a, POSITIONS), np.uint32)
+            place = np.repeat(np.arange(b - a), n) * BUCKETS + (T.mix(u ^ np.uint64(0x94D049BB133111EB)) % np.uint64(BUCKETS)).astype(np.int64)
+            held = np.minimum(np.bincount(place, minlength=(b - a) * BUCKETS), FULL).astype(np.uint16).reshape(-1, BUCKETS)
             if len(full):
                 at = first[:-1][full]
                 k1[full] = np.add.reduceat(T.mix(u + np.uint64(1)), at)
@@ -53,14 +57,14 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for i in range(POSITIONS):
                     sig[full, i] = np.minimum.reduceat(x * _A[i] + _B[i], at)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").slice(a, b - a), pa.array(n.astype(np.int64)), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array([s.tobytes() for s in sig], pa.binary())],
-                names=["doc_id", "n", "k1", "k2", "sig"],
+                [batch.column("doc_id").slice(a, b - a), pa.array(n.astype(np.int64)), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array([s.tobytes() for s in sig], pa.binary()), pa.array([h.tobytes() for h in held], pa.binary())],
+                names=["doc_id", "n", "k1", "k2", "sig", "held"],
             )
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, k1, k2, sig): set size, a 128-bit hash of the set, and its minwise signature."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_sign, "doc_id long, n long, k1 long, k2 long, sig binary")
+    """(doc_id, n, k1, k2, sig, held): set size, a 128-bit hash of the set, its minwise signature and its counts by bucket."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_sign, "doc_id long, n long, k1 long, k2 long, sig binary, held binary")
 
 
 def _chosen(node: np.ndarray, branches: float) -> np.ndarray:
@@ -96,26 +100,32 @@ def _branch(trees: int, branches: float):
     return run
 
 
-def _near(threshold: float) -> float:
-    """The least share of equal positions at which a pair stays a candidate."""
-    return threshold - MARGIN * (threshold * (1 - threshold) / POSITIONS) ** 0.5
+def _helds(cells) -> np.ndarray:
+    return np.frombuffer(b"".join(bytes(c) for c in cells), np.uint16).reshape(-1, BUCKETS)
 
 
-def _screen(threshold: float):
-    least = _near(threshold)
+def _possible(x: np.ndarray, y: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Whether sets of these bucket counts can be as near as num / den; never false for sets that are.
 
+    A bucket at FULL may hold more, so its sets stay possible.
+    """
+    both = np.minimum(x, y).sum(axis=-1, dtype=np.int64)
+    union = x.sum(axis=-1, dtype=np.int64) + y.sum(axis=-1, dtype=np.int64) - both
+    return (den * both >= num * union) | (x == FULL).any(axis=-1) | (y == FULL).any(axis=-1)
+
+
+def _screen(num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                same = (_sigs(batch.column("sig_a")) == _sigs(batch.column("sig_b"))).mean(axis=1)
-                yield batch.select(["a", "b"]).filter(pa.array(same >= least))
+                ok = _possible(_helds(batch.column("held_a").to_pylist()), _helds(batch.column("held_b").to_pylist()), num, den)
+                yield batch.select(["a", "b"]).filter(pa.array(ok))
 
     return run
 
 
-def _within(threshold: float):
-    """Pairs of different components inside small nodes that pass the screen."""
-    least = _near(threshold)
+def _within(num: int, den: int):
+    """Pairs of different components inside small nodes that can be near."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -123,9 +133,14 @@ def _within(threshold: float):
             for members in frame["members"]:
                 ids = np.array([m["id"] for m in members])
                 comp = np.array([m["comp"] for m in members])
-                sig = np.frombuffer(b"".join(bytes(m["sig"]) for m in members), np.uint32).reshape(len(ids), POSITIONS)
+                held = _helds(m["held"] for m in members)
+                size = held.sum(axis=1, dtype=np.int64)
+                size[(held == FULL).any(axis=1)] = -1
                 for i in range(len(ids) - 1):
-                    for j in np.flatnonzero(((sig[i + 1 :] == sig[i]).mean(axis=1) >= least) & (comp[i + 1 :] != comp[i])) + i + 1:
+                    # sets that differ in size by more than the threshold allows can't be near
+                    close = (num * np.maximum(size[i + 1 :], size[i]) <= den * np.minimum(size[i + 1 :], size[i])) | (size[i + 1 :] < 0) | (size[i] < 0)
+                    js = np.flatnonzero(close & (comp[i + 1 :] != comp[i])) + i + 1
+                    for j in js[_possible(held[js], held[i], num, den)]:
                         out.add((int(min(ids[i], ids[j])), int(max(ids[i], ids[j]))))
             yield pd.DataFrame(sorted(out), columns=["a", "b"], dtype="int64")
 
@@ -182,9 +197,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, num: int = 85, den: in
     threshold = num / den
     store = Store(spark, "neardup")
     base = store.keep(signatures(docs), "signatures")
-    sets = base.where("n > 0 AND doc_id IS NOT NULL").groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig"))
+    sets = base.where("n > 0 AND doc_id IS NOT NULL").groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig"), F.first("held").alias("held"))
     sets = store.keep(sets, "sets")
-    sigs = sets.select("id", "sig")
+    sigs, helds = sets.select("id", "sig"), sets.select("id", "held")
 
     rows = sigs.mapInArrow(_branch(TREES, ROOT_BRANCHES), "node long, id long")
     rows = _meeting(store, rows, None)
@@ -216,13 +231,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, num: int = 85, den: in
         if label is not None:
             star = star.join(label.toDF("pivot", "pivot_comp"), "pivot", "left").where("comp <> coalesce(pivot_comp, pivot)")
         pairs = star.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
-        pairs = pairs.join(sigs.toDF("b", "sig_b"), "b").join(sigs.toDF("a", "sig_a"), "a").mapInArrow(_screen(threshold), "a long, b long")
+        pairs = pairs.join(helds.toDF("b", "held_b"), "b").join(helds.toDF("a", "held_a"), "a").mapInArrow(_screen(num, den), "a long, b long")
         labelled(confirmed(pairs))
         left = comp_of(rows.select("node", "id", "size"))
         mixed = left.groupBy("node").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("node")
         left = store.keep(left.join(mixed, "node"), "left")
-        small = left.where(F.col("size") <= LEAF).join(sigs, "id").groupBy("node").agg(F.collect_list(F.struct("id", "comp", "sig")).alias("members"))
-        labelled(confirmed(small.mapInPandas(_within(threshold), "a long, b long").distinct()))
+        small = left.where(F.col("size") <= LEAF).join(helds, "id").groupBy("node").agg(F.collect_list(F.struct("id", "comp", "held")).alias("members"))
+        labelled(confirmed(small.mapInPandas(_within(num, den), "a long, b long").distinct()))
         rest = left.where(F.col("size") > LEAF).select("node", "id")
         if not rest.limit(1).count():
             break

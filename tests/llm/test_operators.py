@@ -145,3 +145,33 @@ def test_pipeline_links_near_copies_from_080(spark, sf):
     assert sum(c != i for i, c in comp.items()) > sum(c != i for i, c in _brute_components(rows, 85, 100).items()) > 0
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     assert {r["doc_id"] for r in corpus_pipeline.near(spark, docs, sf).collect()} == {i for i, c in comp.items() if c == i}
+
+
+def test_near_links_do_not_hang_on_the_signature(spark):
+    """Every pair at the threshold is found, those whose signatures agree least included."""
+    import numpy as np
+    import pyarrow as pa
+
+    rows = _near_pairs([62] * 6000, seed=11)  # 57 of 67 shingles in common: 0.851
+    parts = list(neardup._sign([pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows]), pa.array([t for _, t in rows])], names=["doc_id", "text"])]))
+    sig = np.concatenate([neardup._sigs(p.column("sig")) for p in parts])
+    same = (sig[::2] == sig[1::2]).mean(axis=1)
+    worst = np.argsort(same)[:20]
+    assert same[worst[0]] < 0.85 - 3 * (0.85 * 0.15 / neardup.POSITIONS) ** 0.5
+    few = [rows[2 * k + j] for k in worst for j in (0, 1)]
+    got = neardup.near_duplicates(spark, spark.createDataFrame(few, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == _brute_components(few, 85, 100)
+
+
+def test_near_bound_never_errs():
+    import numpy as np
+
+    r = np.random.default_rng(3)
+    for _ in range(300):
+        n = int(r.integers(1, 400))
+        a = r.choice(1 << 40, n, replace=False)
+        b = np.concatenate([a[: int(n * r.uniform(0.8, 1))], r.integers(1 << 40, 1 << 41, int(r.integers(0, 1 + n // 6)))])
+        x, y = (np.bincount(v % neardup.BUCKETS, minlength=neardup.BUCKETS).astype(np.uint16) for v in (a, b))
+        both = len(np.intersect1d(a, b))
+        if 100 * both >= 85 * (len(np.unique(a)) + len(np.unique(b)) - both):
+            assert neardup._possible(x, y, 85, 100)
