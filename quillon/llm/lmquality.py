@@ -1,10 +1,12 @@
 """Quality rules with n-gram perplexity.
 
-A modified Kneser-Ney model of order four is counted by Spark over all documents of each language.
-Its symbols are 40 byte classes, so a language has at most 40**4 four-grams: that bounds the tables
-each task counts in, what is collected and what is broadcast, whatever the corpus holds. The model is
-kept in sorted hash arrays. Every document gets its log-perplexity per symbol, and each language's
-bands, robust in the spread of all its documents, reject what lies above or below them.
+A modified Kneser-Ney model of words, order three, is counted by Spark for every language value found.
+Its tables are grouped rows that grow with the corpus, and documents are scored by joins with them;
+nothing of it comes to the driver. Documents fall into two halves by the least hash of their word
+pairs, and each half is scored by the counts of the other, so that no text, nor a copy of it, and few
+of its near copies vouch for it. How words are spelled is judged by a second, small model of order four
+over 40 byte classes, whose tables are bounded and broadcast. Every document gets both log-perplexities,
+and each language's bands, robust in the spread of all its documents, reject what lies outside of either.
 """
 
 from __future__ import annotations
@@ -14,23 +16,26 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon.llm import _text as T
 from quillon.llm._store import Store
 
+#: Order of the spelling model.
 ORDER = 4
-#: Languages with a model of their own; all others and null share one more.
+#: Languages with a spelling model of their own; all others and null share one more.
 LANGUAGES = ("de", "en", "es", "fr")
 #: Spreads (median absolute deviations of the log-perplexity, scaled to a normal sigma) from the median to the bands.
 LOWER, UPPER = 4.0, 4.0
 #: A band widens by this over the root of a document's length: a short text's mean varies more.
 LENGTH = 1.5
+#: What stands before the first word of a text.
+START = 1
 
 
 def _classes() -> tuple[np.ndarray, int]:
-    """The class of each byte: a-z, capitals, digits, blank, newline, . , | marks, other ASCII, UTF-8 leads, four groups of continuations."""
+    """The class of each byte, which the quality classifier reads: a-z, capitals, digits, blank, newline, . , | marks, other ASCII, UTF-8 leads, four groups of continuations."""
     k = np.full(256, 34, np.uint8)
     k[97:123] = np.arange(26)
     k[65:91], k[48:58], k[32], k[[9, 10, 11, 12, 13]], k[46], k[44], k[124] = 26, 27, 28, 29, 30, 31, 32
@@ -57,7 +62,7 @@ def _codes(buf: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return code[keep], rows
 
 
-def _count():
+def _count_classes():
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -139,11 +144,11 @@ class KneserNey:
         return np.concatenate([self.log_probability(np.arange(a, a + SYMBOLS ** (ORDER - 1))) for a in range(0, SYMBOLS**ORDER, SYMBOLS ** (ORDER - 1))])
 
 
-def fit(store: Store, docs: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> dict[int, KneserNey]:
-    """A model for each language, counted over all rows of docs(text, lang)."""
+def fit_classes(store: Store, docs: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> dict[int, KneserNey]:
+    """A spelling model for each language, counted over all rows of docs(text, lang)."""
     rows = docs.select(lang_number(F.col("lang"), languages).alias("lang"), F.col("text").cast("string").alias("text"))
-    counts = rows.mapInArrow(_count(), "lang int, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    counts = store.keep(counts, "counts")
+    counts = rows.mapInArrow(_count_classes(), "lang int, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = store.keep(counts, "class_counts")
     models = {}
     for i in range(len(languages) + 1):  # one language at a time: at most SYMBOLS ** ORDER rows
         t = counts.where(F.col("lang") == i).select("gram", "n").toArrow()
@@ -154,6 +159,114 @@ def fit(store: Store, docs: DataFrame, languages: tuple[str, ...] = LANGUAGES) -
     return models
 
 
+def _grams(buf: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """x and w of each word, and each row's first: w hashes the word to 32 bits, x holds the two words before."""
+    starts, ends, first = T.words(buf, rows)
+    if not len(starts):
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), first
+    w = T.word_hashes(buf, starts, ends) >> np.uint64(32)
+    before = []
+    for back in (1, 2):
+        v = np.full(len(w), START, np.uint64)
+        v[back:] = w[:-back]
+        at = np.arange(len(w)) - np.repeat(first[:-1], np.diff(first))
+        v[at < back] = START
+        before.append(v)
+    return (before[1] << np.uint64(32)) | before[0], w, first
+
+
+def _keys(key: np.ndarray, buf: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """key with its last bit replaced by the half of each text."""
+    starts, ends, first = T.words(buf, rows)
+    half = np.zeros(len(rows) - 1, np.int64)
+    if len(starts):
+        pairs, at = T.windows(T.word_hashes(buf, starts, ends), first, 2, whole=True)
+        some = np.flatnonzero(np.diff(at))
+        half[some] = (np.minimum.reduceat(pairs, at[:-1][some]) & np.uint64(1)).astype(np.int64)
+    return (key & ~1) | half
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, x, w, n0, n1): distinct trigrams of a step, with their counts in both halves."""
+    for batch in batches:
+        lang, key = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("lang", "key"))
+        for a, b, buf, rows in T.steps(batch.column("text")):
+            x, w, first = _grams(buf, rows)
+            of = np.repeat(np.arange(a, b), np.diff(first))
+            _, at, inverse = np.unique(T.mix(T.mix(x ^ lang[of].view(np.uint64)) + w), return_index=True, return_inverse=True)
+            half = (_keys(key[a:b], buf, rows) & 1)[of - a]
+            n = [np.bincount(inverse, half == h, len(at)).astype(np.int64) for h in (0, 1)]
+            yield pa.RecordBatch.from_arrays([pa.array(lang[of[at]]), pa.array(x[at].view(np.int64)), pa.array(w[at].view(np.int64)), pa.array(n[0]), pa.array(n[1])], names=["lang", "x", "w", "n0", "n1"])
+
+
+def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        lang, key = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("lang", "key"))
+        for a, b, buf, rows in T.steps(batch.column("text")):
+            x, w, first = _grams(buf, rows)
+            of = np.repeat(np.arange(a, b), np.diff(first))
+            yield pa.RecordBatch.from_arrays([pa.array(_keys(key[a:b], buf, rows)[of - a]), pa.array(lang[of]), pa.array(x.view(np.int64)), pa.array(w.view(np.int64))], names=["key", "lang", "x", "w"])
+
+
+def _discounts(counts: DataFrame) -> DataFrame:
+    """(lang, d): each half's three discounts of modified Kneser-Ney, from its counts of counts."""
+    ones = [F.sum((F.col(f"n{h}") == i).cast("double")).alias(f"o{h}{i}") for h in (0, 1) for i in range(1, 5)]
+
+    def of(h: int) -> Column:
+        o = [None] + [F.col(f"o{h}{i}") for i in range(1, 5)]
+        y = F.when((o[1] > 0) & (o[2] > 0), o[1] / (o[1] + 2 * o[2])).otherwise(0.5)
+        d = [F.when((o[i] > 0) & (o[i + 1] > 0), F.least(F.greatest(i - (i + 1) * y * o[i + 1] / o[i], F.lit(0.05 * i)), F.lit(0.95 * i))).otherwise(0.5) for i in (1, 2, 3)]
+        return F.array(F.lit(0.0), *d)
+
+    return counts.groupBy("lang").agg(*ones).select("lang", of(0).alias("d0"), of(1).alias("d1"))
+
+
+def _shares(counts: DataFrame, context: list[str]) -> DataFrame:
+    """counts with share0, share1 and weight0, weight1: the discounted share of each n-gram and what its context leaves to the lower order, in both halves' models."""
+    cut = counts.join(_discounts(counts), "lang")
+    for h in (0, 1):
+        cut = cut.withColumn(f"c{h}", F.get(f"d{h}", F.least(f"n{h}", F.lit(3)).cast("int"))).drop(f"d{h}")
+    keys = ["lang", *context]
+    total = cut.groupBy(*keys).agg(*(F.sum(f"{a}{h}").alias(f"{b}{h}") for h in (0, 1) for a, b in (("n", "all"), ("c", "left"))))
+    out = cut.join(total, keys)
+    for h in (0, 1):
+        some = F.col(f"all{h}") > 0
+        out = out.withColumn(f"share{h}", F.when(some, (F.col(f"n{h}") - F.col(f"c{h}")) / F.col(f"all{h}")).otherwise(0.0))
+        out = out.withColumn(f"weight{h}", F.when(some, F.col(f"left{h}") / F.col(f"all{h}")).otherwise(1.0))
+    return out.drop(*(f"{c}{h}" for c in ("n", "c", "all", "left") for h in (0, 1)))
+
+
+def _types(keys: list[str], counts: DataFrame) -> DataFrame:
+    """Continuation counts: how many distinct n-grams of counts end in keys, in both halves."""
+    return counts.groupBy(*keys).agg(*(F.sum((F.col(f"n{h}") > 0).cast("long")).alias(f"n{h}") for h in (0, 1)))
+
+
+def fit(store: Store, rows: DataFrame) -> DataFrame:
+    """(gram, p0, p1): the log-probability of the last word of every trigram of rows(key, lang, text) in the models of both halves.
+
+    Every n-gram of either half stands in the tables of all orders, so the joins miss none; one that a
+    half doesn't have counts 0 there and gets its share of the lower orders. A word that a half never
+    saw gets one share of the uniform distribution over its words and one unknown.
+    """
+    three = store.keep(rows.mapInArrow(_count, "lang long, x long, w long, n0 long, n1 long").groupBy("lang", "x", "w").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "three")
+    v = F.col("x").bitwiseAND(F.lit(0xFFFFFFFF))
+    two = store.keep(_types(["lang", "v", "w"], three.withColumn("v", v)), "two")
+    one = store.keep(_types(["lang", "w"], two), "one")
+    size = one.groupBy("lang").agg(*(F.sum((F.col(f"n{h}") > 0).cast("long")).alias(f"size{h}") for h in (0, 1)))
+    low = _shares(one, []).join(size, "lang").select("lang", "w", *((F.col(f"share{h}") + F.col(f"weight{h}") / (F.col(f"size{h}") + 1)).alias(f"low{h}") for h in (0, 1)))
+    mid = _shares(two, ["v"]).join(low, ["lang", "w"]).select("lang", "v", "w", *((F.col(f"share{h}") + F.col(f"weight{h}") * F.col(f"low{h}")).alias(f"mid{h}") for h in (0, 1)))
+    top = _shares(three, ["x"]).withColumn("v", v).join(mid, ["lang", "v", "w"])
+    return top.select(F.xxhash64("lang", "x", "w").alias("gram"), *(F.log(F.col(f"share{h}") + F.col(f"weight{h}") * F.col(f"mid{h}")).cast("float").alias(f"p{h}") for h in (0, 1)))
+
+
+def score(store: Store, rows: DataFrame) -> DataFrame:
+    """(key, log_ppl) of every key of rows(key, lang, text) whose text has words; equal texts share a key."""
+    model = store.keep(fit(store, rows), "model")
+    seen = rows.mapInArrow(_occurrences, "key long, lang long, x long, w long").select("key", F.xxhash64("lang", "x", "w").alias("gram"))
+    p = F.when(F.col("key").bitwiseAND(F.lit(1)) == 0, F.col("p1")).otherwise(F.col("p0")).cast("double")
+    return seen.join(model, "gram").groupBy("key").agg((-F.avg(p)).alias("log_ppl"))
+
+
 def _base(buf: np.ndarray, rows: np.ndarray) -> dict[str, np.ndarray]:
     """Base features of each text."""
     starts, ends, first = T.words(buf, rows)
@@ -183,14 +296,15 @@ def _base(buf: np.ndarray, rows: np.ndarray) -> dict[str, np.ndarray]:
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def measure(spark: SparkSession, store: Store, docs: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> DataFrame:
-    """(doc_id, lang_no, the base features, log_ppl) of every whole text; log_ppl is null for empty texts."""
-    shared = spark.sparkContext.broadcast(fit(store, docs, languages))
+def measure(spark: SparkSession, store: Store, docs: DataFrame) -> DataFrame:
+    """(doc_id, lang, the base features, spelling, log_ppl) of every whole text; spelling is null for empty texts, log_ppl for texts without words."""
+    shared = spark.sparkContext.broadcast(fit_classes(store, docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables: dict[int, np.ndarray] = {}
         for batch in batches:
-            langs = np.array(batch.column("lang").to_pylist(), int)
+            langs = np.array(batch.column("lang_no").to_pylist(), int)
+            key = batch.column("key").to_numpy(zero_copy_only=False)
             for a, b, buf, rows in T.steps(batch.column("text")):
                 code, at = _codes(buf, rows)
                 total = np.zeros(b - a)
@@ -201,34 +315,39 @@ def measure(spark: SparkSession, store: Store, docs: DataFrame, languages: tuple
                     total[r] = -tables[langs[a + r]][code[at[r] : at[r + 1]]].mean(dtype=np.float64)
                 f = _base(buf, rows)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(a, b - a), batch.column("lang").slice(a, b - a), *(pa.array(f[k].astype(np.int64)) for k in FEATURES), pa.array(total, mask=np.diff(at) == 0)],
-                    names=["doc_id", "lang_no", *FEATURES, "log_ppl"],
+                    [*(batch.column(c).slice(a, b - a) for c in ("doc_id", "lang")), pa.array(_keys(key[a:b], buf, rows)), *(pa.array(f[k].astype(np.int64)) for k in FEATURES), pa.array(total, mask=np.diff(at) == 0)],
+                    names=["doc_id", "lang", "key", *FEATURES, "spelling"],
                 )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), lang_number(F.col("lang"), languages).alias("lang"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, lang_no int, " + ", ".join(f"{k} long" for k in FEATURES) + ", log_ppl double")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.lower("lang"), F.lit(""))).alias("lang"), lang_number(F.col("lang")).alias("lang_no"), F.col("text").cast("string").alias("text"))
+    rows = rows.withColumn("key", F.xxhash64("lang", "text"))
+    base = store.keep(rows.mapInArrow(run, "doc_id long, lang long, key long, " + ", ".join(f"{k} long" for k in FEATURES) + ", spelling double"), "base")
+    return base.join(score(store, rows.select("key", "lang", "text")), "key", "left").drop("key")
 
 
-def bands(measured: DataFrame) -> DataFrame:
-    """(lang_no, low, high): the log-perplexities each language accepts, from all its documents."""
-    usable = measured.where("log_ppl IS NOT NULL AND n_words >= 50")
-    mid = usable.groupBy("lang_no").agg(F.percentile_approx("log_ppl", 0.5, 2000).alias("mid"))
-    off = usable.join(F.broadcast(mid), "lang_no").groupBy("lang_no").agg(F.first("mid").alias("mid"), (1.4826 * F.percentile_approx(F.abs(F.col("log_ppl") - F.col("mid")), 0.5, 2000)).alias("spread"))
-    return off.select("lang_no", (F.col("mid") - LOWER * F.col("spread")).alias("low"), (F.col("mid") + UPPER * F.col("spread")).alias("high"))
+def bands(measured: DataFrame, value: str) -> DataFrame:
+    """(lang, low_value, high_value): what each language accepts of a log-perplexity, from all its documents."""
+    usable = measured.where(F.col(value).isNotNull() & (F.col("n_words") >= 50))
+    mid = usable.groupBy("lang").agg(F.percentile_approx(value, 0.5, 2000).alias("mid"))
+    off = usable.join(F.broadcast(mid), "lang").groupBy("lang").agg(F.first("mid").alias("mid"), (1.4826 * F.percentile_approx(F.abs(F.col(value) - F.col("mid")), 0.5, 2000)).alias("spread"))
+    return off.select("lang", (F.col("mid") - LOWER * F.col("spread")).alias(f"low_{value}"), (F.col("mid") + UPPER * F.col("spread")).alias(f"high_{value}"))
 
 
-def judge(spark: SparkSession, docs: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> DataFrame:
+def judge(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """(doc_id, base features, base_failed, log_ppl, kept) of every row of docs(doc_id, text, lang, ...).
 
     base_failed: under 50 words, or more than half of the words in repeated three-word windows.
-    kept: not base_failed and inside the bands of the document's language. A null or empty text has
-    no words and fails. Null and unknown languages share one model. Repeated rows are judged as
+    kept: not base_failed and both log-perplexities inside the bands of the document's language. A null or empty text has
+    no words and fails. Each language value has a model of its own, whatever its case; null is one more. Repeated rows are judged as
     often as they stand, other columns are ignored, and an empty table gives no rows.
     """
     store = Store(spark, "lmquality")
-    m = store.keep(measure(spark, store, docs, languages), "measured")
+    m = store.keep(measure(spark, store, docs), "measured")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    wider = LENGTH / F.sqrt(F.greatest(F.col("word_chars"), F.lit(1)))
-    inside = F.coalesce(F.col("log_ppl").between(F.col("low") - wider, F.col("high") + wider), F.lit(False))
-    out = m.join(F.broadcast(bands(m)), "lang_no", "left")  # a row a language: bounded
+    inside = F.lit(True)
+    out = m
+    for value, length in (("log_ppl", "n_words"), ("spelling", "word_chars")):
+        wider = LENGTH / F.sqrt(F.greatest(F.col(length), F.lit(1)))
+        inside = inside & F.coalesce(F.col(value).between(F.col(f"low_{value}") - wider, F.col(f"high_{value}") + wider), F.lit(False))
+        out = out.join(F.broadcast(bands(m, value)), "lang", "left")  # a row a language
     return out.select("doc_id", *FEATURES, failed.alias("base_failed"), "log_ppl", (~failed & inside).alias("kept"))

@@ -175,3 +175,78 @@ def test_near_bound_never_errs():
         both = len(np.intersect1d(a, b))
         if 100 * both >= 85 * (len(np.unique(a)) + len(np.unique(b)) - both):
             assert neardup._possible(x, y, 85, 100)
+
+
+def _kneser_ney(texts, other):
+    """Log-perplexity per word of each of texts in a modified Kneser-Ney model of other."""
+    import math
+
+    def grams(t):
+        w = ["<", "<", *t.split()]
+        return [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
+
+    counts = [Counter(g for t in other for g in grams(t))]
+    counts += [Counter(g[1:] for g in counts[0])]
+    counts += [Counter(g[1:] for g in counts[1])]
+    cuts = []
+    for c in counts:
+        o = [0] + [sum(n == i for n in c.values()) for i in range(1, 5)]
+        y = o[1] / (o[1] + 2 * o[2]) if o[1] and o[2] else 0.5
+        cuts.append([0.0] + [min(max(i - (i + 1) * y * o[i + 1] / o[i], 0.05 * i), 0.95 * i) if o[i] and o[i + 1] else 0.5 for i in (1, 2, 3)])
+
+    def p(g, k):
+        if k == 3:
+            return 1 / (len(counts[2]) + 1)
+        below = {h: n for h, n in counts[k].items() if h[:-1] == g[:-1]}
+        if not below:
+            return p(g[1:], k + 1)
+        cut, n = cuts[k], counts[k].get(g, 0)
+        return (n - cut[min(n, 3)] + sum(cut[min(m, 3)] for m in below.values()) * p(g[1:], k + 1)) / sum(below.values())
+
+    return [-sum(math.log(p(g, 0)) for g in grams(t)) / len(grams(t)) for t in texts]
+
+
+def _prose(n, seed=5):
+    """Texts in which each word has few successors, and as many of the same words in any order."""
+    import random
+
+    r = random.Random(seed)
+    parts = ("ka", "lo", "mi", "ne", "ru", "ta", "so", "vi", "pe", "du", "ba", "gi", "fo", "he", "ju", "ze")
+    words = [a + b for a in parts for b in parts]
+    after = {w: r.sample(words, 3) for w in words}
+    out = []
+    for _ in range(n):
+        t = [r.choice(words)]
+        while len(t) < 120:
+            t.append(r.choice(after[t[-1]]))
+        out.append(" ".join(t))
+    mixed = []
+    for t in out[:6]:
+        w = t.split()
+        r.shuffle(w)
+        mixed.append(" ".join(w))
+    return out, mixed
+
+
+def test_perplexity_sees_word_order_in_every_language(spark):
+    clean, mixed = _prose(120)
+    rows = [(i, t, lang) for lang in ("en", "xx") for i, t in enumerate(clean + mixed, 1000 * (lang == "xx"))]
+    got = {r["doc_id"]: r["kept"] for r in lmquality.judge(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    for base in (0, 1000):
+        assert not any(got[base + i] for i in range(120, 126))
+        assert sum(got[base + i] for i in range(120)) >= 118
+
+
+def test_perplexity_equals_brute_force(spark):
+    import numpy as np
+
+    texts = [t for t in _prose(12)[0]] + ["ÉTÉ 日本 ÉTÉ 17", "kata", "ÉTÉ 日本 18 kata lota"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("doc_id", "text", "'EN' AS lang")
+    raw = [t.encode() for t in texts]
+    ends = np.cumsum([0] + [len(t) for t in raw])
+    half = dict(enumerate(lmquality._keys(np.zeros(len(raw), np.int64), np.frombuffer(b"".join(raw), np.uint8), ends).tolist()))
+    assert set(half.values()) == {0, 1}
+    got = {r["doc_id"]: r["log_ppl"] for r in lmquality.judge(spark, docs).collect()}
+    for i, t in enumerate(texts):
+        want = _kneser_ney([t], [u for j, u in enumerate(texts) if half[j] != half[i]])[0]
+        assert got[i] == pytest.approx(want, rel=1e-5)
