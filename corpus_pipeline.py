@@ -19,7 +19,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boilerplate lines go from the texts; n_chars stays that of the source text."""
+    """Boilerplate lines of any length go from the texts; n_chars stays that of the source text."""
     return linedup.drop_boilerplate(spark, docs).select(*COLUMNS)
 
 

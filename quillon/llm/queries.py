@@ -66,7 +66,7 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linedup.drop_boilerplate(spark, _read(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
+    return linedup.drop_boilerplate(spark, _read(spark, sf_dir, "documents"), min_words=linedup.MIN_WORDS).select("doc_id", "n_lines", "n_removed", "text")
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -250,3 +250,25 @@ def test_perplexity_equals_brute_force(spark):
     for i, t in enumerate(texts):
         want = _kneser_ney([t], [u for j, u in enumerate(texts) if half[j] != half[i]])[0]
         assert got[i] == pytest.approx(want, rel=1e-5)
+
+
+def test_pipeline_drops_short_boilerplate(spark, sf, documents):
+    import corpus_pipeline
+
+    rows = [(i, f"first line {i}\nAll rights reserved.\n\nonly {i % 4}", "en", f"site{i % 6}", 1) for i in range(12)]
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.lines(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), sf).collect()}
+    assert got == {i: t if i == 0 else t.replace("All rights reserved.\n", "") for i, t, *_ in rows}
+    # the same by brute force over the test table
+    sites, first = {}, {}
+    for i, r in sorted(documents.items()):
+        for at, line in enumerate((r["text"] or "").split("\n")):
+            if re.search(r"[^\x20\x09-\x0D]", line):
+                sites.setdefault(line, set()).add(r["source"])
+                first.setdefault(line, (i, at))
+    bad = {line for line, s in sites.items() if len(s - {None}) >= 5}
+    assert any(len(line.split()) < 5 for line in bad)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.lines(spark, docs, sf).collect()}
+    for i, r in documents.items():
+        if r["text"] is not None:
+            assert got[i] == "\n".join(x for at, x in enumerate(r["text"].split("\n")) if x not in bad or first[x] == (i, at))
