@@ -1,10 +1,12 @@
 """Secret scans with a randomness test battery, with DataFrame functions only.
 
 Base rules find assignments, access keys and hexadecimal runs. The battery looks at every other run
-of token characters that mixes letters and digits: its encoding is inferred, and under the hypothesis
-that it is a random string of that encoding's alphabet, three tests give p-values: chi-squared
-uniformity over the alphabet, runs above and below the alphabet's middle, and serial correlation of
-neighbouring symbols. Their Fisher combination is controlled for false discoveries by Benjamini and
+of 16 or more token characters: its encoding is inferred (digits, hexadecimal, letters of one case or
+both, these with digits, base32, base64), and under the hypothesis
+that it is a random string of that encoding's alphabet, tests give p-values: chi-squared
+uniformity over the alphabet, runs above and below the alphabet's middle, serial correlation of
+neighbouring symbols and, where all letters may stand, the share of those that are common in prose
+(short words would pass the other three). Their Fisher combination is controlled for false discoveries by Benjamini and
 Hochberg within classes of length, over all tokens of the corpus: a token whose randomness is rejected
 is ordinary text, and one that stands is a secret. The control needs the p-values' histogram for each
 length class, whose size is fixed, so a threshold for each class is all that comes to the driver.
@@ -20,15 +22,22 @@ ASSIGN = r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][e
 ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
 ASSIGN_LEAST = 12
-TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
+TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}"
 KINDS = ("assign", "access", "hex", "random")
 
 #: False discovery rate, bins of the p-values' histogram (by -log10 p, four to a decade), classes of length.
 RATE, BINS, CLASSES = 0.05, 400, 8
 
+_DIGITS = "0123456789"
 _HEXA = "0123456789abcdef"
-_B32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
-_B64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_LOWER = "abcdefghijklmnopqrstuvwxyz"
+_B32 = _UPPER + "234567"
+_B64 = _UPPER + _LOWER + _DIGITS + "+/"
+#: The ten letters that are most common in prose of Latin script.
+_COMMON = "aehilnorst"
+#: The first pattern that a token without padding fits gives its alphabet; digits and hexadecimal, dashes aside, come before, all others are base64.
+_ALPHABETS = (("^[A-Z]+$", _UPPER), ("^[a-z]+$", _LOWER), ("^[A-Za-z]+$", _UPPER + _LOWER), ("^[A-Z2-7]+$", _B32), ("^[A-Z0-9]+$", _UPPER + _DIGITS), ("^[a-z0-9]+$", _LOWER + _DIGITS), ("^[A-Za-z0-9]+$", _UPPER + _LOWER + _DIGITS))
 
 
 def spans_of(text: Column, pattern: str, kind: str, group: int = 0, least: int = 0) -> Column:
@@ -58,10 +67,9 @@ def base_spans(text: Column) -> Column:
 
 
 def candidates(text: Column, base: Column) -> Column:
-    """Tokens that mix at least two letters and two digits and touch no base span."""
+    """Tokens that touch no base span."""
     apart = lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    mixed = lambda s: s["text"].rlike("[0-9].*[0-9]") & s["text"].rlike("[A-Za-z].*[A-Za-z]")
-    return F.filter(spans_of(text, TOKEN, "random"), lambda s: mixed(s) & apart(s))
+    return F.filter(spans_of(text, TOKEN, "random"), apart)
 
 
 def _upper_tail(z: Column) -> Column:
@@ -84,14 +92,19 @@ def battery(token: Column) -> Column:
     """The combined p-value of the hypothesis that the token is random in its inferred encoding."""
     hexa = token.rlike("^[0-9a-fA-F-]+$")
     bare = F.when(hexa, F.lower(F.replace(token, F.lit("-"), F.lit("")))).otherwise(F.translate(F.regexp_replace(token, "=+$", ""), "-_", "+/"))
-    alphabet = F.when(hexa, F.lit(_HEXA)).when(token.rlike("^[A-Z2-7]+=*$"), F.lit(_B32)).otherwise(F.lit(_B64))
+    plain = F.regexp_replace(token, "=+$", "")
+    alphabet = F.when(token.rlike("^[0-9-]+$"), F.lit(_DIGITS)).when(hexa, F.lit(_HEXA))
+    for pattern, letters in _ALPHABETS:
+        alphabet = alphabet.when(plain.rlike(pattern), F.lit(letters))
+    alphabet = alphabet.otherwise(F.lit(_B64))
     return _let(F.struct(bare.alias("t"), alphabet.alias("a")), lambda x: _let(_symbols(x), lambda y: _let(_statistics(y), _combined)))
 
 
 def _symbols(x: Column) -> Column:
-    """v: each character's place in the alphabet, k: the alphabet's size."""
+    """v: each character's place in the alphabet, k: the alphabet's size, l and c: how many letters, and common ones (0 where the alphabet isn't of all letters)."""
     places = F.transform(F.split(x["t"], ""), lambda c: F.instr(x["a"], c).cast("double"))
-    return F.struct(F.filter(places, lambda e: e > 0).alias("v"), F.length(x["a"]).cast("double").alias("k"))
+    letters = lambda other: F.when(F.length(x["a"]) > 16, F.length(F.regexp_replace(x["t"], other, "")).cast("double")).otherwise(F.lit(0.0))
+    return F.struct(F.filter(places, lambda e: e > 0).alias("v"), F.length(x["a"]).cast("double").alias("k"), letters("[^A-Za-z]").alias("l"), letters(f"[^{_COMMON}{_COMMON.upper()}]").alias("c"))
 
 
 def _statistics(y: Column) -> Column:
@@ -101,6 +114,8 @@ def _statistics(y: Column) -> Column:
     squares = _sum(F.transform(F.array_distinct(v), lambda d: F.pow(F.size(F.filter(v, lambda e: e == d)).cast("double"), 2)))
     return F.struct(
         k.alias("k"),
+        y["l"].alias("l"),
+        y["c"].alias("c"),
         F.size(v).cast("double").alias("n"),
         squares.alias("squares"),
         F.size(F.filter(v, lambda e: e > k / 2)).cast("double").alias("high"),
@@ -119,14 +134,17 @@ def _combined(x: Column) -> Column:
     z2 = _let(mean, lambda m: F.when(m > 2, F.abs(1 + x["pairs"]["turns"] - m) / F.sqrt((m - 1) * (m - 2) / (n - 1))).otherwise(F.lit(8.0)))
     # serial correlation about the middle
     z3 = F.abs(x["pairs"]["serial"]) / ((k * k - 1) / 12) / F.sqrt(F.greatest(n - 1, F.lit(1.0)))
-    tails = F.array(_let(z1, _upper_tail), 2 * _let(z2, _upper_tail), 2 * _let(z3, _upper_tail))
-    # half of Fisher's statistic, which has six degrees of freedom
+    # letters that are common in prose, more than ten in 26
+    q = len(_COMMON) / 26
+    z4 = (x["c"] - q * x["l"]) / F.sqrt(F.greatest(q * (1 - q) * x["l"], F.lit(1e-9)))
+    tails = F.array(_let(z1, _upper_tail), 2 * _let(z2, _upper_tail), 2 * _let(z3, _upper_tail), F.when(x["l"] > 0, _let(z4, _upper_tail)).otherwise(1.0))
+    # half of Fisher's statistic, which has eight degrees of freedom, or six without letters
     half = -_sum(F.transform(tails, lambda q: F.ln(F.least(F.greatest(q, F.lit(1e-30)), F.lit(1.0)))))
-    return F.when(n >= 16, _let(half, lambda h: F.exp(-h) * (1 + h + h * h / 2))).otherwise(F.lit(0.0))
+    return F.when(n >= 16, _let(half, lambda h: F.exp(-h) * (1 + h + h * h / 2 + F.when(x["l"] > 0, h * h * h / 6).otherwise(0.0)))).otherwise(F.lit(0.0))
 
 
 def _length_class(length: Column) -> Column:
-    return F.least(F.floor(F.log2(length / 20.0) * 2), F.lit(CLASSES - 1)).cast("int")
+    return F.least(F.floor(F.log2(length / 16.0) * 2), F.lit(CLASSES - 1)).cast("int")
 
 
 def _bin(p: Column) -> Column:

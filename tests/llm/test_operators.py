@@ -272,3 +272,23 @@ def test_pipeline_drops_short_boilerplate(spark, sf, documents):
     for i, r in documents.items():
         if r["text"] is not None:
             assert got[i] == "\n".join(x for at, x in enumerate(r["text"].split("\n")) if x not in bad or first[x] == (i, at))
+
+
+def test_random_tokens_of_every_kind_reach_the_battery(spark):
+    import random
+    import string
+
+    r = random.Random(2)
+    kinds = {"base64": string.ascii_letters + string.digits + "+/", "letters": string.ascii_letters, "base32": string.ascii_uppercase + "234567", "lower": string.ascii_lowercase, "digits": None}
+    rows = []
+    for kind, alphabet in kinds.items():
+        for n in (16, 18, 20, 24, 32) * 8:
+            token = "-".join("".join(r.choice(string.digits) for _ in range(4)) for _ in range(n // 4)) if kind == "digits" else "".join(r.choice(alphabet) for _ in range(n))
+            rows.append((len(rows), kind, token, f"see {token} there"))
+    plain = ["-" * 40, "=" * 20, "x" * 16, "xy" * 12, "/usr/share/doc/the/readers/and/other/texts", "1111-1111-1111-1111", "the_rest_of_the_letters_here_are_there", "internationalisation", "hainghethesthing", "nichtchzulichein"]
+    rows += [(len(rows) + i, "plain", t, f"see {t} there") for i, t in enumerate(plain * 3)]
+    got = {x["doc_id"]: {(s["start"], s["end"]) for s in [*x["base"], *x["added"]]} for x in secrets.find_secrets(spark, spark.createDataFrame([(i, t) for i, _, _, t in rows], "doc_id long, text string")).collect()}
+    for kind in kinds:
+        of = [(4, 4 + len(token)) in got[i] for i, k, token, _ in rows if k == kind]
+        assert sum(of) >= 0.85 * len(of), (kind, sum(of), len(of))
+    assert not {t for i, k, t, _ in rows if k == "plain" and got[i]}
