@@ -6,12 +6,19 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: A table of ids is broadcast up to so many rows (8 bytes each, and their hash table); larger ones are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a local one only where that is unset (one machine)."""
+    """The folder in spark.checkpoint.dir. Where that is unset, a local one, on a local master only."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not where:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         where = tempfile.mkdtemp(prefix="spark-quillon-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
@@ -26,19 +33,33 @@ class Store:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+        self._kept: list[tuple[DataFrame, str]] = []
         self._n = 0
 
     def keep(self, df: DataFrame, name: str = "t") -> DataFrame:
         self._n += 1
         path = f"{self.root}/{self._n:03d}-{name}"
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self._kept.append((out, path))
+        return out
 
     def drop(self, *tables: DataFrame) -> None:
         """Deletes the files behind tables that keep() gave and nothing reads any more."""
-        jvm = self.spark._jvm
-        for df in tables:
-            for f in df.inputFiles()[:1]:
-                path = jvm.org.apache.hadoop.fs.Path(f).getParent()
-                if self.root.split(":", 1)[-1].lstrip("/") in str(path.toString()):
-                    path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        hadoop = self.spark._jsc.hadoopConfiguration()
+        for df, name in [x for x in self._kept if any(x[0] is t for t in tables)]:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(hadoop).delete(path, True)
+        self._kept = [x for x in self._kept if not any(x[0] is t for t in tables)]
+
+    def finish(self, df: DataFrame, name: str = "result") -> DataFrame:
+        """Keeps df and drops all other tables."""
+        before = [t for t, _ in self._kept]
+        out = self.keep(df, name)
+        self.drop(*before)
+        return out
+
+
+def sized(df: DataFrame) -> DataFrame:
+    """df, marked for broadcast if its rows are few enough; df should be a kept table."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
