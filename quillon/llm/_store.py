@@ -36,10 +36,15 @@ class Store:
         self._kept: list[tuple[DataFrame, str]] = []
         self._n = 0
 
-    def keep(self, df: DataFrame, name: str = "t") -> DataFrame:
+    def tasks(self, rows: int, per_task: int = 250_000) -> int:
+        """How many tasks so many rows are worth: two for each core of the cluster, more where they would get over per_task rows each."""
+        return max(2 * self.spark.sparkContext.defaultParallelism, -(-rows // per_task))
+
+    def keep(self, df: DataFrame, name: str = "t", rows: int | None = None, per_task: int = 250_000) -> DataFrame:
+        """rows: what comes out of a shuffle has no more, so that a small table becomes few files, whatever the number of shuffle partitions."""
         self._n += 1
         path = f"{self.root}/{self._n:03d}-{name}"
-        df.write.parquet(path)
+        (df if rows is None else df.coalesce(self.tasks(rows, per_task))).write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self._kept.append((out, path))
         return out
@@ -52,10 +57,10 @@ class Store:
             path.getFileSystem(hadoop).delete(path, True)
         self._kept = [x for x in self._kept if not any(x[0] is t for t in tables)]
 
-    def finish(self, df: DataFrame, name: str = "result") -> DataFrame:
+    def finish(self, df: DataFrame, name: str = "result", rows: int | None = None) -> DataFrame:
         """Keeps df and drops all other tables."""
         before = [t for t, _ in self._kept]
-        out = self.keep(df, name)
+        out = self.keep(df, name, rows)
         self.drop(*before)
         return out
 
@@ -63,3 +68,11 @@ class Store:
 def sized(df: DataFrame) -> DataFrame:
     """df, marked for broadcast if its rows are few enough; df should be a kept table."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def free_name(name: str, taken: list[str]) -> str:
+    """name, lengthened until no column has it."""
+    have = {c.lower() for c in taken}
+    while name in have:
+        name += "_"
+    return name

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon.llm import _text as T
+from quillon.llm._store import Store, free_name, sized
 
 CONTAINMENT_NUM, CONTAINMENT_DEN = 80, 100
 #: Bits of a bitmap: its size doesn't depend on the benchmark, which only fills it.
@@ -42,12 +43,11 @@ def _item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = batch.column("item_id")
         for a, b, buf, rows in T.steps(batch.column("text")):
             u, first = T.distinct(*T.shingles(buf, rows))
-            for r in range(b - a):
-                h = u[first[r] : first[r + 1]]
-                if len(h):
-                    h = h[np.argsort(T.mix(h), kind="stable")]
-                    low = np.arange(len(h)) < sketch_size(len(h))
-                    yield pa.RecordBatch.from_arrays([pa.array([ids[a + r].as_py()] * len(h), pa.int64()), pa.array(np.full(len(h), len(h), np.int64)), pa.array(h.view(np.int64)), pa.array(low)], names=["item_id", "n_item", "hash", "in_sketch"])
+            n = np.diff(first)
+            of = np.repeat(np.arange(b - a), n)
+            by = np.lexsort((T.mix(u), of))
+            low = np.arange(len(u)) - first[of] < np.array([sketch_size(x) if x else 0 for x in n], np.int64)[of]
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(a + of)), pa.array(n[of]), pa.array(u[by].view(np.int64)), pa.array(low)], names=["item_id", "n_item", "hash", "in_sketch"])
 
 
 def item_shingles(items: DataFrame) -> DataFrame:
@@ -111,6 +111,7 @@ def hash_text(raw: np.ndarray) -> int:
 
 
 def clean_documents(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id leaks no item, with all their columns."""
-    leaks = find_leaks(spark, docs, items).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["_leak"]), "left_anti")
+    """The rows of docs whose doc_id leaks no item, with all their columns, whatever their names."""
+    leaks = Store(spark, "decontam").keep(find_leaks(spark, docs, items).select("doc_id").distinct(), "leaks")
+    leaks = leaks.toDF(free_name("leak", docs.columns))
+    return docs.join(sized(leaks), docs["doc_id"].eqNullSafe(leaks[leaks.columns[0]]), "left_anti")

@@ -14,6 +14,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,8 +27,11 @@ BUCKETS = 1 << 18
 #: Bounds of the labelled sample: languages, texts of one language to fit on and to use as landmarks, their characters.
 LANGUAGES, PER_LANGUAGE, LANDMARKS, SAMPLE_CHARS = 64, 240, 48, 20_000
 RIDGE = 1e-3
-#: A document whose best score is lower is rejected by accepted().
-MIN_SCORE = 0.3
+#: accepted() rejects a document whose best score is lower, or that knows less than so much of the share of
+#: its n-grams which texts of its language find among the landmarks in the median; texts of fewer n-grams have no such share.
+MIN_SCORE, KNOWN, LEAST_GRAMS = 0.3, 0.65, 60
+#: Labelled texts beside the landmarks that a language needs for a median of its own.
+LEAST_TEXTS = 8
 
 
 def _has_letter(text: str) -> bool:
@@ -62,18 +66,33 @@ class Model:
     index: np.ndarray  # bucket -> row of weights, or the zero row
     weights: np.ndarray  # (rows + 1, languages)
     bias: np.ndarray
+    usual: np.ndarray  # median share of known n-grams in texts of each language; 0 where too few texts tell
 
-    def scores(self, texts: list[str]) -> np.ndarray:
-        """Regression values, one row a text and one column a language."""
-        out = np.empty((len(texts), len(self.languages)), np.float32)
+    def known(self, grams: np.ndarray) -> float:
+        """The share of a text's n-grams that the landmarks have."""
+        return float((self.index[grams] < len(self.weights) - 1).mean()) if len(grams) else 0.0
+
+    def scores(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Regression values, one row a text and one column a language, and the share of known n-grams (1 where there are too few)."""
+        out, known = np.empty((len(texts), len(self.languages)), np.float32), np.ones(len(texts))
         for a in range(0, len(texts), 64):
             part = [_grams(t) for t in texts[a : a + 64]]
             block = np.zeros((len(part), len(self.weights)), np.float32)
             for i, g in enumerate(part):
                 block[i, self.index[g]] = 1 / max(1.0, len(g)) ** 0.5
+                if len(g) >= LEAST_GRAMS:
+                    known[a + i] = self.known(g)
             block[:, -1] = 0
             out[a : a + 64] = block @ self.weights
-        return out + self.bias
+        return out + self.bias, known
+
+    def accepts(self, texts: list[str]) -> np.ndarray:
+        """Whether each text has a letter, scores enough and is built as its language is."""
+        ok = np.array([_has_letter(t) for t in texts], bool)
+        some = np.flatnonzero(ok)
+        values, known = self.scores([texts[i] for i in some])
+        ok[some] = ((values.max(axis=1, initial=-1.0) + 1) / 2 >= MIN_SCORE) & (known >= KNOWN * self.usual[values.argmax(axis=1)])
+        return ok
 
 
 def fit(spark: SparkSession, labelled: DataFrame) -> Model:
@@ -94,7 +113,7 @@ def fit(spark: SparkSession, labelled: DataFrame) -> Model:
             have.append(np.frombuffer(bytes(r["grams"]), np.int32))
     names = sorted(by)
     if not names:
-        return Model(["und"], np.zeros(BUCKETS, np.int32), np.zeros((1, 1), np.float32), np.zeros(1, np.float32))
+        return Model(["und"], np.zeros(BUCKETS, np.int32), np.zeros((1, 1), np.float32), np.full(1, -1, np.float32), np.zeros(1))
     per = max(4, min(LANDMARKS, 1024 // len(names)))
     marks = [g for n in names for g in by[n][:per]]
     texts = [(g, i) for i, n in enumerate(names) for g in by[n]]
@@ -127,7 +146,11 @@ def fit(spark: SparkSession, labelled: DataFrame) -> Model:
     beta = np.linalg.solve(left + 1e-9 * np.eye(len(left)), right)
     weights = land.T.astype(np.float64) @ (root @ beta[:-1])
     weights[-1] = 0
-    return Model(names, index, weights.astype(np.float32), beta[-1].astype(np.float32))
+    model = Model(names, index, weights.astype(np.float32), beta[-1].astype(np.float32), np.zeros(len(names)))
+    for i, n in enumerate(names):
+        if len(by[n]) >= per + LEAST_TEXTS:
+            model.usual[i] = np.median([model.known(g) for g in by[n][per:]])
+    return model
 
 
 def _to_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,7 +176,7 @@ def predict(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
                 known = np.array([t is not None and _has_letter(t) for t in texts], bool)
                 values = np.full((len(texts), len(m.languages)), -1.0, np.float32)
                 if known.any():
-                    values[known] = m.scores([t for t, k in zip(texts, known, strict=True) if k])
+                    values[known] = m.scores([t for t, k in zip(texts, known, strict=True) if k])[0]
                 best = values.argmax(axis=1)
                 score = np.clip((values[np.arange(len(texts)), best].astype(float) + 1) / 2, 0, 1) * known
                 names = [m.languages[i] if k else "und" for i, k in zip(best, known, strict=True)]
@@ -177,21 +200,18 @@ def identify(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def accepted(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The rows of docs whose language is known with at least MIN_SCORE, with all their columns."""
+    """The rows of docs whose language is known, with all their columns.
+
+    Rejected are texts that are null or have no letter, score less than MIN_SCORE in every language, or
+    are built of n-grams that their language doesn't have (see KNOWN). Without labelled rows nothing is known.
+    """
     model = fit(spark, docs.where(~held_out() & F.col("doc_id").isNotNull()).select("text", "lang"))
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("boolean")
-    def known(text):
+    def known(text: pd.Series) -> pd.Series:
         m = shared.value
-        import pandas as pd
-
-        texts = text.tolist()
-        good = np.array([isinstance(t, str) and _has_letter(t) for t in texts], bool)
-        for a in range(0, len(texts), 1024):
-            at = a + np.flatnonzero(good[a : a + 1024])
-            if len(at):
-                good[at] = (m.scores([texts[i] for i in at]).max(axis=1) + 1) / 2 >= MIN_SCORE
-        return pd.Series(good)
+        texts = [t if isinstance(t, str) else "" for t in text]
+        return pd.Series(np.concatenate([m.accepts(texts[a : a + 1024]) for a in range(0, len(texts), 1024)]) if texts else np.zeros(0, bool))
 
     return docs.where(known("text"))

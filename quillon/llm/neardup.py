@@ -32,7 +32,7 @@ ROOTS = sum(TURNS) * ROOT_BRANCHES
 #: Minwise positions that nodes below the roots branch on, a byte each.
 POSITIONS = 128
 #: A node of at most so many classes and, unless it has very few classes, so many shingles is compared exhaustively.
-LEAF, LEAF_SHINGLES, FEW = 2048, 1 << 24, 64
+LEAF, LEAF_SHINGLES, FEW = 1024, 1 << 24, 64
 #: Levels of a tree before the exhaustive finish.
 MOST_LEVELS = 32
 #: Bits of a parity sketch: the power of two from two bits a shingle, within these.
@@ -223,13 +223,14 @@ def components(store: Store, edges: DataFrame) -> DataFrame:
     Each round takes the smallest label among neighbours and then that label's own label, so long
     chains need few rounds. Hot ids only meet in partial minima and joins that Spark can split.
     """
-    both = store.keep(edges.select("a", "b").union(edges.select("b", "a")).toDF("id", "other"), "arcs")
-    label = store.keep(both.groupBy("id").agg(F.least(F.col("id"), F.min("other")).alias("comp")), "label")
+    n = 2 * edges.count()
+    both = store.keep(edges.select("a", "b").union(edges.select("b", "a")).toDF("id", "other"), "arcs", n)
+    label = store.keep(both.groupBy("id").agg(F.least(F.col("id"), F.min("other")).alias("comp")), "label", n)
     while True:
         of = label.select(F.col("id").alias("other"), F.col("comp").alias("near"))
         step = both.join(of, "other").groupBy("id").agg(F.min("near").alias("near")).join(label, "id").select("id", F.least("near", "comp").alias("mid"), F.col("comp").alias("old"))
         jump = label.select(F.col("id").alias("mid"), F.col("comp").alias("far"))
-        new = store.keep(step.join(jump, "mid", "left").select("id", F.least("mid", F.coalesce("far", "mid")).alias("comp"), "old"), "label")
+        new = store.keep(step.join(jump, "mid", "left").select("id", F.least("mid", F.coalesce("far", "mid")).alias("comp"), "old"), "label", n)
         moved = not new.where("comp <> old").isEmpty()
         store.drop(label)
         if not moved:
@@ -249,20 +250,21 @@ def _merge(store: Store, label: DataFrame | None, edges: DataFrame) -> DataFrame
     if label is None:
         return components(store, edges)
     ends = _with_comp(_with_comp(edges.withColumnRenamed("a", "id"), label).select(F.col("comp").alias("a"), F.col("b").alias("id")), label)
-    moved = components(store, ends.select("a", F.col("comp").alias("b")).where("a <> b").distinct()).select("id", "comp")
-    new = label.select("id", "comp").join(moved.toDF("comp", "to"), "comp", "left").select("id", F.coalesce("to", "comp").alias("comp"))
-    out = store.keep(new.union(moved.join(label.select("id"), "id", "left_anti")), "label")
-    store.drop(label)
+    ends = store.keep(ends.select("a", F.col("comp").alias("b")).where("a <> b").distinct(), "ends", edges.count())
+    moved = components(store, ends)
+    new = label.select("id", "comp").join(moved.select(F.col("id").alias("comp"), F.col("comp").alias("to")), "comp", "left").select("id", F.coalesce("to", "comp").alias("comp"))
+    out = store.keep(new.union(moved.select("id", "comp").join(label.select("id"), "id", "left_anti")), "label", label.count() + moved.count())
+    store.drop(label, moved, ends)
     return out
 
 
-def _meeting(store: Store, rows: DataFrame, label: DataFrame | None) -> DataFrame:
+def _meeting(store: Store, rows: DataFrame, n: int, label: DataFrame | None) -> DataFrame:
     """(node, id, comp, size, weight) of the nodes in which several components meet; of nodes with the same members one stays."""
     rows = _with_comp(rows, label)
     part = [F.sum(F.pmod(F.xxhash64("id", F.lit(k)), F.lit(1 << 31))).alias(f"s{k}") for k in range(3)]
     stats = rows.groupBy("node").agg(F.count("*").alias("size"), F.sum("n").alias("weight"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), *part).where("lo < hi")
-    stats = store.keep(stats.groupBy("size", "s0", "s1", "s2").agg(F.min("node").alias("node"), F.max("weight").alias("weight")).select("node", "size", "weight"), "nodes")
-    out = store.keep(rows.join(stats, "node").select("node", "id", "n", "comp", "size", "weight"), "meeting")
+    stats = store.keep(stats.groupBy("size", "s0", "s1", "s2").agg(F.min("node").alias("node"), F.max("weight").alias("weight")).select("node", "size", "weight"), "nodes", n)
+    out = store.keep(rows.join(stats, "node").select("node", "id", "n", "comp", "size", "weight"), "meeting", n)
     store.drop(stats)
     return out
 
@@ -283,14 +285,18 @@ def _leaves(met: DataFrame, finish: bool) -> DataFrame:
     return small.union(large.select(F.xxhash64("node", block).alias("leaf"), "id", "comp"))
 
 
-def _links(store: Store, leaves: DataFrame, odd: DataFrame, text_of: Callable[[DataFrame], DataFrame], num: int, den: int) -> DataFrame | None:
-    """Edges between components that the leaves show, or None."""
-    screened = leaves.join(odd, "id").select("leaf", "id", "comp", "n", "odd").repartition("leaf").sortWithinPartitions("leaf")
+def _links(store: Store, leaves: DataFrame, n: int, odd: DataFrame, text_of: Callable[[DataFrame], DataFrame], num: int, den: int) -> DataFrame | None:
+    """Edges between components that the n rows of leaves show, or None."""
+
+    def by_leaf(rows: DataFrame, n: int) -> DataFrame:
+        return rows.repartition("leaf").sortWithinPartitions("leaf").coalesce(store.tasks(n, 20_000))
+
+    screened = by_leaf(leaves.join(odd, "id").select("leaf", "id", "comp", "n", "odd"), n)
     screened = store.keep(screened.mapInArrow(_screen(num, den), "leaf long, id long, comp long"), "screened")
     edges = None
-    if not screened.isEmpty():
-        text = text_of(screened.select("id").distinct())
-        full = screened.join(text, "id").select("leaf", "id", "comp", "text").repartition("leaf").sortWithinPartitions("leaf")
+    if m := screened.count():
+        text = text_of(screened.select("id"), m)
+        full = by_leaf(screened.join(text, "id").select("leaf", "id", "comp", "text"), m)
         edges = store.keep(full.mapInArrow(_confirm(num, den), "a long, b long"), "edges")
         store.drop(text)
     store.drop(screened)
@@ -312,42 +318,46 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, num: int = 85, den: in
         raise ValueError("the similarity must be from a half to one")
     store = Store(spark, "neardup")
     base = store.keep(signatures(docs), "signatures")
+    n = base.count()
     named = base.where("n > 0 AND doc_id IS NOT NULL")
-    classes = store.keep(named.groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), *(F.first(c).alias(c) for c in ("n", "roots", "low", "odd"))), "classes")
+    classes = store.keep(named.groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), *(F.first(c).alias(c) for c in ("n", "roots", "low", "odd"))), "classes", n, 50_000)
     members = base.select("doc_id", "n", "k1", "k2").join(classes.select("k1", "k2", "id"), ["k1", "k2"], "left").select("doc_id", "n", F.when(F.col("n") > 0, F.col("id")).otherwise(F.col("doc_id")).alias("id"))
-    members = store.keep(members, "members")
+    members = store.keep(members, "members", n)
     store.drop(base)
     # a doc_id that stands with several texts links their classes
     several = members.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("doc_id", "a")
-    several = store.keep(members.join(several, "doc_id").select("a", F.col("id").alias("b")).where("a < b").distinct(), "edges")
-    label = None if several.isEmpty() else _merge(store, None, several)
+    several = store.keep(several, "several", n)
+    label = None
+    if not several.isEmpty():
+        label = _merge(store, None, store.keep(members.join(several, "doc_id").select("a", F.col("id").alias("b")).where("a < b").distinct(), "edges", n))
 
-    def text_of(ids: DataFrame) -> DataFrame:
-        wanted = store.keep(ids, "wanted")
-        rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).join(sized(wanted), "id", "left_semi")
-        text = store.keep(rows.groupBy("id", F.xxhash64("text")).agg(F.first("text").alias("text")).select("id", "text"), "text")
-        store.drop(wanted)
-        return text
+    def text_of(ids: DataFrame, n: int) -> DataFrame:
+        rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).join(sized(ids), "id", "left_semi")
+        return store.keep(rows.groupBy("id", F.xxhash64("text")).agg(F.first("text").alias("text")).select("id", "text"), "text", n, 20_000)
 
-    first = 0
+    first, count = 0, classes.count()
     for trees in TURNS:
         last = first + trees * ROOT_BRANCHES
-        rows = classes.select("id", "n", "roots").mapInArrow(_at_roots(first, last), "node long, id long, n long")
+        rows, m = classes.select("id", "n", "roots").mapInArrow(_at_roots(first, last), "node long, id long, n long"), count * (last - first)
         for level in range(MOST_LEVELS + 1):
-            met = _meeting(store, rows, label)
-            edges = _links(store, _leaves(met, level == MOST_LEVELS), classes.select("id", "n", "odd"), text_of, num, den)
+            met = _meeting(store, rows, m, label)
+            leaves = _leaves(met, level == MOST_LEVELS)
+            edges = _links(store, leaves, leaves.count(), classes.select("id", "n", "odd"), text_of, num, den)
             if edges is not None:
                 label = _merge(store, label, edges)
                 store.drop(edges)
             rest = met.where(_large()).select("node", "id", "n")
-            if level == MOST_LEVELS or rest.isEmpty():
+            m = rest.count()
+            if level == MOST_LEVELS or not m:
                 store.drop(met)
                 break
-            rows = store.keep(rest.join(classes.select("id", "low"), "id").select("node", "id", "n", "low").mapInArrow(_branch(min(den / num, 2.0)), "node long, id long, n long"), "rows")
+            rest = rest.join(classes.select("id", "low"), "id").select("node", "id", "n", "low").coalesce(store.tasks(m))
+            rows = store.keep(rest.mapInArrow(_branch(min(den / num, 2.0)), "node long, id long, n long"), "rows")
             store.drop(met)
+            m = rows.count()
         first = last
 
     out = members.select("doc_id", "n", "id").where("id IS NOT NULL")
     out = _with_comp(out, label).unionByName(members.where("id IS NULL").withColumn("comp", F.lit(None).cast("long")))
     comp = F.when(F.col("doc_id").isNotNull(), F.col("comp"))
-    return store.finish(out.select("doc_id", F.col("n").alias("n_shingles"), comp.alias("component_id"), F.coalesce(comp == F.col("doc_id"), F.lit(False)).alias("kept")))
+    return store.finish(out.select("doc_id", F.col("n").alias("n_shingles"), comp.alias("component_id"), F.coalesce(comp == F.col("doc_id"), F.lit(False)).alias("kept")), rows=n)
