@@ -8,8 +8,8 @@ import unicodedata
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words that don't tell headers apart.
-STOP_WORDS = frozenset({"de", "del", "la", "las", "el", "los", "y", "en", "a", "por", "para"})
+# Words that don't tell headers apart.
+STOP_WORDS = frozenset({"de", "del", "la", "los", "las", "el", "y", "en", "para", "con", "segun", "a", "o", "u"})
 
 
 def _plain(text: str) -> str:
@@ -36,7 +36,7 @@ def year_of(header: str) -> tuple[int, bool] | None:
 
 
 def is_total_header(header: str) -> bool:
-    return tolerant_key(header).startswith("total")
+    return tolerant_key(header) == "total"
 
 
 def landing_name(header: str) -> str:

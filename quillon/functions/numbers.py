@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quillon.functions.bind import let
 from quillon.functions.text import collapse_space
 
 NUMBER = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
@@ -22,29 +23,40 @@ def _to_long(c: Column) -> Column:
 
 def int_safe(c: Column) -> Column:
     """Every comma goes; decimals are cut towards zero; junk is null."""
-    return _to_long(F.replace(collapse_space(c.cast("string")), F.lit(","), F.lit("")))
+    return let(F.replace(collapse_space(c.cast("string")), F.lit(","), F.lit("")), _to_long)
+
+
+def _count(c: Column, sign: str) -> Column:
+    return F.length(c) - F.length(F.replace(c, F.lit(sign), F.lit("")))
+
+
+def _without(c: Column, sign: str) -> Column:
+    return F.replace(c, F.lit(sign), F.lit(""))
+
+
+def _last_is_decimal(t: Column) -> Column:
+    """A number that holds both separators, with the last one as its point."""
+    comma_last = F.instr(F.reverse(t), ",") < F.instr(F.reverse(t), ".")
+    return F.when(comma_last, F.replace(_without(t, "."), F.lit(","), F.lit("."))).otherwise(_without(t, ","))
 
 
 def numeric_safe(c: Column) -> Column:
     """`$`, `%` and blanks go. With both separators the last is the decimal one; a repeated one must
     group by threes; a single one before exactly three digits is ambiguous and null."""
-    t = F.regexp_replace(c.cast("string"), r"(?U)[\s$%]", "")
-    plain = F.regexp_replace(t, "^[+-]", "")
-    commas = F.length(plain) - F.length(F.replace(plain, F.lit(","), F.lit("")))
-    dots = F.length(plain) - F.length(F.replace(plain, F.lit("."), F.lit("")))
-    comma_last = F.instr(F.reverse(plain), ",") < F.instr(F.reverse(plain), ".")
-    drop = lambda x, s: F.replace(x, F.lit(s), F.lit(""))
-    dot_for_comma = lambda x: F.replace(x, F.lit(","), F.lit("."))
-    both = F.when(comma_last, dot_for_comma(drop(t, "."))).otherwise(drop(t, ","))
-    grouped = lambda s: plain.rlike(rf"^\d{{1,3}}(\{s}\d{{3}})+$")
-    return _strict_double(
-        F.when((commas > 0) & (dots > 0), both)
-        .when(commas > 1, F.when(grouped(","), drop(t, ",")))
-        .when(dots > 1, F.when(grouped("."), drop(t, ".")))
-        .when(plain.rlike(r"^\d+[.,]\d{3}$"), F.lit(None))
-        .when(commas == 1, dot_for_comma(t))
-        .otherwise(t)
-    )
+
+    def plain(t: Column) -> Column:
+        commas, dots = F.contains(t, F.lit(",")), F.contains(t, F.lit("."))
+        several = lambda s: F.when(t.rlike(rf"^[+-]?\d{{1,3}}(\{s}\d{{3}})+$"), _without(t, s))
+        return (
+            F.when(commas & dots, _last_is_decimal(t))
+            .when(~commas & ~dots, t)
+            .when(_count(t, ",") > 1, several(","))
+            .when(_count(t, ".") > 1, several("."))
+            .when(t.rlike(r"^[+-]?\d+[.,]\d{3}$"), F.lit(None))
+            .otherwise(F.replace(t, F.lit(","), F.lit(".")))
+        )
+
+    return let(let(F.regexp_replace(c.cast("string"), r"(?U)[\s$%]", ""), plain), _strict_double)
 
 
 def bool_safe(c: Column) -> Column:
@@ -54,23 +66,24 @@ def bool_safe(c: Column) -> Column:
 
 def budget_int(c: Column) -> Column:
     """No comma is dropped."""
-    return _to_long(collapse_space(c.cast("string")))
+    return let(collapse_space(c.cast("string")), _to_long)
 
 
 def budget_numeric(c: Column) -> Column:
     """`-` is null; with both separators the last is the decimal one; one comma before one or two
     digits is decimal, any other is for thousands."""
-    t = F.regexp_replace(c.cast("string"), r"(?U)[\s%]", "")
-    commas = F.length(t) - F.length(F.replace(t, F.lit(","), F.lit("")))
-    comma_last = F.instr(F.reverse(t), ",") < F.instr(F.reverse(t), ".")
-    drop = lambda x, s: F.replace(x, F.lit(s), F.lit(""))
-    both = F.when(comma_last, F.replace(drop(t, "."), F.lit(","), F.lit("."))).otherwise(drop(t, ","))
-    return _strict_double(
-        F.when(t.isin("", "-"), F.lit(None))
-        .when((commas > 0) & F.contains(t, F.lit(".")), both)
-        .when((commas == 1) & t.rlike(r",\d{1,2}$"), F.replace(t, F.lit(","), F.lit(".")))
-        .otherwise(drop(t, ","))
-    )
+
+    def plain(t: Column) -> Column:
+        commas = F.contains(t, F.lit(","))
+        return (
+            F.when(t.isin("", "-"), F.lit(None))
+            .when(~commas, t)
+            .when(F.contains(t, F.lit(".")), _last_is_decimal(t))
+            .when(t.rlike(r"^[^,]*,[^,]{1,2}$"), F.replace(t, F.lit(","), F.lit(".")))
+            .otherwise(_without(t, ","))
+        )
+
+    return let(let(F.regexp_replace(c.cast("string"), r"(?U)[\s%]", ""), plain), _strict_double)
 
 
 budget_percent = budget_numeric
@@ -82,12 +95,12 @@ def is_null_like(c: Column) -> Column:
 
 def report_int(c: Column, zero_dash: bool = False) -> Column:
     """Null-like marks are null; a dash is 0 if asked."""
-    dash = collapse_space(c.cast("string")) == "-"
-    return F.when(dash, F.lit(0 if zero_dash else None).cast("bigint")).when(~is_null_like(c), int_safe(c))
+    number = lambda t: F.when(t == "-", F.lit(0 if zero_dash else None).cast("bigint")).when(~is_null_like(t), int_safe(t))
+    return let(collapse_space(c.cast("string")), number)
 
 
 def report_numeric(c: Column) -> Column:
-    return F.when(~is_null_like(c), numeric_safe(c))
+    return let(collapse_space(c.cast("string")), lambda t: F.when(~is_null_like(t), numeric_safe(t)))
 
 
 report_percent = report_numeric

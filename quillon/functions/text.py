@@ -7,13 +7,26 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quillon.functions.bind import let
+
 #: White space as Unicode knows it, no-break spaces included.
 SPACE = r"(?U)\s+"
 CONTROLS = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f]"
 ASCII_PUNCTUATION = r"""[!-/:-@\[-`{-~]"""
-SUSPICIOUS = r"[$€£¥¢§¶¤~^|\\<>{}\[\]`]"
-TOTAL_WORDS = ("TOTAL", "TOTAL GENERAL", "TOTAL GLOBAL", "TOTAL NACIONAL", "TOTAL DE BENEFICIARIOS", "TOTAL BENEFICIARIOS", "GRAN TOTAL", "SUBTOTAL", "SUB TOTAL", "TOTALES", "NACIONAL", "TODOS", "TODAS", "GENERAL")
-TERRITORIAL_COLUMNS = ("region", "departamento", "provincia", "distrito", "region_postulacion", "region_estudio", "pais_estudio")
+# Symbols that are suspicious in names, and those that make spellings vary.
+SUSPICIOUS = r"[@#$%^*_=+~`|\\<>\[\]{}]"
+PUNCTUATION_VARIANT = r"[-/()]"
+# Signs of a wrong decoding.
+MOJIBAKE_MARKERS = ("Ã", "Â", "â", "ð", "Ð", "\ufffd")
+# What stands in territorial columns in place of a territory, as matching keys.
+TOTAL_KEYS = ("TOTAL", "TOTAL GENERAL", "SUBTOTAL", "TODOS", "TODAS", "NACIONAL", "PERU", "PAIS", "EXTRANJERO", "NO ESPECIFICADO", "SIN INFORMACION")
+NATIONAL_KEYS = ("NACIONAL", "PERU", "PAIS", "TOTAL GENERAL")
+EXCLUDED_KEYS = ("TOTAL", "SUBTOTAL", "TODOS", "TODAS")
+AGGREGATE_KEYS = ("TOTAL", "TOTAL GENERAL", "SUBTOTAL")
+# Territorial columns; where a child is a total beside a parent, the row is an aggregate.
+PARENT_COLUMNS = ("region", "departamento", "region_postulacion", "departamento_postulacion")
+CHILD_COLUMNS = ("provincia", "distrito", "provincia_postulacion", "distrito_postulacion")
+TERRITORIAL_COLUMNS = (*PARENT_COLUMNS, *CHILD_COLUMNS, "ubigeo", "codigo_ubigeo")
 
 #: What Windows-1252 shows for the bytes 80 to 9F that it defines.
 _CP1252 = {bytes([b]).decode("cp1252"): chr(b) for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
@@ -147,7 +160,8 @@ def hierarchy(c: Column) -> Column:
 
 
 def has_mojibake(c: Column) -> Column:
-    return c.rlike("Ã[\u0080-¿‚ƒ„…†‡ˆ‰Š‹Œ‘’“”•–—˜™š›œž€]|Â[\u0080-¿]|â€")
+    """A sign of a wrong decoding, or a text that the repair changes."""
+    return c.rlike("[" + "".join(MOJIBAKE_MARKERS) + "]") | (repair_mojibake(c) != c)
 
 
 def has_replacement(c: Column) -> Column:
@@ -182,50 +196,63 @@ def has_suspicious(c: Column) -> Column:
     return c.rlike(SUSPICIOUS)
 
 
-#: Issue codes in the order in which they are listed.
+# Issue codes, in the order in which they are listed.
 ISSUES = (
-    ("MOJIBAKE_PATTERN", has_mojibake),
-    ("REPLACEMENT_CHARACTER", has_replacement),
-    ("CONTROL_CHARACTER", has_controls),
-    ("TAB_OR_NEWLINE", has_tab_or_newline),
     ("LEADING_OR_TRAILING_SPACE", has_edge_space),
     ("REPEATED_SPACES", has_repeated_space),
-    ("NON_ASCII", has_non_ascii),
-    ("HAS_ACCENTS", has_accents),
+    ("TAB_OR_NEWLINE", has_tab_or_newline),
+    ("CONTROL_CHARACTER", has_controls),
+    ("MOJIBAKE_PATTERN", has_mojibake),
+    ("REPLACEMENT_CHARACTER", has_replacement),
+    ("ACCENTED_CHARACTER", has_accents),
+    ("NON_ASCII_CHARACTER", has_non_ascii),
     ("SUSPICIOUS_SYMBOL", has_suspicious),
-    ("LOWERCASE_TEXT", lambda c: c.rlike(r"\p{Ll}")),
-    ("HAS_PUNCTUATION", lambda c: c.rlike(r"[-/()]")),
-    ("LONG_TEXT", lambda c: F.length(c) >= 50),
+    ("LOWERCASE_OR_MIXED_CASE", lambda c: c.rlike(r"\p{Ll}")),
+    ("PUNCTUATION_VARIANT", lambda c: c.rlike(PUNCTUATION_VARIANT)),
+    ("LONG_TEXT_VARIANT", lambda c: F.length(collapse_space(c)) >= 50),
 )
 EMPTY_ISSUE = "EMPTY_OR_WHITESPACE"
+#: Codes of differences that a matching key takes away and that need no review.
+MILD_ISSUES = ("ACCENTED_CHARACTER", "NON_ASCII_CHARACTER", "LOWERCASE_OR_MIXED_CASE", "PUNCTUATION_VARIANT", "LONG_TEXT_VARIANT")
 
 
 def issues(c: Column) -> Column:
     """The issue codes of a text; a blank or null one has EMPTY_OR_WHITESPACE alone."""
-    codes = F.array_compact(F.array(*[F.when(test(c), F.lit(code)) for code, test in ISSUES]))
-    return F.when(F.coalesce(trim_space(c), F.lit("")) == "", F.array(F.lit(EMPTY_ISSUE))).otherwise(codes)
+
+    def codes(t: Column) -> Column:
+        found = F.array_compact(F.array(*[F.when(test(t), F.lit(code)) for code, test in ISSUES]))
+        return F.when(F.coalesce(trim_space(t), F.lit("")) == "", F.array(F.lit(EMPTY_ISSUE))).otherwise(found)
+
+    return let(c, codes)
 
 
 def preview(c: Column) -> Column:
     """What each step of normalisation makes of a text, and its issues."""
-    return F.struct(
-        c.alias("original"),
-        repair_mojibake(c).alias("repaired"),
-        strip_controls(repair_mojibake(c)).alias("without_controls"),
-        clean_display(c).alias("clean"),
-        match_key(c).alias("key"),
-        issues(c).alias("issues"),
-    )
+
+    def steps(repaired: Column) -> Column:
+        plain = strip_controls(repaired)
+        return F.struct(
+            c.alias("original_value"),
+            repaired.alias("after_fix_mojibake"),
+            plain.alias("after_remove_control_chars"),
+            clean_basic(plain).alias("after_normalize_whitespace"),
+            strip_accents(clean_basic(plain)).alias("after_strip_accents"),
+            match_key(c).alias("after_normalize_for_matching"),
+            issues(c).alias("issues"),
+        )
+
+    return let(repair_mojibake(c), steps)
 
 
 def is_territorial(name: str) -> bool:
-    return name.lower() in TERRITORIAL_COLUMNS
+    return name.strip().lower() in TERRITORIAL_COLUMNS
 
 
 def is_total(c: Column) -> Column:
-    """Whether a value names a total and not a member."""
-    return F.coalesce(match_key(c).isin(*TOTAL_WORDS) | match_key(c).startswith("TOTAL "), F.lit(False))
+    """Whether a value stands for several territories or none."""
+    return F.coalesce(match_key(c).isin(*TOTAL_KEYS), F.lit(False))
 
 
 def territorial_action(c: Column) -> Column:
-    return F.when(is_total(c), "EXCLUDE_FROM_DETAIL").when(blank_to_null(c).isNull(), "REVIEW_BLANK").otherwise("KEEP")
+    """What to do with a value in a territorial column."""
+    return let(match_key(c), lambda k: F.when(k.isin(*NATIONAL_KEYS), "REVIEW_MAP_TO_NATIONAL_TOTAL").when(k.isin(*EXCLUDED_KEYS), "REVIEW_EXCLUDE_FROM_DETAIL_SILVER").when(k.isin(*TOTAL_KEYS), "REVIEW_KEEP_AS_AGGREGATE_TABLE").otherwise("REVIEW_UNKNOWN"))

@@ -67,16 +67,20 @@ def final_value(column: str):
     return F.coalesce(F.col(f"{column}_canonical"), F.col(column))
 
 
-# Spellings of regions that are one region, all others stand for themselves.
-MERGED_REGIONS = {"LIMA METROPOLITANA": "LIMA", "LIMA PROVINCIAS": "LIMA", "LIMA REGION": "LIMA", "PROVINCIA CONSTITUCIONAL DEL CALLAO": "CALLAO", "CALLAO REGION": "CALLAO"}
+# The regions, and spellings of those that several spellings merge into.
 REGIONS = ("AMAZONAS", "ANCASH", "APURIMAC", "AREQUIPA", "AYACUCHO", "CAJAMARCA", "CALLAO", "CUSCO", "HUANCAVELICA", "HUANUCO", "ICA", "JUNIN", "LA LIBERTAD", "LAMBAYEQUE", "LIMA", "LORETO", "MADRE DE DIOS", "MOQUEGUA", "PASCO", "PIURA", "PUNO", "SAN MARTIN", "TACNA", "TUMBES", "UCAYALI")
+MERGED_REGIONS = {"LIMA METROPOLITANA": "LIMA", "LIMA PROVINCIAS": "LIMA", "PROV. CONST. DEL CALLAO": "CALLAO", "PROVINCIA CONSTITUCIONAL DEL CALLAO": "CALLAO"}
+PROVINCES = ("CALLAO",)
 
 
 def region_dimension(spark: SparkSession, names: tuple[str, ...] = REGIONS, merged: dict[str, str] | None = None) -> DataFrame:
-    """(source_region, region_key, region, is_merged): spellings and the region each belongs to."""
+    """(source_region, region_key, region, region_scope, mapping_rule, is_aggregated_region): spellings and the region each belongs to."""
     merged = MERGED_REGIONS if merged is None else merged
-    rows = [(n, n, False) for n in names] + [(a, b, True) for a, b in merged.items()]
-    return spark.createDataFrame(rows, "source_region string, region string, is_merged boolean").select("source_region", region_key(F.col("source_region")).alias("region_key"), "region", "is_merged")
+    several = set(merged.values())
+    row = lambda spelling, region: (spelling, region, "province" if region in PROVINCES else "department", f"manual_{region.lower()}_aggregation" if region in several else "identity", region in several)
+    rows = [row(n, n) for n in names] + [row(a, b) for a, b in merged.items()]
+    df = spark.createDataFrame(rows, "source_region string, region string, region_scope string, mapping_rule string, is_aggregated_region boolean")
+    return df.select("source_region", region_key(F.col("source_region")).alias("region_key"), "region", "region_scope", "mapping_rule", "is_aggregated_region")
 
 
 def join_region(df: DataFrame, dimension: DataFrame, column: str) -> DataFrame:

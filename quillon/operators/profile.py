@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillon.functions.numbers import numeric_safe, value_class
-from quillon.functions.text import ISSUES, is_territorial, is_total, issues, match_key, preview, territorial_action
+from quillon.functions.text import AGGREGATE_KEYS, CHILD_COLUMNS, EMPTY_ISSUE, ISSUES, MILD_ISSUES, PARENT_COLUMNS, clean_display, is_territorial, is_total, issues, match_key, preview, territorial_action
 
 NULL_LIKE = ("", "null", "none", "nan", "n/a", "na", "-")
 IDENTIFIER = r"(^|_)(id|codigo|code|key|ruc|dni|ubigeo|telefono|phone)(_|$)"
@@ -20,12 +20,14 @@ def unpivot(df: DataFrame, columns: list[str] | None = None, keep: list[str] = (
 
 
 def columns_profile(df: DataFrame, samples: int = 5) -> DataFrame:
-    """(column, n, nulls, empty, distinct, max_length, samples, null_percent) of every column.
+    """(column, rows, nulls, empty, distinct_values, max_length, samples, null_percent) of every column.
 
-    Cells are counted by value first, so a frequent value is one row after the first shuffle.
+    Cells are counted by value first, so a frequent value is one row after the first shuffle. samples
+    holds the smallest filled values: partial lists are cut to so many before they meet.
     """
     values = unpivot(df).groupBy("column", "value").agg(F.count("*").alias("n"))
-    rank = F.row_number().over(Window.partitionBy("column").orderBy(F.desc("n"), F.asc_nulls_last("value")))
+    some = F.row_number().over(Window.partitionBy("column", F.pmod(F.xxhash64("value"), F.lit(64))).orderBy("value"))
+    few = values.where(F.trim("value") != "").withColumn("r", some).where(F.col("r") <= samples).groupBy("column").agg(F.slice(F.array_sort(F.collect_list("value")), 1, samples).alias("samples"))
     blank = F.trim("value") == ""
     g = values.groupBy("column").agg(
         F.sum("n").alias("rows"),
@@ -34,7 +36,8 @@ def columns_profile(df: DataFrame, samples: int = 5) -> DataFrame:
         F.count_if(F.col("value").isNotNull() & ~blank).alias("distinct_values"),
         F.coalesce(F.max(F.length("value")), F.lit(0)).alias("max_length"),
     )
-    return g.withColumn("null_percent", F.round(100 * (F.col("nulls") + F.col("empty")) / F.col("rows"), 4))
+    g = g.join(F.broadcast(few), "column", "left")  # a row a column
+    return g.withColumn("samples", F.coalesce("samples", F.array().cast("array<string>"))).withColumn("null_percent", F.round(100 * (F.col("nulls") + F.col("empty")) / F.col("rows"), 4))
 
 
 def top_values(df: DataFrame, columns: list[str], n: int = 10) -> DataFrame:
@@ -69,7 +72,8 @@ def warnings(df: DataFrame) -> DataFrame:
     g = c.groupBy("column").agg(
         F.count("*").alias("n"),
         F.count_if(F.col("class") == "EMPTY").alias("empty"),
-        F.approx_count_distinct(F.when(F.col("class") != "EMPTY", F.col("value"))).alias("d"),
+        F.min(F.when(F.col("class") != "EMPTY", F.col("value"))).alias("least"),
+        F.max(F.when(F.col("class") != "EMPTY", F.col("value"))).alias("most"),
         F.count_if(F.col("class") == "INTEGER").alias("ints"),
         F.count_if(F.col("class").isin("INTEGER", "NUMERIC")).alias("nums"),
         F.count_if(F.col("class") == "TEXT").alias("texts"),
@@ -80,7 +84,7 @@ def warnings(df: DataFrame) -> DataFrame:
         F.array(
             F.when(100 * F.col("empty") >= 80 * F.col("n"), "HIGH_NULL_PERCENTAGE"),
             F.when(F.col("empty") == F.col("n"), "ALL_EMPTY"),
-            F.when((filled > 1) & (F.col("d") == 1), "LOW_DISTINCT"),
+            F.when((filled > 1) & (F.col("least") == F.col("most")), "LOW_DISTINCT"),
             F.when((F.col("ints") > 0) & F.lower("column").rlike(IDENTIFIER), "POSSIBLE_IDENTIFIER_AS_NUMBER"),
             F.when(F.col("commas") > 0, "POSSIBLE_DECIMAL_COMMA"),
             F.when((F.col("nums") > 0) & (F.col("texts") > 0), "MIXED_TYPE_VALUES"),
@@ -123,15 +127,24 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 def issue_summary(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, n, and a count for each issue code)."""
     c = unpivot(df, columns).groupBy("column", "value").agg(F.count("*").alias("times")).withColumn("issues", issues(F.col("value")))
-    codes = ["EMPTY_OR_WHITESPACE", *[code for code, _ in ISSUES]]
+    codes = [EMPTY_ISSUE, *[code for code, _ in ISSUES]]
     return c.groupBy("column").agg(F.sum("times").alias("n"), F.count_if(F.col("value").isNotNull()).alias("distinct_values"), *[F.coalesce(F.sum(F.when(F.array_contains("issues", code), F.col("times"))), F.lit(0)).alias(code.lower()) for code in codes])
 
 
 def anomalies(df: DataFrame, columns: list[str], id_column: str) -> DataFrame:
-    """(column, value, issue, times, suggested, key, example_id) of every issue but the mild ones."""
+    """(column, value, issue, times, suggested, key, example_id) of every issue but the mild ones.
+
+    example_id is the smallest id with the value.
+    """
     c = unpivot(df, columns, [id_column]).groupBy("column", "value").agg(F.count("*").alias("times"), F.min(id_column).alias("example_id"))
-    p = c.withColumn("p", preview(F.col("value"))).withColumn("issue", F.explode("p.issues"))
-    return p.where(~F.col("issue").isin("HAS_ACCENTS", "NON_ASCII", "LOWERCASE_TEXT", "HAS_PUNCTUATION", "LONG_TEXT")).select("column", "value", "issue", "times", F.col("p.clean").alias("suggested"), F.col("p.key").alias("key"), "example_id")
+    p = c.withColumn("issue", F.explode(F.array_except(issues(F.col("value")), F.array(*map(F.lit, MILD_ISSUES)))))
+    return p.select("column", "value", "issue", "times", clean_display(F.col("value")).alias("suggested"), match_key(F.col("value")).alias("key"), "example_id")
+
+
+def normalisation_preview(df: DataFrame, columns: list[str], n: int = 100) -> DataFrame:
+    """(column, times, and the steps of preview()) of the n most frequent values of each column."""
+    top = top_values(df, columns, n)
+    return top.select("column", "times", "place", preview(F.col("value")).alias("p")).select("column", "times", "place", "p.*")
 
 
 def alias_groups(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -144,12 +157,20 @@ def alias_groups(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def territorial_rows(df: DataFrame, keep: list[str]) -> DataFrame:
-    """(keep..., column, value, issue, action) of totals in territorial columns."""
+    """(keep..., parent_column, parent_value, column, value, issue, action): two issues for each total in a territorial column.
+
+    The parent is the first filled parent column of the row, "" where none is.
+    """
     columns = [c for c in df.columns if is_territorial(c)]
-    c = unpivot(df, columns, keep)
-    blank = F.trim(F.coalesce("value", F.lit(""))) == ""
-    issue = F.when(is_total(F.col("value")), "TERRITORIAL_TOTAL_VALUE").when(blank, "TERRITORIAL_BLANK_VALUE")
-    return c.select(*keep, "column", "value", issue.alias("issue"), territorial_action(F.col("value")).alias("action")).where("issue IS NOT NULL")
+    filled = lambda c: F.when(F.col(c).cast("string") != "", F.struct(F.lit(c.lower()).alias("column"), F.col(c).cast("string").alias("value")))
+    parents = [filled(c) for c in columns if c.lower() in PARENT_COLUMNS]
+    none = F.struct(F.lit("").alias("column"), F.lit("").alias("value"))
+    rows = df.withColumn("parent", F.coalesce(*parents, none)).select(*keep, "parent", *columns)
+    c = unpivot(rows, columns, [*keep, "parent"]).where(is_total(F.col("value")))
+    below = F.lower("column").isin(*CHILD_COLUMNS) & (F.col("parent.column") != "")
+    second = F.when(below | match_key(F.col("value")).isin(*AGGREGATE_KEYS), "AGGREGATE_TOTAL_ROW").otherwise("POSSIBLE_NON_TERRITORIAL_VALUE")
+    c = c.withColumn("issue", F.explode(F.array(F.lit("TERRITORIAL_TOTAL_VALUE"), second)))
+    return c.select(*keep, F.col("parent.column").alias("parent_column"), F.col("parent.value").alias("parent_value"), F.lower("column").alias("column"), "value", "issue", territorial_action(F.col("value")).alias("action"))
 
 
 def mixed_granularity(df: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,8 +91,6 @@ def summary(spark: SparkSession, counts: DataFrame) -> DataFrame:
 
 
 def audit_event(spark: SparkSession, **fields) -> DataFrame:
-    """One row of audit fields; metadata, if given, becomes JSON text."""
-    import json
-
-    values = {k: json.dumps(v, sort_keys=True) if k == "metadata" and not isinstance(v, str) else v for k, v in fields.items()}
-    return spark.createDataFrame([tuple(values.values())], list(values))
+    """One row of audit fields as text; metadata, if given, becomes JSON text, and None is null."""
+    text = lambda k, v: v if v is None or isinstance(v, str) else json.dumps(v, sort_keys=True) if k == "metadata" else str(v)
+    return spark.createDataFrame([tuple(text(k, v) for k, v in fields.items())], ", ".join(f"{k} string" for k in fields))

@@ -93,12 +93,11 @@ def scenarios(spark: SparkSession) -> DataFrame:
 def allocate(scored: DataFrame, plan: DataFrame, budget: DataFrame, by: str = "year") -> DataFrame:
     """Shares each period's budget(by, budget, unit_cost) among regions, for every scenario of the plan.
 
-    The plan is a literal of a few rows, so each region row becomes as many rows as it has scenarios.
+    The plan is a catalogue of a few rows, so each region row becomes as many rows as it has scenarios.
     """
     parts = (("w_poverty", "poverty"), ("w_demand", "demand"), ("w_population", "youth"), ("w_coverage", "gap_score"), ("w_first", "first_generation_score"))
     combined = sum((F.col(f"s.{w}") * F.coalesce(F.col(c), F.lit(0.0)) for w, c in parts), F.lit(0.0))
-    literal = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(plan.columns, row, strict=True)]) for row in plan.limit(1000).collect()])
-    rows = scored.withColumn("s", F.explode(literal)).join(budget, by)
+    rows = scored.join(F.broadcast(plan.select(F.struct(*plan.columns).alias("s")))).join(budget, by)
     rows = rows.withColumn("raw", nano(F.when(F.col("s.method") == "priority_score_v2", F.coalesce("score_v2", F.lit(0.0))).otherwise(combined)))
     rows = rows.withColumn("scenario_id", F.col("s.scenario_id"))
     group = Window.partitionBy(by, "scenario_id")

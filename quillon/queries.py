@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillon import table_queries
 from quillon.functions import dates, numbers, text
 from quillon.operators import canonical, profile, quarantine
 from quillon.operators.quality import Rule, run_rules
-from quillon.plans import gold, regional
+from quillon.plans import gold, regional, silver
 from quillon.sources import landing, readers
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,11 +29,11 @@ def _query(sql: str | None = None):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return _QUERIES | table_queries.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return _SQL | table_queries.oracle_sql()
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -105,19 +106,51 @@ def text_match_key(spark, sf_dir):
     return _table(spark, sf_dir, "part").select("p_partkey", text.match_key(F.concat("p_type", F.lit(" - "), "p_name")).alias("key"))
 
 
-@_query(r"""SELECT doc_id, contains(text, chr(65533)) AS replacement, regexp_matches(text, '[\t\r\n]') AS tab_or_newline, regexp_matches(text, ' {2,}') AS repeated_spaces, regexp_matches(text, '[^\x00-\x7F]') AS non_ascii,
-  regexp_matches(text, '\p{Ll}') AS lowercase, regexp_matches(text, '[-/()]') AS punctuation, length(text) >= 50 AS long_text FROM documents WHERE regexp_matches(text, '[^\s\x{A0}]')""")
+_ISSUE_SQL = {
+    "LEADING_OR_TRAILING_SPACE": r"regexp_matches(t, '^[\s\x{A0}]|[\s\x{A0}]$')",
+    "REPEATED_SPACES": "contains(t, '  ')",
+    "TAB_OR_NEWLINE": r"regexp_matches(t, '[\t\r\n]')",
+    "MOJIBAKE_PATTERN": "regexp_matches(t, '[ÃÂâðÐ�]')",
+    "REPLACEMENT_CHARACTER": "contains(t, chr(65533))",
+    "ACCENTED_CHARACTER": "strip_accents(t) <> t",
+    "NON_ASCII_CHARACTER": r"regexp_matches(t, '[^\x00-\x7F]')",
+    "SUSPICIOUS_SYMBOL": r"regexp_matches(t, '[@#$%^*_=+~`|\\<>\[\]{}]')",
+    "LOWERCASE_OR_MIXED_CASE": r"regexp_matches(t, '\p{Ll}')",
+    "PUNCTUATION_VARIANT": "regexp_matches(t, '[-/()]')",
+    "LONG_TEXT_VARIANT": r"length(trim(regexp_replace(t, '[\s\x{A0}]+', ' ', 'g'))) >= 50",
+}
+
+
+@_query("SELECT doc_id, " + ", ".join(f"{test} AS {code.lower()}" for code, test in _ISSUE_SQL.items()) + r" FROM (SELECT doc_id, text AS t FROM documents) WHERE regexp_matches(t, '[^\s\x{A0}]')")
 def text_issue_codes(spark, sf_dir):
-    d = _table(spark, sf_dir, "documents").withColumn("i", text.issues(F.col("text"))).where(~F.array_contains("i", text.EMPTY_ISSUE))
-    shown = {"replacement": "REPLACEMENT_CHARACTER", "tab_or_newline": "TAB_OR_NEWLINE", "repeated_spaces": "REPEATED_SPACES", "non_ascii": "NON_ASCII", "lowercase": "LOWERCASE_TEXT", "punctuation": "HAS_PUNCTUATION", "long_text": "LONG_TEXT"}
-    return d.select("doc_id", *[F.array_contains("i", code).alias(name) for name, code in shown.items()])
+    d = _table(spark, sf_dir, "documents").select("doc_id", text.issues(F.col("text")).alias("i")).where(~F.array_contains("i", text.EMPTY_ISSUE))
+    return d.select("doc_id", *[F.array_contains("i", code).alias(code.lower()) for code in _ISSUE_SQL])
 
 
-@_query()
+@_query(" UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count(*) AS n, count(DISTINCT t) AS distinct_values, count(*) FILTER (coalesce(trim(t), '') = '') AS empty_or_whitespace, 0::BIGINT AS control_character, {', '.join(f"count(*) FILTER (trim(t) <> '' AND {test}) AS {code.lower()}" for code, test in _ISSUE_SQL.items())} FROM (SELECT {c} AS t FROM documents)"""
+    for c in ("text", "source")))
 def text_issue_summary(spark, sf_dir):
     return profile.issue_summary(_table(spark, sf_dir, "documents"), ["text", "source"])
 
 
+@_query(f"""WITH v AS (SELECT c_mktsegment || repeat(' ', (c_custkey % 3)::INT) || CASE WHEN c_custkey % 4 = 0 THEN '_x' ELSE '' END AS t, count(*) AS times, min(c_custkey) AS example_id FROM customer GROUP BY 1)
+SELECT 'segment' AS "column", t AS value, issue, times, trim(regexp_replace(t, '\\s+', ' ', 'g')) AS suggested, trim(regexp_replace(replace(t, '_x', ' X'), '\\s+', ' ', 'g')) AS key, example_id FROM (
+  {' UNION ALL '.join(f"SELECT *, '{code}' AS issue FROM v WHERE {_ISSUE_SQL[code]}" for code in ('LEADING_OR_TRAILING_SPACE', 'REPEATED_SPACES', 'SUSPICIOUS_SYMBOL'))})""")
+def text_anomalies(spark, sf_dir):
+    k = F.col("c_custkey")
+    c = _table(spark, sf_dir, "customer").select("c_custkey", F.concat("c_mktsegment", F.element_at(F.array(F.lit(""), F.lit(" "), F.lit("  ")), (k % 3 + 1).cast("int")), F.when(k % 4 == 0, "_x").otherwise("")).alias("segment"))
+    return profile.anomalies(c, ["segment"], "c_custkey")
+
+
+@_query("""WITH v AS (SELECT 'Señor ' || chr(9) || event_type AS t, count(*) AS times FROM events GROUP BY 1), r AS (SELECT *, row_number() OVER (ORDER BY times DESC, t)::INTEGER AS place FROM v QUALIFY place <= 3)
+SELECT 'kind' AS "column", times, place, t AS original_value, t AS after_fix_mojibake, replace(t, chr(9), ' ') AS after_remove_control_chars, replace(t, ' ' || chr(9), ' ') AS after_normalize_whitespace, replace(replace(t, ' ' || chr(9), ' '), 'ñ', 'n') AS after_strip_accents,
+  trim(regexp_replace(upper(replace(replace(t, ' ' || chr(9), ' '), 'ñ', 'n')), '[_ ]+', ' ', 'g')) AS after_normalize_for_matching FROM r""")
+def text_preview(spark, sf_dir):
+    e = _table(spark, sf_dir, "events").select(F.concat(F.lit("Señor \t"), "event_type").alias("kind"))
+    return profile.normalisation_preview(e, ["kind"], 3).drop("issues")
+
+
 @_query("""WITH v AS (SELECT event_type AS value, count(*) AS times FROM events WHERE trim(event_type) <> '' GROUP BY 1)
 SELECT 'event_type' AS "column", value, times, round(100 * times / (SELECT sum(times) FROM v), 4)::DOUBLE AS share_percent, row_number() OVER (ORDER BY times DESC, value)::INTEGER AS place FROM v QUALIFY place <= 10""")
 def text_frequent_values(spark, sf_dir):
@@ -132,11 +165,15 @@ def text_alias_groups(spark, sf_dir):
     return profile.alias_groups(_table(spark, sf_dir, "customer").select(spelled.alias("segment")), ["segment"])
 
 
-@_query("SELECT page_id, url FROM pages")
+@_query("SELECT doc_id, left(regexp_replace(text, '[ÃÂâðÐ]', '', 'g'), 400) AS repaired, strip_accents(left(regexp_replace(text, '[ÃÂâðÐ]', '', 'g'), 400)) <> left(regexp_replace(text, '[ÃÂâðÐ]', '', 'g'), 400) AS had_accents FROM documents WHERE text IS NOT NULL")
 def mojibake_repair(spark, sf_dir):
-    """Texts spoiled by one wrong decoding come back as they were."""
-    spoiled = F.decode(F.encode("url", "UTF-8"), "ISO-8859-1")
-    return _table(spark, sf_dir, "pages").select("page_id", text.repair_mojibake(spoiled).alias("url"))
+    """The starts of texts in four languages, spoiled by one wrong decoding, come back as they were.
+
+    A column a document: what was spoiled and repaired, and whether it holds accents that could be spoiled.
+    """
+    start = F.left(F.regexp_replace("text", "[ÃÂâðÐ]", ""), F.lit(400))
+    spoiled = F.decode(F.encode(start, "UTF-8"), "ISO-8859-1")
+    return _table(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", text.repair_mojibake(spoiled).alias("repaired"), text.has_accents(start).alias("had_accents"))
 
 
 def _price_text(k: int) -> Column:
@@ -189,7 +226,7 @@ SELECT o_orderpriority, y.year::VARCHAR AS year, count(o_orderkey) AS orders FRO
 def unpivot_wide_annual(spark, sf_dir):
     years = list(range(1995, 2002))
     wide = _table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(*[F.count_if(F.year("o_orderdate") == y).alias(str(y)) for y in years])
-    return wide.unpivot("o_orderpriority", [str(y) for y in years], "year", "orders")
+    return silver.unpivot_years(wide, ["o_orderpriority"], "orders").select("o_orderpriority", F.col("ano_convocatoria").cast("string").alias("year"), F.col("orders").cast("bigint").alias("orders"))
 
 
 # --- validation, canonical values, landing --------------------------------------------------------
@@ -240,9 +277,20 @@ def region_key_join(spark, sf_dir):
     return canonical.join_region(named, dim, "name").select("c_custkey", F.col("canonical_region").alias("n_name"))
 
 
-@_query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+@_query("""SELECT event_id // 50 AS page, event_id::VARCHAR AS source_row_id, event_type AS kind, CASE WHEN event_id % 9 > 0 THEN props END AS props FROM events""")
 def json_payload_flatten(spark, sf_dir):
-    return _table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"))
+    """Events as stored payloads of 50 rows, flattened again; some rows are a cell short."""
+    cells = F.when(F.col("event_id") % 9 == 0, F.array("event_type")).otherwise(F.array("event_type", "props"))
+    rows = F.collect_list(F.struct(F.col("event_id").cast("string").alias("id"), cells.alias("cell")))
+    pages = _table(spark, sf_dir, "events").groupBy(F.floor(F.col("event_id") / 50).alias("page")).agg(rows.alias("rows"))
+    payloads = pages.select(F.to_json(F.struct(F.col("page").cast("string").alias("page"), F.lit("9").alias("total"), F.lit("50").alias("records"), "rows")).alias("payload"))
+    return readers.assert_columns(readers.flatten_pages(payloads, ["kind", "props"]), ["kind", "props"]).select("page", "source_row_id", "kind", "props")
+
+
+@_query("SELECT event_type AS dataset, 50::BIGINT AS reported_records, count(DISTINCT event_id // 50) AS pages_read, min(event_id // 50) AS first_page, max(event_id // 50) AS last_page FROM events GROUP BY 1")
+def json_page_totals(spark, sf_dir):
+    pages = _table(spark, sf_dir, "events").select(F.col("event_type").alias("dataset"), F.floor(F.col("event_id") / 50).alias("page")).distinct()
+    return readers.page_totals(pages.select("dataset", F.to_json(F.struct(F.col("page").cast("string").alias("page"), F.lit("50").alias("records"))).alias("payload")))
 
 
 @_query("WITH c AS (SELECT o_orderpriority AS dataset, count(*) AS n FROM orders GROUP BY 1), d AS (SELECT dataset, (n + 99) // 100 AS pages FROM c) SELECT dataset, i AS chunk, (i - 1) * 7 + 1 AS page_start, least(i * 7, pages) AS page_end FROM (SELECT *, unnest(range(1, (pages + 6) // 7 + 1)) AS i FROM d)")
@@ -259,14 +307,50 @@ def count_reconciliation(spark, sf_dir):
     return landing.reconcile_counts(w, e)
 
 
-@_query()
+_LABEL_SQL = "trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(a, '(?s)<[^>]*>', ' ', 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', chr(39)), '&amp;', '&'), '[\\s\\x{A0}]+', ' ', 'g'))"
+
+
+@_query(rf"""WITH l AS (SELECT page_id, url, regexp_extract_all(html, '(?is)<a\b[^>]*>.*?</a>') AS l FROM pages), x AS (SELECT page_id, url, unnest(l) AS a, generate_subscripts(l, 1)::INTEGER - 1 AS link_no FROM l)
+SELECT page_id, url, link_no, regexp_extract(a, '(?is)href\s*=\s*["'']([^"'']*)', 1) AS href, {_LABEL_SQL} AS label FROM x""")
 def html_link_rows(spark, sf_dir):
     return readers.links(_table(spark, sf_dir, "pages"))
 
 
-@_query()
+@_query("SELECT n_regionkey AS page_id, 0::INTEGER AS table_no, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_name)::INTEGER AS row_no, n_name AS name, n_nationkey::VARCHAR AS code FROM nation JOIN customer ON c_nationkey = n_nationkey GROUP BY n_regionkey, n_name, n_nationkey")
+def html_table_rows(spark, sf_dir):
+    """Nations that have customers as HTML tables, a page a region, read back as records."""
+    n = _table(spark, sf_dir, "nation").join(_table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("n_nationkey")).distinct(), "n_nationkey")
+    row = F.concat(F.lit("<tr><td><b>"), "n_name", F.lit("</b>&nbsp;</td>\n<TD>"), F.col("n_nationkey").cast("string"), F.lit("</TD></tr>"))
+    pages = n.groupBy(F.col("n_regionkey").alias("page_id")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n_name", row.alias("row")))), lambda x: x["row"]), "").alias("rows"))
+    html = pages.select("page_id", F.concat(F.lit("<p>x</p><table class='Data'><tr><th>name</th><th>code</th></tr>"), "rows", F.lit("<tr><td> </td></tr></table>")).alias("html"))
+    return readers.table_records(html).select("page_id", "table_no", "row_no", F.col("record")["name"].alias("name"), F.col("record")["code"].alias("code"))
+
+
+@_query("""WITH f AS (SELECT o_orderkey // 400 AS file, 'o_orderkey,o_custkey' || chr(10) || string_agg(o_orderkey || ',' || o_custkey, chr(10) ORDER BY o_orderkey) || chr(10) AS content, count(*) AS n FROM orders GROUP BY 1)
+SELECT file, sha256(content) AS sha256, length(content) AS length, n AS n_rows, 2::BIGINT AS n_columns, 'o_orderkey|o_custkey' AS header FROM f""")
 def file_fingerprint(spark, sf_dir):
-    return readers.fingerprints(spark, f"{sf_dir}/orders.parquet").select(F.substring_index("path", "/", -1).alias("name"), "sha256", "length")
+    """Orders as CSV files of up to 400 keys, fingerprinted."""
+    line = F.concat_ws(",", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"))
+    files = _table(spark, sf_dir, "orders").groupBy(F.floor(F.col("o_orderkey") / 400).alias("file")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", line.alias("line")))), lambda x: x["line"]), "\n").alias("lines"))
+    content = F.encode(F.concat(F.lit("o_orderkey,o_custkey\n"), "lines", F.lit("\n")), "UTF-8")
+    return files.select("file", readers.fingerprint(content).alias("f")).select("file", "f.sha256", "f.length", "f.n_rows", "f.n_columns", F.array_join("f.header", "|").alias("header"))
+
+
+@_query("""SELECT dataset, CASE WHEN dataset % 3 = 0 THEN 'MISSING' WHEN dataset % 3 = 1 THEN 'STATUS_MISMATCH' END AS faults FROM (SELECT DISTINCT c_nationkey AS dataset FROM customer) WHERE dataset % 3 < 2""")
+def manifest_gate(spark, sf_dir):
+    d = _table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("dataset")).distinct()
+    expected = d.select("dataset", F.lit("mef").alias("system"), F.lit("2026-06-15").alias("extraction_date"), F.lit("SUCCESS").alias("status"))
+    found = expected.where("dataset % 3 > 0").withColumn("status", F.when(F.col("dataset") % 3 == 1, "FAILED").otherwise(F.col("status")))
+    return landing.manifest_faults(expected, found).select("dataset", F.array_join("faults", ",").alias("faults"))
+
+
+@_query("""WITH c AS (SELECT o_orderpriority AS dataset, count(*) AS n FROM orders GROUP BY 1), r AS (SELECT dataset, i, (i - 1) * 7 + 1 AS a, least(i * 7, (n + 99) // 100) AS b FROM (SELECT *, unnest(range(1, ((n + 99) // 100 + 6) // 7 + 1)) AS i FROM c))
+SELECT dataset, i AS chunk, 'GAP' AS fault FROM r WHERE i = 3 AND a <= b""")
+def page_range_gaps(spark, sf_dir):
+    """Chunks of pages of which every dataset has lost the second."""
+    d = _table(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("dataset")).agg(F.ceil(F.count("*") / 100).alias("total_pages")).withColumn("chunk_size", F.lit(7))
+    chunks = landing.split_pages(d).withColumn("chunk", F.substring_index("chunk_id", "_", -1).cast("bigint")).where("chunk <> 2")
+    return landing.page_faults(chunks).select("dataset", F.substring_index("chunk_id", "_", -1).cast("bigint").alias("chunk"), "fault")
 
 
 # --- profiles and rules ---------------------------------------------------------------------------
@@ -276,14 +360,28 @@ _PART = ("p_name", "p_brand", "p_type", "p_size")
 
 @_query(" UNION ALL ".join(
     f"""SELECT '{c}' AS "column", count(*) AS rows, count(*) - count({c}) AS nulls, count(*) FILTER (trim({c}::VARCHAR) = '') AS empty, count(DISTINCT {c}) FILTER (trim({c}::VARCHAR) <> '') AS distinct_values,
-  coalesce(max(length({c}::VARCHAR)), 0)::INTEGER AS max_length, round(100.0 * count(*) FILTER (trim(coalesce({c}::VARCHAR, '')) = '') / count(*), 4)::DOUBLE AS null_percent FROM part""" for c in _PART))
+  coalesce(max(length({c}::VARCHAR)), 0)::INTEGER AS max_length, round(100.0 * count(*) FILTER (trim(coalesce({c}::VARCHAR, '')) = '') / count(*), 4)::DOUBLE AS null_percent, array_to_string((list_sort(list_distinct(list({c}::VARCHAR))))[:3], '|') AS samples FROM part""" for c in _PART))
 def profile_columns(spark, sf_dir):
-    return profile.columns_profile(_table(spark, sf_dir, "part").select(*_PART))
+    return profile.columns_profile(_table(spark, sf_dir, "part").select(*_PART), 3).withColumn("samples", F.array_join("samples", "|"))
 
 
-@_query("""SELECT * FROM (VALUES ('p_name', 'STRING', 1.0::DOUBLE), ('p_brand', 'STRING', 1.0), ('p_type', 'STRING', 1.0), ('p_size', 'INTEGER', 1.0)) t("column", suggested_type, confidence)""")
+_CLASS_SQL = r"""CASE WHEN trim(coalesce(v, '')) = '' THEN 'EMPTY' WHEN regexp_full_match(v, '[+-]?\d+') THEN 'INTEGER' WHEN regexp_full_match(v, '[+-]?\d{1,3}([.,]\d{3})*([.,]\d+)?|[+-]?\d+[.,]\d+') THEN 'NUMERIC' WHEN regexp_matches(v, '^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}') THEN 'TIMESTAMP' WHEN regexp_full_match(v, '\d{4}-\d{2}-\d{2}') THEN 'DATE' ELSE 'TEXT' END"""
+
+
+@_query(f"""WITH c AS ({' UNION ALL '.join(f"SELECT '{n}' AS name, {e} AS v FROM orders" for n, e in (('cust_key', 'o_custkey::VARCHAR'), ('amount', 'CASE WHEN o_orderkey % 40 = 0 THEN NULL ELSE o_custkey::VARCHAR END'), ('priority', 'o_orderpriority'), ('day', "strftime(o_orderdate, '%Y-%m-%d')"), ('mixed', "CASE WHEN o_orderkey % 3 = 0 THEN 'x' ELSE o_custkey::VARCHAR END")))}),
+k AS (SELECT name, {_CLASS_SQL} AS k FROM c), g AS (SELECT name, count(*) FILTER (k <> 'EMPTY') AS f, count(*) FILTER (k = 'DATE') AS d, count(*) FILTER (k = 'INTEGER') AS i, count(*) FILTER (k IN ('INTEGER', 'NUMERIC')) AS n FROM k GROUP BY 1)
+SELECT name AS "column", CASE WHEN f = 0 THEN 'UNKNOWN' WHEN name = 'cust_key' THEN 'STRING' WHEN d >= 0.95 * f THEN 'DATE' WHEN i >= 0.95 * f THEN 'INTEGER' WHEN n >= 0.95 * f THEN 'NUMERIC' ELSE 'STRING' END AS suggested_type,
+  CASE WHEN name = 'cust_key' THEN 1.0 WHEN d >= 0.95 * f THEN round(d::DOUBLE / f, 4) WHEN i >= 0.95 * f THEN round(i::DOUBLE / f, 4) WHEN n >= 0.95 * f THEN round(n::DOUBLE / f, 4) ELSE 1.0 END::DOUBLE AS confidence FROM g""")
 def profile_types(spark, sf_dir):
-    return profile.type_suggestions(_table(spark, sf_dir, "part").select(*_PART))
+    k, c = F.col("o_orderkey"), F.col("o_custkey").cast("string")
+    o = _table(spark, sf_dir, "orders").select(c.alias("cust_key"), F.when(k % 40 > 0, c).alias("amount"), F.col("o_orderpriority").alias("priority"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), F.when(k % 3 == 0, "x").otherwise(c).alias("mixed"))
+    return profile.type_suggestions(o)
+
+
+@_query("""WITH d AS (SELECT p_partkey % 50 AS g, avg(p_size) AS m FROM part GROUP BY 1) SELECT 'p_size' AS "column", count(*) AS rows, 0::BIGINT AS null_like, count(DISTINCT p_size) AS distinct_values, round(count(DISTINCT p_size)::DOUBLE / count(*), 6) AS uniqueness, count(*) AS numeric_valid, min(p_size)::DOUBLE AS min_value, max(p_size)::DOUBLE AS max_value, round(avg(p_size), 6) AS mean_value FROM part
+UNION ALL SELECT 'p_brand', count(*), 0, count(DISTINCT p_brand), round(count(DISTINCT p_brand)::DOUBLE / count(*), 6), 0, NULL, NULL, NULL FROM part""")
+def profile_sample(spark, sf_dir):
+    return profile.sample_profile(_table(spark, sf_dir, "part").select("p_size", "p_brand"))
 
 
 @_query("WITH g AS (SELECT count(*) AS n FROM lineitem GROUP BY l_partkey, l_suppkey) SELECT CAST(sum(n) AS BIGINT) AS rows, CAST(sum(n - 1) AS BIGINT) AS duplicates FROM g")
@@ -291,15 +389,30 @@ def profile_duplicates(spark, sf_dir):
     return profile.duplicate_rows(_table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey"))
 
 
-@_query()
+@_query("""SELECT * FROM (SELECT 'ruc' AS "column", 'POSSIBLE_IDENTIFIER_AS_NUMBER' AS warning, count(*) AS n FROM customer UNION ALL SELECT 'nota', 'POSSIBLE_DECIMAL_COMMA', count(*) FROM customer UNION ALL SELECT 'mixed', 'MIXED_TYPE_VALUES', count(*) FROM customer
+UNION ALL SELECT 'mostly_null', 'HIGH_NULL_PERCENTAGE', count(*) FROM customer HAVING 100 * count(*) FILTER (c_custkey % 9 > 0) >= 80 * count(*) UNION ALL SELECT 'empty', w, count(*) FROM customer CROSS JOIN (VALUES ('HIGH_NULL_PERCENTAGE'), ('ALL_EMPTY')) v(w) GROUP BY w
+UNION ALL SELECT 'one', 'LOW_DISTINCT', count(*) FROM customer) WHERE n > 1""")
 def profile_warnings(spark, sf_dir):
-    return profile.warnings(_table(spark, sf_dir, "customer"))
+    k = F.col("c_custkey")
+    c = _table(spark, sf_dir, "customer")
+    w = c.select(k.alias("ruc"), F.concat((k % 20).cast("string"), F.lit(",5")).alias("nota"), F.when(k % 2 == 0, "x").otherwise(k.cast("string")).alias("mixed"), F.when(k % 9 == 0, F.col("c_name")).alias("mostly_null"), F.lit(" ").alias("empty"), F.lit("same").alias("one"))
+    return profile.warnings(w).crossJoin(w.agg(F.count("*").alias("n")))
 
 
-@_query("""SELECT id, 'region' AS "column", value, 'TERRITORIAL_TOTAL_VALUE' AS issue, 'EXCLUDE_FROM_DETAIL' AS action FROM (SELECT n_nationkey AS id, CASE WHEN n_nationkey % 3 = 0 THEN 'Total ' || n_name ELSE n_name END AS value FROM nation) WHERE value LIKE 'Total %'""")
+@_query("""WITH r AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 4 = 0 THEN '' ELSE c_mktsegment END AS region, CASE c_custkey % 6 WHEN 0 THEN 'Total' WHEN 1 THEN 'perú' WHEN 2 THEN 'Extranjero' ELSE c_name END AS provincia FROM customer),
+t AS (SELECT *, CASE WHEN region <> '' THEN 'region' ELSE '' END AS parent_column FROM r WHERE id % 6 < 3)
+SELECT id, parent_column, region AS parent_value, 'provincia' AS "column", provincia AS value, issue, CASE id % 6 WHEN 0 THEN 'REVIEW_EXCLUDE_FROM_DETAIL_SILVER' WHEN 1 THEN 'REVIEW_MAP_TO_NATIONAL_TOTAL' ELSE 'REVIEW_KEEP_AS_AGGREGATE_TABLE' END AS action FROM (
+  SELECT *, 'TERRITORIAL_TOTAL_VALUE' AS issue FROM t UNION ALL SELECT *, CASE WHEN parent_column <> '' OR id % 6 = 0 THEN 'AGGREGATE_TOTAL_ROW' ELSE 'POSSIBLE_NON_TERRITORIAL_VALUE' END FROM t)""")
 def territorial_rows(spark, sf_dir):
-    name = F.when(F.col("n_nationkey") % 3 == 0, F.concat(F.lit("Total "), "n_name")).otherwise(F.col("n_name"))
-    return profile.territorial_rows(_table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), name.alias("region")), ["id"])
+    k = F.col("c_custkey")
+    value = F.when(k % 6 == 0, "Total").when(k % 6 == 1, "perú").when(k % 6 == 2, "Extranjero").otherwise(F.col("c_name"))
+    return profile.territorial_rows(_table(spark, sf_dir, "customer").select(k.alias("id"), F.when(k % 4 == 0, "").otherwise(F.col("c_mktsegment")).alias("region"), value.alias("provincia")), ["id"])
+
+
+@_query("""SELECT 'distrito' AS "column", count(*) FILTER (c_custkey % 10 = 0) AS totals, count(*) FILTER (c_custkey % 10 > 0) AS details, true AS mixed FROM customer UNION ALL SELECT 'region', 0, count(*), false FROM customer""")
+def mixed_granularity(spark, sf_dir):
+    k = F.col("c_custkey")
+    return profile.mixed_granularity(_table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("region"), F.when(k % 10 == 0, "SUBTOTAL").otherwise(F.col("c_name")).alias("distrito")))
 
 
 @_query("""SELECT 'R1' AS check_id, CASE WHEN count(*) = 0 THEN 1 ELSE 0 END::BIGINT AS failed_rows FROM orders
@@ -308,7 +421,7 @@ UNION ALL SELECT 'R3', count(*) FILTER (o_totalprice < 1000) FROM orders
 UNION ALL SELECT 'R4', count(*) FILTER (o_orderstatus IS NULL OR o_orderstatus NOT IN ('F', 'O')) FROM orders
 UNION ALL SELECT 'R5', count(*) FROM (SELECT 1 FROM orders GROUP BY o_custkey, o_orderpriority HAVING count(*) > 1)
 UNION ALL SELECT 'R6', count(*) FROM (VALUES ('AIR'), ('FRANCE')) m(x) WHERE x NOT IN (SELECT n_name FROM nation)
-UNION ALL SELECT 'R7', 1""")
+UNION ALL SELECT 'R7', 1 FROM orders HAVING count(*) >= 0""")
 def quality_results(spark, sf_dir):
     rules = [
         Rule("R1", "orders", "not_empty"),

@@ -85,3 +85,12 @@ def create_table(spark: SparkSession, name: str, fields: list[dict], partition_b
     if not spark.catalog.tableExists(name):
         w = empty_table(spark, fields).write.format("parquet")
         (w.partitionBy(*partition_by) if partition_by else w).saveAsTable(name)
+
+
+def create_external_table(spark: SparkSession, name: str, path: str, fields: list[dict], source: str = "json") -> None:
+    """A table over the files of a folder, in the contract's fields; fields of the files that it doesn't know are ignored.
+
+    Partition values in the paths (`key=`) become columns if the contract has them.
+    """
+    options = {"header": "true"} if source == "csv" else {}
+    spark.catalog.createTable(name, path=path, source=source, schema=to_schema(fields), **options)

@@ -77,3 +77,8 @@ def success_manifest(chunks: DataFrame) -> DataFrame:
 def dataset_of_landing_file(name: Column) -> Column:
     """report_x_2026-06-15.csv -> report_x."""
     return F.regexp_extract(name, r"^(.*?)(?:[_-]\d{4}-?\d{2}-?\d{2})?\.[A-Za-z]+$", 1)
+
+
+def latest_files(files: DataFrame) -> DataFrame:
+    """(dataset, path): of files(path, name, modified) the one modified last of each dataset that the names tell; ties go to the last path."""
+    return files.groupBy(dataset_of_landing_file(F.col("name")).alias("dataset")).agg(F.max_by("path", F.struct("modified", "path")).alias("path"))

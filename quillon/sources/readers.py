@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quillon.functions.bind import let
 from quillon.functions.text import cell_text, match_key
 
 
@@ -41,10 +43,23 @@ def partition_value(path: Column, key: str) -> Column:
     return F.nullif(F.regexp_extract(path, rf"(?:^|/){key}=([^/]+)", 1), F.lit(""))
 
 
-def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
-    """(path, name, length, modified, system, dataset, extraction_date, year) of the files under a root."""
+def expand(spark: SparkSession, pattern: str) -> list[str]:
+    """The files that a glob matches, sorted; none is an error."""
+    try:
+        found = sorted(r["path"] for r in spark.read.format("binaryFile").load(pattern).select("path").collect())  # names of the files of one load
+    except AnalysisException as e:
+        raise FileNotFoundError(f"nothing matches {pattern}") from e
+    if not found:
+        raise FileNotFoundError(f"nothing matches {pattern}")
+    return found
+
+
+def list_files(spark: SparkSession, root: str, pattern: str = "*", datasets: list[str] | None = None) -> DataFrame:
+    """(path, name, length, modified, system, dataset, extraction_date, year) of the files under a root, of some datasets or all."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root).select("path", "length", F.col("modificationTime").alias("modified"))
     p = F.col("path")
+    if datasets is not None:
+        files = files.where(F.regexp_extract(p, "/([^/]+)/extraction_date=", 1).isin(*datasets))
     return files.select(
         "path",
         F.regexp_extract(p, "([^/]+)$", 1).alias("name"),
@@ -63,12 +78,29 @@ def decode_bytes(content: Column) -> Column:
     return F.regexp_replace(text, "^\\uFEFF", "")
 
 
+def fingerprint(content: Column) -> Column:
+    """(sha256, length, n_rows, n_columns, header) of a CSV file's bytes; the header is no row, blank lines aren't either."""
+    lines = F.split(F.rtrim(decode_bytes(content)), "\r?\n", -1)
+
+    def of(x: Column) -> Column:
+        header = F.split(F.get(x, F.lit(0)), ",", -1)
+        rows = (F.size(F.filter(x, lambda line: F.trim(line) != "")) - 1).cast("long")
+        return F.struct(F.sha2(content, 256).alias("sha256"), F.length(content).cast("long").alias("length"), rows.alias("n_rows"), F.size(header).cast("long").alias("n_columns"), header.alias("header"))
+
+    return let(lines, of)
+
+
 def fingerprints(spark: SparkSession, path: str) -> DataFrame:
-    """(path, sha256, length, n_rows, n_columns, header) of CSV files; the header is a row of its own."""
+    """(path, and fingerprint()) of landing files, each of which one task reads; see line_fingerprints for large ones."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    text = files.select("path", F.sha2("content", 256).alias("sha256"), "length", F.split(F.rtrim(decode_bytes(F.col("content"))), "\r?\n", -1).alias("lines"))
-    header = F.split(F.get("lines", F.lit(0)), ",", -1)
-    return text.select("path", "sha256", "length", (F.size(F.filter("lines", lambda x: F.trim(x) != "")) - 1).cast("long").alias("n_rows"), F.size(header).cast("long").alias("n_columns"), header.alias("header"))
+    return files.select("path", fingerprint(F.col("content")).alias("f")).select("path", "f.*")
+
+
+def line_fingerprints(spark: SparkSession, path: str) -> DataFrame:
+    """(path, lines_hash, n_rows, header) of text files of any size, read in splits: the hash combines those of the lines, whatever their order."""
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("id"))
+    g = lines.groupBy(F.col("file_path").alias("path")).agg(F.bit_xor(F.xxhash64("value")).alias("lines_hash"), (F.count_if(F.trim("value") != "") - 1).alias("n_rows"), F.min_by("value", F.struct("file_block_start", "id")).alias("header"))
+    return g.withColumn("header", F.split("header", ",", -1))
 
 
 # --- paged payloads -----------------------------------------------------------------------------
@@ -149,8 +181,6 @@ def section_rows(grid: DataFrame, page: str, start: str, ends: list[str], expect
 
     With expected, pages whose section has another number of rows are left out.
     """
-    from pyspark.sql import Window
-
     w = Window.partitionBy(page).orderBy("table_no", "row_no")
     key = match_key(F.get("cells", F.lit(0)))
     is_start, is_end = F.coalesce(key == start, F.lit(False)), F.coalesce(key.isin(*ends), F.lit(False))
@@ -165,8 +195,6 @@ def budget_rows(grid: DataFrame, page: str, metrics: list[str]) -> DataFrame:
 
     A row counts if it has a descriptor, enough cells and a digit among its metrics.
     """
-    from pyspark.sql import Window
-
     n = len(metrics)
     rows = grid.where(F.size("cells") > n).withColumn("_m", F.slice("cells", -n, n)).withColumn("descriptor", F.get("cells", F.size("cells") - n - 1))
     rows = rows.where((F.trim("descriptor") != "") & F.exists("_m", lambda x: x.rlike(r"\d")))

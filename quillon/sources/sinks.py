@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,12 +28,15 @@ def write_table(spark: SparkSession, df: DataFrame, table: str, disposition: str
 def replace_slice(df: DataFrame, path: str, slice_columns: tuple[str, ...] = SLICE, **values: str) -> None:
     """Replaces one (extraction_date, source_system, source_dataset) of a partitioned table by df.
 
-    A rerun of a load leaves the same rows. Only partitions that df holds are touched. A blank value
-    is refused.
+    A rerun of a load leaves the same rows, and a load without rows leaves the slice empty. Other slices
+    aren't touched. A blank value is refused, as is one with characters that paths escape.
     """
     if blank := [c for c in slice_columns if not str(values.get(c, "")).strip()]:
         raise ValueError(f"blank slice values: {blank}")
-    df.withColumns({c: F.lit(values[c]) for c in slice_columns}).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*slice_columns).parquet(path)
+    if odd := [c for c in slice_columns if not re.fullmatch(r"[\w.-]+", str(values[c]))]:
+        raise ValueError(f"slice values with other characters than letters, digits, _ . -: {odd}")
+    where = "/".join(f"{c}={values[c]}" for c in slice_columns)
+    df.drop(*slice_columns).write.mode("overwrite").parquet(f"{path}/{where}")
 
 
 def dry_run(df: DataFrame) -> None:
@@ -52,3 +57,8 @@ def write_by_year(df: DataFrame, path: str, column: str = "ano") -> None:
     """Partitioned by the first four-digit run of a column; a row without one is an error."""
     year = F.nullif(F.regexp_extract(F.col(column).cast("string"), r"\d{4}", 0), F.lit(""))
     df.withColumn("year", F.when(year.isNotNull(), year).otherwise(F.raise_error(F.concat(F.lit("no year in "), F.coalesce(F.col(column).cast("string"), F.lit("null")))).cast("string"))).write.mode("overwrite").partitionBy("year").parquet(path)
+
+
+def write_manifests(manifests: DataFrame, path: str) -> None:
+    """manifests(dataset, manifest) as one JSON text a dataset under path/dataset=, with the writer's _SUCCESS marker when all are there."""
+    manifests.select("dataset", F.col("manifest").alias("value")).write.mode("overwrite").partitionBy("dataset").text(path)
