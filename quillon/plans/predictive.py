@@ -116,17 +116,20 @@ def auto_percent(c: Column) -> Column:
     return F.when((c >= 0) & (c <= 1), c * 100).otherwise(c)
 
 
-def coverage_features(context: DataFrame, scores: DataFrame, t: Tables, dimension: DataFrame, created_at: Column) -> DataFrame:
-    """Estimated grantees of each region and year, their rates, the gap they leave and where the figures come from."""
+def coverage_features(scores: DataFrame, t: Tables, dimension: DataFrame, created_at: Column) -> DataFrame:
+    """Estimated grantees of each region and year, their rates, the gap they leave and where the figures come from.
+
+    scores has the whole grid with what it needs of the context, so that the context isn't joined again.
+    """
     report = "pronabec_report_beca18_"
     share = by_region(t[report + "region_postulacion_anual"].where("porcentaje_becarios IS NOT NULL"), dimension, "grupo_region")
     share = share.groupBy(F.col("ano_convocatoria").alias("anio"), "region_canonical").agg(F.avg(F.col("porcentaje_becarios").cast("double")).alias("s")).select(*GRAIN, auto_percent(F.col("s")).alias("regional_becarios_pct"))
     total = t[report + "becas_otorgadas_modalidad_anual"].where("becas_otorgadas IS NOT NULL").groupBy(F.col("ano_convocatoria").alias("anio")).agg(F.sum("becas_otorgadas").alias("total_becas_anual"))
     first = by_region(t[report + "primera_generacion_region"], dimension).groupBy("region_canonical").agg(F.avg(F.col("ratio_primera_generacion").cast("double")).alias("f"), F.sum("total_becarios_primera_generacion").alias("total_becarios_primera_generacion"), F.sum("total_becarios_encuestados").alias("total_becarios_encuestados"))
     first = first.withColumn("primera_generacion_ratio", F.when(F.col("f") > 1, F.col("f") / 100).otherwise(F.col("f"))).drop("f")  # a snapshot that holds for every year
-    base = context.select("anio", "region", "region_canonical", "pobreza_monetaria_pct", "poblacion_15_24", "poblacion_15_29", "matricula_5to_secundaria", "ruralidad_educativa_pct", "internet_acceso_pct", "brecha_digital_pct")
-    v1 = scores.select(*GRAIN, *[F.col(f"priority_{x}").alias(f"context_priority_{x}") for x in ("score", "rank", "tier")])
-    x = base.join(v1, GRAIN, "left").join(share, GRAIN, "left").join(total, "anio", "left").join(first, "region_canonical", "left")
+    own = ("anio", "region", "region_canonical", "pobreza_monetaria_pct", "poblacion_15_24", "poblacion_15_29", "matricula_5to_secundaria", "ruralidad_educativa_pct", "internet_acceso_pct", "brecha_digital_pct")
+    base = scores.select(*own, *[F.col(f"priority_{x}").alias(f"context_priority_{x}") for x in ("score", "rank", "tier")])
+    x = base.join(share, GRAIN, "left").join(total, "anio", "left").join(first, "region_canonical", "left")
     grants = F.round(F.col("total_becas_anual") * F.col("regional_becarios_pct") / 100).cast("bigint")
     x = x.withColumn("regional_becarios_estimated", grants)
     enrolled, g, f = F.col("matricula_5to_secundaria"), F.col("regional_becarios_estimated"), F.col("primera_generacion_ratio")
@@ -148,7 +151,7 @@ def coverage_features(context: DataFrame, scores: DataFrame, t: Tables, dimensio
         "coverage_source_notes": case(f"{by_share}; {by_first}", by_share, by_first, "coverage_signals_not_available"),
         "has_estimated_coverage": F.when(g.isNotNull(), True).when(f.isNotNull(), False),
     }
-    kept = [*base.columns, "context_priority_score", "context_priority_rank", "context_priority_tier", "regional_becarios_pct", "regional_becarios_estimated", "total_becas_anual", "primera_generacion_ratio", "total_becarios_primera_generacion", "total_becarios_encuestados", "becas_por_1000_jovenes", "becas_por_1000_matriculados_5to", "demanda_no_cubierta_estimada"]
+    kept = [*base.columns, "regional_becarios_pct", "regional_becarios_estimated", "total_becas_anual", "primera_generacion_ratio", "total_becarios_primera_generacion", "total_becarios_encuestados", "becas_por_1000_jovenes", "becas_por_1000_matriculados_5to", "demanda_no_cubierta_estimada"]
     return x.select(*kept, *[c.alias(n) for n, c in made.items()], created_at.alias("created_at"))
 
 

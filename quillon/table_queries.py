@@ -514,16 +514,20 @@ def _sources(spark: SparkSession, sf_dir: str) -> views.Tables:
 
 
 def _analytic(spark: SparkSession, sf_dir: str, *wanted: str) -> views.Tables:
-    """The analytic tables up to those wanted."""
+    """The analytic tables, all or those wanted."""
     t, dim = _sources(spark, sf_dir), _regions(spark, sf_dir)
     out = {"region_context_features": predictive.context_features(spark, t, dim, _stamp())}
     out["region_priority_scores"] = predictive.priority_scores(out["region_context_features"])
-    out["region_coverage_features"] = predictive.coverage_features(out["region_context_features"], out["region_priority_scores"], t, dim, _stamp())
+    out["region_coverage_features"] = predictive.coverage_features(out["region_priority_scores"], t, dim, _stamp())
     out["region_priority_scores_v2"] = predictive.priority_scores_v2(out["region_coverage_features"])
-    out["budget_scenarios"] = predictive.budget_scenarios(spark, _stamp())
-    out["budget_forecast_results"] = predictive.budget_forecast(_monthly(spark, sf_dir))
-    cost = predictive.latest_unit_cost(spark.range(1).select(F.lit(2025).alias("ano"), F.lit(4).alias("becas"), F.lit(100.0).alias("devengado")))
-    out["region_allocation_scenarios"] = predictive.allocation_scenarios(out["region_priority_scores"], out["region_priority_scores_v2"], out["budget_scenarios"], _money(spark, sf_dir), cost, _stamp())
+    if not wanted or {"budget_scenarios", "region_allocation_scenarios"} & set(wanted):
+        out["budget_scenarios"] = predictive.budget_scenarios(spark, _stamp())
+        grants = _table(spark, sf_dir, "orders").groupBy(F.year("o_orderdate").alias("ano")).agg(F.count("*").alias("becas"))
+        spent = _table(spark, sf_dir, "lineitem").groupBy(F.year("l_shipdate").alias("ano")).agg(F.sum(F.floor("l_extendedprice").cast("bigint")).alias("devengado"))
+        cost = predictive.latest_unit_cost(grants.join(spent, "ano"))
+        out["region_allocation_scenarios"] = predictive.allocation_scenarios(out["region_priority_scores"], out["region_priority_scores_v2"], out["budget_scenarios"], _money(spark, sf_dir), cost, _stamp())
+    if not wanted or "budget_forecast_results" in wanted:
+        out["budget_forecast_results"] = predictive.budget_forecast(_monthly(spark, sf_dir))
     return {k: v for k, v in out.items() if not wanted or k in wanted}
 
 
@@ -614,8 +618,9 @@ def gold_allocation(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SCENARIOS_SQL = ", ".join("('{}', '{}', '{}', {})".format(s[0], predictive.SCENARIO_TEXTS[s[0]][1], s[1], ", ".join(f"{x}::DOUBLE" for x in s[2:])) for s in predictive.SCENARIOS)
 _add("gold_allocation", gold_allocation, f"""WITH {_V2_SQL}, sc(id, type, method, bf, gf, wp, wd, wn, wc, wf) AS (VALUES {_SCENARIOS_SQL}),
 a AS (SELECT anio, region, r2, id, type, bf, gf, round(CASE WHEN method = 'priority_score_v2' THEN coalesce(score2, 0) ELSE wp * coalesce(sp, 0) + wd * coalesce(sd, 0) + wn * coalesce(sy, 0) + wc * coalesce(gap_score, 0) + wf * coalesce(first_score, 0) END, 12) AS raw FROM z CROSS JOIN sc),
+y AS (SELECT devengado / becas::DOUBLE AS cost FROM (SELECT year(o_orderdate) AS ano, count(*) AS becas FROM orders GROUP BY 1) JOIN (SELECT year(l_shipdate) AS ano, sum(floor(l_extendedprice)) AS devengado FROM lineitem GROUP BY 1) USING (ano) ORDER BY ano DESC LIMIT 1),
 b AS (SELECT *, raw / nullif(sum(raw) OVER (PARTITION BY anio, id), 0) AS weight, rank() OVER (PARTITION BY anio, id ORDER BY raw DESC, region) AS r, (SELECT count(*) FROM lineitem)::DOUBLE * bf AS amount FROM a)
-SELECT anio::BIGINT AS anio, region, id AS scenario_id, type AS scenario_type, round(raw, 6) AS scenario_raw_score, round(weight, 6) AS allocation_weight, r AS scenario_rank, r2 AS baseline_rank_v2, r2 - r AS rank_change_vs_v2, round(amount, 6) AS scenario_budget_amount, round(amount * weight, 6) AS estimated_budget_amount, round(amount * weight / 25 * gf, 6) AS estimated_scholarships FROM b""")
+SELECT anio::BIGINT AS anio, region, id AS scenario_id, type AS scenario_type, round(raw, 6) AS scenario_raw_score, round(weight, 6) AS allocation_weight, r AS scenario_rank, r2 AS baseline_rank_v2, r2 - r AS rank_change_vs_v2, round(amount, 6) AS scenario_budget_amount, round(amount * weight, 6) AS estimated_budget_amount, round(amount * weight / (SELECT cost FROM y) * gf, 6) AS estimated_scholarships FROM b""")
 
 
 def _assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
