@@ -6,8 +6,11 @@ from which the arc v is taken out, and every state with an arc u gets an arc uv
 The result is deterministic, the target of an arc depends on its label alone, and a token sequence
 is the tokenization of its string exactly if the automaton accepts it. A copy keeps its parent and
 the time of copying instead of all its arcs, so the table has one entry for each merge.
-A pre-split word is encoded left to right: each prefix has one last token whose arc leaves the state
-of the prefix before it. Decoding emits the arc labels of the ids.
+A full transition table would have an entry for nearly every pair of tokens; whether an arc is there
+follows from the table by at most as many look-ups as a token has parts, and what was asked is kept in a
+bounded table of its own. A pre-split word, whole tokens included, is encoded left to right by transitions
+alone: each prefix has one last token whose arc leaves the state of the prefix before it. Decoding emits
+the arc labels of the ids.
 """
 
 from __future__ import annotations
@@ -22,12 +25,34 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Words whose encoding a task remembers before it starts over.
-CACHE_WORDS = 200_000
+#: Words whose encoding, and transitions whose presence, a task remembers before it starts over.
+CACHE_WORDS, TRANSITIONS = 200_000, 2_000_000
 
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
 
 
+# The settings of a tokenizer file that this one reads.
+_SETTINGS = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "decoder": None,
+    "model.type": "BPE",
+}
+_UNUSED = ("dropout", "unk_token", "continuing_subword_prefix", "fuse_unk", "byte_fallback", "ignore_merges")
+
+
+def _setting(spec: dict, name: str):
+    for part in name.split("."):
+        spec = spec[part]
+    return spec
+
+
 def _byte_symbols() -> list[str]:
     """The printable character that stands for each byte in byte-level vocabularies."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -106,12 +131,11 @@ class Automaton:
     def encode_symbols(self, word: str) -> list[int]:
         """Ids of one word of byte symbols, whose last symbol carries the suffix."""
         n, suffix = len(word), self.suffix
-        whole = self.vocab.get(word + suffix)
-        if whole is not None:
-            return [whole]
         if self._root is None:
             self._root = self._labels_by_prefix()
         root, arcs, state = self._root, self._arcs, self.state
+        if len(arcs) > TRANSITIONS:
+            arcs.clear()
         # A prefix has one tokenization, so a prefix that was reached once and led nowhere is dead.
         dead: set[int] = set()
         ids: list[int] = []
@@ -154,12 +178,19 @@ class Automaton:
 
 
 class Tokenizer:
-    """Encodes and decodes like a byte-level BPE tokenizer file with word-end suffixes and NFC lower-casing."""
+    """Encodes and decodes like a byte-level BPE tokenizer file with word-end suffixes and NFC lower-casing.
+
+    A file that asks for anything else is refused.
+    """
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
+        if wrong := [k for k, v in _SETTINGS.items() if v != _setting(spec, k)] + [k for k in _UNUSED if model.get(k)]:
+            raise ValueError(f"{path}: settings that this tokenizer doesn't have: {wrong}")
+        if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in spec["added_tokens"]):
+            raise ValueError(f"{path}: added tokens that match otherwise than as they are")
         merges = [tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in model["merges"]]
         self.automaton = Automaton(model["vocab"], merges, model.get("end_of_word_suffix") or "")
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
