@@ -70,14 +70,21 @@ def strip_controls(c: Column) -> Column:
 
 
 def strip_accents(c: Column) -> Column:
-    return F.regexp_replace(F.translate(c, ACCENTED, PLAIN), r"\p{Mn}", "")
+    plain = lambda t: F.when(t.rlike(r"[^\x00-\x7F]"), F.regexp_replace(F.translate(t, ACCENTED, PLAIN), r"\p{Mn}", "")).otherwise(t)
+    return let(c, plain)
 
 
 def _once_repaired(c: Column) -> Column:
-    back = F.translate(c, "".join(_CP1252), "".join(_CP1252.values()))
-    broken = back.rlike(r"^[\x00-\xFF]*$") & back.rlike(r"[\xC2-\xF4][\x80-\xBF]")
-    decoded = F.try_validate_utf8(F.encode(F.when(broken, back).otherwise(F.lit("")), "ISO-8859-1").cast("string"))
-    return F.when(broken, F.coalesce(decoded, c)).otherwise(c)
+    def repaired(t: Column) -> Column:
+        def decoded(back: Column) -> Column:
+            broken = back.rlike(r"^[\x00-\xFF]*$") & back.rlike(r"[\xC2-\xF4][\x80-\xBF]")
+            read = F.try_validate_utf8(F.encode(F.when(broken, back).otherwise(F.lit("")), "ISO-8859-1").cast("string"))
+            return F.when(broken, F.coalesce(read, t)).otherwise(t)
+
+        # only a text with a lead byte's character can be broken
+        return F.when(t.rlike(r"[\xC2-\xF4]"), let(F.translate(t, "".join(_CP1252), "".join(_CP1252.values())), decoded)).otherwise(t)
+
+    return let(c, repaired)
 
 
 def repair_mojibake(c: Column) -> Column:

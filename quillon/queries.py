@@ -123,7 +123,8 @@ _ISSUE_SQL = {
 
 @_query("SELECT doc_id, " + ", ".join(f"{test} AS {code.lower()}" for code, test in _ISSUE_SQL.items()) + r" FROM (SELECT doc_id, text AS t FROM documents) WHERE regexp_matches(t, '[^\s\x{A0}]')")
 def text_issue_codes(spark, sf_dir):
-    d = _table(spark, sf_dir, "documents").select("doc_id", text.issues(F.col("text")).alias("i")).where(~F.array_contains("i", text.EMPTY_ISSUE))
+    filled = _table(spark, sf_dir, "documents").where(F.col("text").rlike(r"(?U)\S"))  # before the codes, so that these are found once
+    d = filled.select("doc_id", text.issues(F.col("text")).alias("i"))
     return d.select("doc_id", *[F.array_contains("i", code).alias(code.lower()) for code in _ISSUE_SQL])
 
 
