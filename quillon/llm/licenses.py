@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -50,6 +51,24 @@ SENTENCES: dict[str, tuple[str, ...]] = {
     "cc-by-4": ("Licensed under CC BY 4.0", "This work is licensed under CC BY 4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
     "cc-by-sa-4": ("Licensed under CC BY-SA 4.0", "This work is licensed under CC BY-SA 4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
     "cc0": ("Licensed under CC0 1.0", "Released under CC0 1.0 Universal"),
+    "gpl-name": ("GNU General Public License",),
+    "gpl-3-title": ("GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",),
+    "gpl-2-title": ("GNU GENERAL PUBLIC LICENSE Version 2, June 1991",),
+    "gpl-copying": ("Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed",),
+    "gpl-warranty": ("This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY",),
+    "agpl-title": ("GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",),
+    "agpl-notice": ("Licensed under the GNU Affero General Public License, version 3", "SPDX-License-Identifier: AGPL-3.0-only", "SPDX-License-Identifier: AGPL-3.0-or-later"),
+    "agpl-later": ("it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version", "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version"),
+    "lgpl-title": ("GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",),
+    "apache-2-title": ("Apache License Version 2.0, January 2004",),
+    "apache-2-terms": ("TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION",),
+    "epl-2-notice": ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0", "SPDX-License-Identifier: EPL-2.0"),
+    "bsl-1-title": ("Boost Software License - Version 1.0 - August 17th, 2003", "Distributed under the Boost Software License, Version 1.0", "SPDX-License-Identifier: BSL-1.0"),
+    "zlib-as-is": ("This software is provided 'as-is', without any express or implied warranty",),
+    "zlib-grant": ("Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions",),
+    "wtfpl": ("DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE", "You just DO WHAT THE FUCK YOU WANT TO"),
+    "mpl-2-copy": ("If a copy of the MPL was not distributed with this file, You can obtain one at",),
+    "cc-by-nd-4": ("Licensed under CC BY-ND 4.0", "This work is licensed under CC BY-ND 4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License"),
 }
 
 #: Rules in order of precedence: licence and identifier sequence.
@@ -61,8 +80,22 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("Apache-2.0", ("apache-2-notice",)),
     ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse")),
     ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")),
+    ("Zlib", ("zlib-as-is", "zlib-grant")),
+    ("AGPL-3.0-or-later", ("gpl-free", "agpl-later")),
+    ("GPL-3.0-or-later", ("gpl-free", "gpl-3-later", "gpl-warranty")),
     ("GPL-3.0-or-later", ("gpl-free", "gpl-3-later")),
     ("GPL-2.0-or-later", ("gpl-free", "gpl-2-later")),
+    ("GPL-3.0", ("gpl-3-title", "gpl-copying")),
+    ("GPL-2.0", ("gpl-2-title", "gpl-copying")),
+    ("AGPL-3.0", ("agpl-title", "gpl-copying")),
+    ("LGPL-3.0", ("lgpl-title", "gpl-copying")),
+    ("Apache-2.0", ("apache-2-title", "apache-2-terms")),
+    ("MPL-2.0", ("mpl-2-notice", "mpl-2-copy")),
+    ("AGPL-3.0", ("agpl-notice",)),
+    ("EPL-2.0", ("epl-2-notice",)),
+    ("BSL-1.0", ("bsl-1-title",)),
+    ("WTFPL", ("wtfpl",)),
+    ("CC-BY-ND-4.0", ("cc-by-nd-4",)),
     ("GPL-3.0", ("gpl-3-notice",)),
     ("GPL-2.0", ("gpl-2-notice",)),
     ("LGPL-3.0", ("lgpl-notice",)),
@@ -95,68 +128,80 @@ def _known() -> dict[str, str]:
 
 
 KNOWN = _known()
-_STARTS = frozenset(k.split(" ", 1)[0] for k in KNOWN)
-_LONGEST = max(k.count(" ") + 1 for k in KNOWN)
-_MOST_LINES = 12
+#: What known sentences begin with, word by word: pieces are joined as long as they are one of these.
+BEGINNINGS = frozenset(" ".join(w[:i]) for w in map(str.split, KNOWN) for i in range(1, len(w) + 1))
 
 
-def recognise(text: str) -> list[tuple[int, int, int, str]]:
-    """(sentence number, start, end, identifier) of the known sentences of a text.
+class Found(NamedTuple):
+    """A known sentence: the numbers of its first word-bearing piece and of the one after its last, its place, its identifier."""
 
-    A sentence may be cut by line breaks or by its own marks: pieces are joined, up to _MOST_LINES, as
-    long as a known sentence may still come of them.
+    first: int
+    after: int
+    start: int
+    end: int
+    name: str
+
+
+def recognise(text: str) -> list[Found]:
+    """The known sentences of a text, in order; of those that begin at one place the longest.
+
+    A sentence may be cut by line breaks or by its own marks: pieces are joined as long as a known
+    sentence may still come of them. A piece without words, such as a blank line, ends a sentence.
     """
     pieces, at = [], 0
     for m in _END.finditer(text):
         pieces.append((at, m.start()))
         at = m.end()
     pieces.append((at, len(text)))
+    pieces = [(a, b, w) for a, b in pieces for w in [normalise(text[a:b])]]
+    number, n = [], 0  # of word-bearing pieces before each
+    for *_, w in pieces:
+        number.append(n)
+        n += w != ""
+    number.append(n)
     out, i = [], 0
-    normal: dict[int, str] = {}
-
-    def of(j: int) -> str:
-        if j not in normal:
-            normal[j] = normalise(text[pieces[j][0] : pieces[j][1]])
-        return normal[j]
-
     while i < len(pieces):
-        first = of(i)
-        step = 1
-        if first and first.split(" ", 1)[0] in _STARTS:
-            joined, best = "", 0
-            for j in range(i, min(i + _MOST_LINES, len(pieces))):
-                joined = f"{joined} {of(j)}".strip()
-                if joined.count(" ") >= _LONGEST:
-                    break
-                if joined in KNOWN:
-                    best = j - i + 1
-                    name = KNOWN[joined]
-            if best:
-                out.append((i, pieces[i][0], pieces[i + best - 1][1], name))
-                step = best
-        i += step
+        joined, best, j = pieces[i][2], None, i
+        while joined in BEGINNINGS:
+            if joined in KNOWN:
+                best = (j, KNOWN[joined])
+            j += 1
+            if j == len(pieces) or not pieces[j][2]:
+                break
+            joined = f"{joined} {pieces[j][2]}"
+        if best:
+            j, name = best
+            out.append(Found(number[i], number[j] + 1, pieces[i][0], pieces[j][1], name))
+            i = j
+        i += 1
     return out
 
 
-def match_rules(found: list[tuple[int, int, int, str]]) -> list[tuple[str, int, int]]:
+def _chain(found: list[Found], used: set[int], i: int, wanted: tuple[str, ...]) -> list[int] | None:
+    """The places of wanted's identifiers from i on, each at most GAP sentences after the one before."""
+    if i in used or found[i].name != wanted[0]:
+        return None
+    chain, j = [i], i + 1
+    for name in wanted[1:]:
+        near = lambda j: j < len(found) and found[j].first - found[chain[-1]].after <= GAP
+        while near(j) and (j in used or found[j].name != name):
+            j += 1
+        if not near(j):
+            return None
+        chain.append(j)
+        j += 1
+    return chain
+
+
+def match_rules(found: list[Found]) -> list[tuple[str, int, int]]:
     """(licence, start, end) of the rules that match, in order of place; each sentence serves one rule."""
     used: set[int] = set()
     out = []
     for licence, wanted in RULES:
         for i in range(len(found)):
-            chain: list[int] = []
-            j = i
-            for name in wanted:
-                while j < len(found) and (j in used or found[j][3] != name) and chain and found[j][0] - found[chain[-1]][0] <= GAP + 1:
-                    j += 1
-                if j < len(found) and j not in used and found[j][3] == name and (not chain or found[j][0] - found[chain[-1]][0] <= GAP + _MOST_LINES):
-                    chain.append(j)
-                    j += 1
-                else:
-                    break
-            if len(chain) == len(wanted):
+            if chain := _chain(found, used, i, wanted):
                 used.update(chain)
-                out.append((licence, found[chain[0]][1], found[chain[-1]][2]))
+                out.append((licence, found[chain[0]].start, found[chain[-1]].end))
     return sorted(out, key=lambda x: (x[1], x[2], x[0]))
 
 
