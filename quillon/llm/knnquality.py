@@ -19,7 +19,21 @@ from pyspark.sql import functions as F
 
 from quillon.llm import _text as T
 from quillon.llm.langid import held_out
-from quillon.llm.lmquality import CLASS, SYMBOLS
+
+
+def _classes() -> tuple[np.ndarray, int]:
+    """The class of each byte: a-z, capitals, digits, blank, newline, . , | marks, other ASCII, UTF-8 leads, four groups of continuations."""
+    k = np.full(256, 34, np.uint8)
+    k[97:123] = np.arange(26)
+    k[65:91], k[48:58], k[32], k[[9, 10, 11, 12, 13]], k[46], k[44], k[124] = 26, 27, 28, 29, 30, 31, 32
+    k[[ord(c) for c in "#*$%&<>"]] = 33
+    k[192:] = 35
+    for b in range(128, 192):
+        k[b] = 36 + (b - 128) // 16
+    return k, 40
+
+
+CLASS, SYMBOLS = _classes()
 
 GRAM = 3
 MARKS = 22
@@ -79,21 +93,26 @@ class Model:
             return np.full(len(block), self.prior)
         sim = block @ self.vectors.T
         k = min(NEIGHBOURS, sim.shape[1])
-        near = np.argpartition(sim, sim.shape[1] - k, axis=1)[:, -k:]
-        w = np.maximum(np.take_along_axis(sim, near, axis=1), 0).astype(np.float64) ** SHARPNESS
+        least = np.partition(sim, sim.shape[1] - k, axis=1)[:, -k, None]
+        near = sim > least
+        tied = sim == least
+        near |= tied & (np.cumsum(tied, axis=1) <= k - near.sum(axis=1, keepdims=True))
+        w = np.where(near, np.maximum(sim, 0), 0).astype(np.float64) ** SHARPNESS
         total = w.sum(axis=1)
-        return np.where(total > 0, (w * self.labels[near]).sum(axis=1) / np.maximum(total, 1e-12), self.prior)
+        return np.where(total > 0, w @ self.labels / np.maximum(total, 1e-12), self.prior)
 
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str = "quality") -> Model:
     """Fits on at most REFERENCES labelled documents that aren't held out, the first by a hash of doc_id.
 
     Rows without doc_id or label teach nothing; several labels of a document count as their mean,
-    rounded up. Without any labelled document the model answers 0.5.
+    rounded up, and of texts that share a doc_id the first in order teaches. Without any labelled document
+    the model answers 0.5.
     """
     some = labels.where(~held_out() & F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.avg(label).alias("label"))
     some = some.orderBy(F.xxhash64("doc_id"), "doc_id").limit(REFERENCES)
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(some), "doc_id").select(F.col("doc_id"), F.when(F.col("label") >= 0.5, 1.0).otherwise(0.0).alias("label"), "text").dropDuplicates(["doc_id"])
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(some), "doc_id").select(F.col("doc_id"), F.when(F.col("label") >= 0.5, 1.0).otherwise(0.0).alias("label"), "text")
+    rows = rows.groupBy("doc_id").agg(F.first("label").alias("label"), F.min("text").alias("text")).orderBy("doc_id")  # at most REFERENCES
     got = rows.select("label", "text").mapInArrow(_sparse, "label double, terms binary, counts binary").toArrow()
     y = got["label"].to_numpy()
     sparse = [(np.frombuffer(t.as_py(), np.int32), np.frombuffer(c.as_py(), np.float32)) for t, c in zip(got["terms"], got["counts"], strict=True)]
