@@ -15,6 +15,8 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _INV = pow(_BASE, -1, 1 << 64)
 #: Bytes of text handled in one numpy step; one longer text is a step of its own.
 STEP_BYTES = 1 << 20
+#: Rows that one step has at most.
+STEP_ROWS = 1024
 
 IS_WORD = np.ones(256, bool)
 IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
@@ -45,25 +47,25 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def steps(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, row offsets) of a string column, in steps of about STEP_BYTES.
+def steps(column: pa.Array | pa.ChunkedArray, size: int = STEP_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, bytes, row offsets) of a string column, in steps of about size bytes.
 
     Null texts count as empty.
     """
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    column = pa.array(column).cast(pa.large_string()).fill_null("")
-    if not len(column):
-        return
-    _, offs, data = column.buffers()
-    offsets = np.frombuffer(offs, np.int64)[column.offset : column.offset + len(column) + 1]
-    raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
-    a = 0
-    while a < len(column):
-        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + STEP_BYTES, "right")) - 1)
-        b = min(b, len(column))
-        yield a, b, raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-        a = b
+    for start in range(0, len(column), STEP_ROWS):
+        part = column.slice(start, STEP_ROWS)
+        if isinstance(part, pa.ChunkedArray):
+            part = part.combine_chunks()
+        part = pa.array(part).cast(pa.large_string()).fill_null("")
+        _, offs, data = part.buffers()
+        offsets = np.frombuffer(offs, np.int64)[part.offset : part.offset + len(part) + 1]
+        raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+        a = 0
+        while a < len(part):
+            b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + size, "right")) - 1)
+            b = min(b, len(part))
+            yield start + a, start + b, raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+            a = b
 
 
 def words(buf: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

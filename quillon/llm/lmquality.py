@@ -1,18 +1,19 @@
 """Quality rules with n-gram perplexity.
 
-A modified Kneser-Ney model of words, order three, is counted by Spark for every language value found.
-Its tables are grouped rows that grow with the corpus, and documents are scored by joins with them;
-nothing of it comes to the driver. Documents fall into two halves by the least hash of their word
-pairs, and each half is scored by the counts of the other, so that no text, nor a copy of it, and few
-of its near copies vouch for it. How words are spelled is judged by a second, small model of order four
-over 40 byte classes, whose tables are bounded and broadcast. Every document gets both log-perplexities,
-and each language's bands, robust in the spread of all its documents, reject what lies outside of either.
+A modified Kneser-Ney model of characters (code points), order five, is counted by Spark over all
+documents for every language value found. The counts, the continuation counts of the lower orders and
+the discounts are grouped tables that grow with the corpus; joins of them give each five-gram its
+interpolated probability. For scoring these stand in sorted arrays of hashes, in parts of a bounded
+size: one part is broadcast at a time, and each document adds up what it finds in all parts. Documents
+fall into two halves by the least hash of their word pairs, and each half is scored by the counts of
+the other, so that no text, nor a copy of it, and few of its near copies vouch for it. Each language's
+bands, robust in the spread of all its documents, reject what lies outside.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -22,194 +23,82 @@ from pyspark.sql import functions as F
 from quillon.llm import _text as T
 from quillon.llm._store import Store
 
-#: Order of the spelling model.
-ORDER = 4
-#: Languages with a spelling model of their own; all others and null share one more.
-LANGUAGES = ("de", "en", "es", "fr")
+#: Order of the model. A context of four characters and one more fit into two longs.
+ORDER = 5
+#: What stands before the first character of a text: no code point.
+START = (1 << 21) - 1
+#: Five-grams of one broadcast part: 16 bytes each.
+PART = 4_000_000
+#: Distinct five-grams that a task holds before it sends its counts on.
+HELD = 500_000
+#: Bytes of text of one step: a step makes some twenty arrays of its characters.
+STEP = 1 << 18
 #: Spreads (median absolute deviations of the log-perplexity, scaled to a normal sigma) from the median to the bands.
 LOWER, UPPER = 4.0, 4.0
-#: A band widens by this over the root of a document's length: a short text's mean varies more.
+#: A band widens by this over the root of a document's length in characters: a short text's mean varies more.
 LENGTH = 1.5
-#: What stands before the first word of a text.
-START = 1
-
-
-def _classes() -> tuple[np.ndarray, int]:
-    """The class of each byte, which the quality classifier reads: a-z, capitals, digits, blank, newline, . , | marks, other ASCII, UTF-8 leads, four groups of continuations."""
-    k = np.full(256, 34, np.uint8)
-    k[97:123] = np.arange(26)
-    k[65:91], k[48:58], k[32], k[[9, 10, 11, 12, 13]], k[46], k[44], k[124] = 26, 27, 28, 29, 30, 31, 32
-    k[[ord(c) for c in "#*$%&<>"]] = 33
-    k[192:] = 35
-    for b in range(128, 192):
-        k[b] = 36 + (b - 128) // 16
-    return k, 40
-
-
-CLASS, SYMBOLS = _classes()
-
-
-def _codes(buf: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Four-gram codes of each text, with three newlines before it; rows: first code of each text."""
-    pad = ORDER - 1
-    out = rows + pad * np.arange(len(rows))
-    c = np.full(out[-1], 29, np.int32)
-    c[np.arange(len(buf)) + np.repeat(pad * np.arange(1, len(rows)), np.diff(rows))] = CLASS[buf]
-    code = np.zeros(max(len(c) - pad, 0), np.int32)
-    for j in range(ORDER):
-        code = code * SYMBOLS + c[j : j + len(code)]
-    keep = np.arange(len(buf)) + np.repeat(pad * np.arange(len(rows) - 1), np.diff(rows))
-    return code[keep], rows
-
-
-def _count_classes():
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables: dict[int, np.ndarray] = {}
-        for batch in batches:
-            langs = np.array(batch.column("lang").to_pylist())
-            for a, b, buf, rows in T.steps(batch.column("text")):
-                code, at = _codes(buf, rows)
-                of = np.repeat(langs[a:b], np.diff(at))
-                for lang in np.unique(langs[a:b]):
-                    if int(lang) not in tables:
-                        tables[int(lang)] = np.zeros(SYMBOLS**ORDER, np.int64)
-                    tables[int(lang)] += np.bincount(code[of == lang], minlength=SYMBOLS**ORDER)
-        for lang, table in tables.items():
-            full = np.flatnonzero(table)
-            for a in range(0, len(full), 100_000):
-                part = full[a : a + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), lang, np.int32)), pa.array(part.astype(np.int32)), pa.array(table[part])], names=["lang", "gram", "n"])
-
-    return run
-
-
-def lang_number(lang, languages: tuple[str, ...] = LANGUAGES):
-    """A language's model; all that have none, and null, share the last."""
-    out = F.lit(len(languages))
-    for i, name in enumerate(languages):
-        out = F.when(F.lower(lang) == name, i).otherwise(out)
-    return out.cast("int")
-
-
-@dataclass
-class KneserNey:
-    """Modified Kneser-Ney: for each order sorted hashes of the n-grams and their discounted shares, and of the contexts and their left-over weights."""
-
-    grams: list[np.ndarray]
-    shares: list[np.ndarray]
-    contexts: list[np.ndarray]
-    weights: list[np.ndarray]
-
-    @staticmethod
-    def fit(code: np.ndarray, n: np.ndarray) -> KneserNey:
-        """From the distinct four-gram codes and their counts; lower orders count distinct left neighbours."""
-        model = KneserNey([], [], [], [])
-        for order in range(ORDER, 0, -1):
-            ones = [float((n == i).sum()) for i in range(1, 5)]
-            y = ones[0] / (ones[0] + 2 * ones[1]) if ones[0] and ones[1] else 0.5
-            d = [0.0] + [min(max(i - (i + 1) * y * ones[i] / ones[i - 1], 0.05 * i), 0.95 * i) if ones[i - 1] and ones[i] else 0.5 for i in (1, 2, 3)]
-            cut = np.array(d)[np.minimum(n, 3)]
-            context, at = np.unique(code // SYMBOLS, return_inverse=True)
-            total, left = np.bincount(at, n), np.bincount(at, cut)
-            key = T.mix(code.astype(np.uint64) + np.uint64(1))
-            by = np.argsort(key)
-            model.grams.insert(0, key[by])
-            model.shares.insert(0, ((n - cut) / total[at])[by].astype(np.float32))
-            key = T.mix(context.astype(np.uint64) + np.uint64(1))
-            by = np.argsort(key)
-            model.contexts.insert(0, key[by])
-            model.weights.insert(0, (left / total)[by].astype(np.float32))
-            lower = code % SYMBOLS ** (order - 1)
-            code, n = np.unique(lower, return_counts=True)
-        return model
-
-    @staticmethod
-    def _get(keys: np.ndarray, values: np.ndarray, code: np.ndarray, default: float) -> np.ndarray:
-        key = T.mix(code.astype(np.uint64) + np.uint64(1))
-        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-        return np.where(keys[at] == key, values[at], np.float32(default)).astype(np.float32)
-
-    def log_probability(self, code: np.ndarray) -> np.ndarray:
-        """Of the last symbol of each four-gram code after the others."""
-        p = np.full(len(code), 1 / SYMBOLS, np.float32)
-        for order in range(1, ORDER + 1):
-            part = code % SYMBOLS**order
-            share = self._get(self.grams[order - 1], self.shares[order - 1], part, 0)
-            weight = self._get(self.contexts[order - 1], self.weights[order - 1], part // SYMBOLS, 1)
-            p = share + weight * p
-        return np.log(np.maximum(p, 1e-9))
-
-    def table(self) -> np.ndarray:
-        """log_probability of every code there is."""
-        return np.concatenate([self.log_probability(np.arange(a, a + SYMBOLS ** (ORDER - 1))) for a in range(0, SYMBOLS**ORDER, SYMBOLS ** (ORDER - 1))])
-
-
-def fit_classes(store: Store, docs: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> dict[int, KneserNey]:
-    """A spelling model for each language, counted over all rows of docs(text, lang)."""
-    rows = docs.select(lang_number(F.col("lang"), languages).alias("lang"), F.col("text").cast("string").alias("text"))
-    counts = rows.mapInArrow(_count_classes(), "lang int, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    counts = store.keep(counts, "class_counts")
-    models = {}
-    for i in range(len(languages) + 1):  # one language at a time: at most SYMBOLS ** ORDER rows
-        t = counts.where(F.col("lang") == i).select("gram", "n").toArrow()
-        if t.num_rows:
-            code, n = t["gram"].to_numpy(), t["n"].to_numpy()
-            by = np.argsort(code)
-            models[i] = KneserNey.fit(code[by].astype(np.int64), n[by])
-    return models
+
+_B = np.int64(21)
+
+
+def _points(buf: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of UTF-8 bytes and each row's first."""
+    lead = (buf & 0xC0) != 0x80
+    first = np.concatenate([[0], np.cumsum(lead)])[rows]
+    return np.frombuffer(buf.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32).astype(np.int64), first
 
 
 def _grams(buf: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """x and w of each word, and each row's first: w hashes the word to 32 bits, x holds the two words before."""
-    starts, ends, first = T.words(buf, rows)
-    if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), first
-    w = T.word_hashes(buf, starts, ends) >> np.uint64(32)
-    before = []
-    for back in (1, 2):
-        v = np.full(len(w), START, np.uint64)
-        v[back:] = w[:-back]
-        at = np.arange(len(w)) - np.repeat(first[:-1], np.diff(first))
-        v[at < back] = START
-        before.append(v)
-    return (before[1] << np.uint64(32)) | before[0], w, first
-
-
-def _keys(key: np.ndarray, buf: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """key with its last bit replaced by the half of each text."""
+    """(ends, middle, first) of each character's five-gram: its first and last character in one long, the three between in another, and each row's first."""
+    c, first = _points(buf, rows)
+    # four STARTs before each text
+    place = np.arange(len(c)) + np.repeat((ORDER - 1) * np.arange(1, len(first)), np.diff(first))
+    whole = np.full(len(c) + (ORDER - 1) * (len(first) - 1), START, np.int64)
+    whole[place] = c
+    middle = (whole[place - 3] << 2 * _B) | (whole[place - 2] << _B) | whole[place - 1]
+    return (whole[place - 4] << _B) | c, middle, first
+
+
+def _half(buf: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The half of each text."""
     starts, ends, first = T.words(buf, rows)
     half = np.zeros(len(rows) - 1, np.int64)
     if len(starts):
         pairs, at = T.windows(T.word_hashes(buf, starts, ends), first, 2, whole=True)
         some = np.flatnonzero(np.diff(at))
         half[some] = (np.minimum.reduceat(pairs, at[:-1][some]) & np.uint64(1)).astype(np.int64)
-    return (key & ~1) | half
+    return half
+
+
+_KEY = ["lang", "ends", "middle"]
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, x, w, n0, n1): distinct trigrams of a step, with their counts in both halves."""
-    for batch in batches:
-        lang, key = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("lang", "key"))
-        for a, b, buf, rows in T.steps(batch.column("text")):
-            x, w, first = _grams(buf, rows)
-            of = np.repeat(np.arange(a, b), np.diff(first))
-            _, at, inverse = np.unique(T.mix(T.mix(x ^ lang[of].view(np.uint64)) + w), return_index=True, return_inverse=True)
-            half = (_keys(key[a:b], buf, rows) & 1)[of - a]
-            n = [np.bincount(inverse, half == h, len(at)).astype(np.int64) for h in (0, 1)]
-            yield pa.RecordBatch.from_arrays([pa.array(lang[of[at]]), pa.array(x[at].view(np.int64)), pa.array(w[at].view(np.int64)), pa.array(n[0]), pa.array(n[1])], names=["lang", "x", "w", "n0", "n1"])
+    """(lang, ends, middle, n0, n1): distinct five-grams with their counts in both halves, added up in the task."""
+    held: list[pa.Table] = []
 
+    def added(tables: list[pa.Table]) -> pa.Table:
+        t = pa.concat_tables(tables).group_by(_KEY, use_threads=False).aggregate([("n0", "sum"), ("n1", "sum")])
+        return t.rename_columns([c.removesuffix("_sum") for c in t.column_names]).select([*_KEY, "n0", "n1"])
 
-def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        lang, key = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("lang", "key"))
-        for a, b, buf, rows in T.steps(batch.column("text")):
-            x, w, first = _grams(buf, rows)
-            of = np.repeat(np.arange(a, b), np.diff(first))
-            yield pa.RecordBatch.from_arrays([pa.array(_keys(key[a:b], buf, rows)[of - a]), pa.array(lang[of]), pa.array(x.view(np.int64)), pa.array(w.view(np.int64))], names=["key", "lang", "x", "w"])
+        lang = batch.column("lang").to_numpy(zero_copy_only=False)
+        for a, b, buf, rows in T.steps(batch.column("text"), STEP):
+            ends, middle, first = _grams(buf, rows)
+            of = np.repeat(np.arange(b - a), np.diff(first))
+            half = _half(buf, rows)[of]
+            held.append(added([pa.table({"lang": lang[a:b][of], "ends": ends, "middle": middle, "n0": 1 - half, "n1": half})]))
+            if sum(t.num_rows for t in held) > HELD:
+                held = [added(held)]
+                if held[0].num_rows > HELD / 2:
+                    yield from held.pop().to_batches()
+                    pa.default_memory_pool().release_unused()
+    if held:
+        yield from added(held).to_batches()
 
 
 def _discounts(counts: DataFrame) -> DataFrame:
-    """(lang, d): each half's three discounts of modified Kneser-Ney, from its counts of counts."""
+    """(lang, d0, d1): each half's three discounts of modified Kneser-Ney, from its counts of counts."""
     ones = [F.sum((F.col(f"n{h}") == i).cast("double")).alias(f"o{h}{i}") for h in (0, 1) for i in range(1, 5)]
 
     def of(h: int) -> Column:
@@ -223,7 +112,7 @@ def _discounts(counts: DataFrame) -> DataFrame:
 
 def _shares(counts: DataFrame, context: list[str]) -> DataFrame:
     """counts with share0, share1 and weight0, weight1: the discounted share of each n-gram and what its context leaves to the lower order, in both halves' models."""
-    cut = counts.join(_discounts(counts), "lang")
+    cut = counts.join(F.broadcast(_discounts(counts)), "lang")  # a row a language
     for h in (0, 1):
         cut = cut.withColumn(f"c{h}", F.get(f"d{h}", F.least(f"n{h}", F.lit(3)).cast("int"))).drop(f"d{h}")
     keys = ["lang", *context]
@@ -236,35 +125,80 @@ def _shares(counts: DataFrame, context: list[str]) -> DataFrame:
     return out.drop(*(f"{c}{h}" for c in ("n", "c", "all", "left") for h in (0, 1)))
 
 
-def _types(keys: list[str], counts: DataFrame) -> DataFrame:
-    """Continuation counts: how many distinct n-grams of counts end in keys, in both halves."""
-    return counts.groupBy(*keys).agg(*(F.sum((F.col(f"n{h}") > 0).cast("long")).alias(f"n{h}") for h in (0, 1)))
-
-
 def fit(store: Store, rows: DataFrame) -> DataFrame:
-    """(gram, p0, p1): the log-probability of the last word of every trigram of rows(key, lang, text) in the models of both halves.
+    """(lang, ends, middle, p0, p1): the log-probability of the last character of every five-gram of rows(lang, text) in the models of both halves.
 
-    Every n-gram of either half stands in the tables of all orders, so the joins miss none; one that a
-    half doesn't have counts 0 there and gets its share of the lower orders. A word that a half never
-    saw gets one share of the uniform distribution over its words and one unknown.
+    Lower orders count distinct left neighbours. Every n-gram of either half stands in the tables of
+    all orders, so the joins miss none; one that a half doesn't have counts 0 there and gets its share
+    of the lower orders. A character that a half never saw gets one share of the uniform distribution
+    over its characters and one unknown.
     """
-    three = store.keep(rows.mapInArrow(_count, "lang long, x long, w long, n0 long, n1 long").groupBy("lang", "x", "w").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "three")
-    v = F.col("x").bitwiseAND(F.lit(0xFFFFFFFF))
-    two = store.keep(_types(["lang", "v", "w"], three.withColumn("v", v)), "two")
-    one = store.keep(_types(["lang", "w"], two), "one")
-    size = one.groupBy("lang").agg(*(F.sum((F.col(f"n{h}") > 0).cast("long")).alias(f"size{h}") for h in (0, 1)))
-    low = _shares(one, []).join(size, "lang").select("lang", "w", *((F.col(f"share{h}") + F.col(f"weight{h}") / (F.col(f"size{h}") + 1)).alias(f"low{h}") for h in (0, 1)))
-    mid = _shares(two, ["v"]).join(low, ["lang", "w"]).select("lang", "v", "w", *((F.col(f"share{h}") + F.col(f"weight{h}") * F.col(f"low{h}")).alias(f"mid{h}") for h in (0, 1)))
-    top = _shares(three, ["x"]).withColumn("v", v).join(mid, ["lang", "v", "w"])
-    return top.select(F.xxhash64("lang", "x", "w").alias("gram"), *(F.log(F.col(f"share{h}") + F.col(f"weight{h}") * F.col(f"mid{h}")).cast("float").alias(f"p{h}") for h in (0, 1)))
+    context = {ORDER: ["first", "middle"], 1: []}  # by order; in between the characters of middle that the order sees
+    inner = lambda order: F.col("middle").bitwiseAND(F.lit((1 << 21 * (order - 1)) - 1)).alias("middle")
+    sums = lambda of: [F.sum(of(h)).alias(f"n{h}") for h in (0, 1)]
+    counts = rows.mapInArrow(_count, "lang long, ends long, middle long, n0 long, n1 long").groupBy(*_KEY).agg(*sums(lambda h: f"n{h}"))
+    counts = counts.select("lang", F.shiftright("ends", 21).alias("first"), "middle", F.col("ends").bitwiseAND(F.lit((1 << 21) - 1)).alias("w"), "n0", "n1")
+    tables = {ORDER: store.keep(counts, f"grams{ORDER}")}
+    for order in range(ORDER - 1, 0, -1):
+        below = tables[order + 1].select("lang", *([inner(order)] if order > 1 else []), "w", "n0", "n1")
+        types = below.groupBy("lang", *context.setdefault(order, ["middle"]), "w").agg(*sums(lambda h: (F.col(f"n{h}") > 0).cast("long")))
+        tables[order] = store.keep(types, f"grams{order}")
+    size = tables[1].groupBy("lang").agg(*(F.sum((F.col(f"n{h}") > 0).cast("long")).alias(f"size{h}") for h in (0, 1)))
+    p = _shares(tables[1], []).join(F.broadcast(size), "lang").select("lang", "w", *((F.col(f"share{h}") + F.col(f"weight{h}") / (F.col(f"size{h}") + 1)).alias(f"low{h}") for h in (0, 1)))
+    for order in range(2, ORDER + 1):
+        lower = ["lang", *(["middle"] if order > 2 else []), "w"]
+        p = p.select(*(F.col(c).alias("below" if c == "middle" else c) for c in lower), "low0", "low1")
+        shares = _shares(tables[order], context[order])
+        if order > 2:
+            shares = shares.withColumn("below", inner(order - 1))
+        p = shares.join(p, ["below" if c == "middle" else c for c in lower]).select("lang", *context[order], "w", *((F.col(f"share{h}") + F.col(f"weight{h}") * F.col(f"low{h}")).alias(f"low{h}") for h in (0, 1)))
+        p = store.keep(p, f"p{order}")
+    return p.select("lang", F.shiftleft("first", 21).bitwiseOR(F.col("w")).alias("ends"), "middle", *(F.log(f"low{h}").cast("float").alias(f"p{h}") for h in (0, 1)))
+
+
+def _hash(lang: np.ndarray, ends: np.ndarray, middle: np.ndarray) -> np.ndarray:
+    return T.mix(T.mix(lang.view(np.uint64) ^ ends.view(np.uint64)) + middle.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            h = _hash(*(batch.column(c).to_numpy() for c in _KEY))
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), batch.column("p0"), batch.column("p1")], names=["h", "p0", "p1"])
 
 
-def score(store: Store, rows: DataFrame) -> DataFrame:
-    """(key, log_ppl) of every key of rows(key, lang, text) whose text has words; equal texts share a key."""
-    model = store.keep(fit(store, rows), "model")
-    seen = rows.mapInArrow(_occurrences, "key long, lang long, x long, w long").select("key", F.xxhash64("lang", "x", "w").alias("gram"))
-    p = F.when(F.col("key").bitwiseAND(F.lit(1)) == 0, F.col("p1")).otherwise(F.col("p0")).cast("double")
-    return seen.join(model, "gram").groupBy("key").agg((-F.avg(p)).alias("log_ppl"))
+class Lookup:
+    """Sorted hashes and the values beside them, the last of which stands for none.
+
+    A first guess of each place comes from an index of the hashes' leading bits.
+    """
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        bits = max(1, (len(keys) - 1).bit_length())
+        self.keys, self.values, self.shift = keys, values, np.uint64(64 - bits)
+        self.first = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
+
+    def __call__(self, h: np.ndarray, column: np.ndarray) -> np.ndarray:
+        """The value of each hash in a column of its own; 0 for hashes that aren't there."""
+        at = self.first[(h >> self.shift).astype(np.int64)]
+        key = self.keys[at]
+        behind = np.flatnonzero(key < h)
+        while len(behind):
+            at[behind] += 1
+            key[behind] = now = self.keys[at[behind]]
+            behind = behind[now < h[behind]]
+        return np.where((key == h) & (at < len(self.keys) - 1), self.values[at, column], self.values.dtype.type(0))
+
+
+def parts(store: Store, model: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Sorted hashes and log-probabilities in both halves' models of the five-grams, about PART of them at a time, and a last entry for none."""
+    hashed = store.keep(model.mapInArrow(_hashed, "h long, p0 float, p1 float"), "hashed")
+    n = max(1, math.ceil(hashed.count() / PART))
+    for i in range(n):
+        t = hashed.where(F.pmod("h", F.lit(n)) == i).toArrow()
+        h = t["h"].to_numpy().view(np.uint64)
+        by = np.argsort(h)
+        yield np.append(h[by], np.uint64(2**64 - 1)), np.stack([np.append(t[c].to_numpy()[by], np.float32(0)) for c in ("p0", "p1")], axis=1)
 
 
 def _base(buf: np.ndarray, rows: np.ndarray) -> dict[str, np.ndarray]:
@@ -297,57 +231,68 @@ FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 
 
 def measure(spark: SparkSession, store: Store, docs: DataFrame) -> DataFrame:
-    """(doc_id, lang, the base features, spelling, log_ppl) of every whole text; spelling is null for empty texts, log_ppl for texts without words."""
-    shared = spark.sparkContext.broadcast(fit_classes(store, docs))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables: dict[int, np.ndarray] = {}
-        for batch in batches:
-            langs = np.array(batch.column("lang_no").to_pylist(), int)
-            key = batch.column("key").to_numpy(zero_copy_only=False)
-            for a, b, buf, rows in T.steps(batch.column("text")):
-                code, at = _codes(buf, rows)
-                total = np.zeros(b - a)
-                for lang in np.unique(langs[a:b]):
-                    if lang in shared.value and lang not in tables:
-                        tables[lang] = shared.value[lang].table()
-                for r in np.flatnonzero(np.diff(at)):
-                    total[r] = -tables[langs[a + r]][code[at[r] : at[r + 1]]].mean(dtype=np.float64)
-                f = _base(buf, rows)
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).slice(a, b - a) for c in ("doc_id", "lang")), pa.array(_keys(key[a:b], buf, rows)), *(pa.array(f[k].astype(np.int64)) for k in FEATURES), pa.array(total, mask=np.diff(at) == 0)],
-                    names=["doc_id", "lang", "key", *FEATURES, "spelling"],
-                )
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.lower("lang"), F.lit(""))).alias("lang"), lang_number(F.col("lang")).alias("lang_no"), F.col("text").cast("string").alias("text"))
-    rows = rows.withColumn("key", F.xxhash64("lang", "text"))
-    base = store.keep(rows.mapInArrow(run, "doc_id long, lang long, key long, " + ", ".join(f"{k} long" for k in FEATURES) + ", spelling double"), "base")
-    return base.join(score(store, rows.select("key", "lang", "text")), "key", "left").drop("key")
-
-
-def bands(measured: DataFrame, value: str) -> DataFrame:
-    """(lang, low_value, high_value): what each language accepts of a log-perplexity, from all its documents."""
-    usable = measured.where(F.col(value).isNotNull() & (F.col("n_words") >= 50))
-    mid = usable.groupBy("lang").agg(F.percentile_approx(value, 0.5, 2000).alias("mid"))
-    off = usable.join(F.broadcast(mid), "lang").groupBy("lang").agg(F.first("mid").alias("mid"), (1.4826 * F.percentile_approx(F.abs(F.col(value) - F.col("mid")), 0.5, 2000)).alias("spread"))
-    return off.select("lang", (F.col("mid") - LOWER * F.col("spread")).alias(f"low_{value}"), (F.col("mid") + UPPER * F.col("spread")).alias(f"high_{value}"))
+    """(doc_id, lang, the base features, log_ppl) of every whole text; log_ppl is null for texts without a letter.
+
+    A document's log-probability is spread over its letters (ASCII letters and what lies beyond ASCII),
+    so that marks and figures between them count as their cost.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.lower("lang"), F.lit(""))).alias("lang"), F.col("text").cast("string").alias("text"))
+    names = ["row", "doc_id", "lang", *FEATURES, "n", "total"]
+
+    def scored(shared) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            find = Lookup(*shared.value)
+            for batch in batches:
+                lang = batch.column("lang").to_numpy(zero_copy_only=False)
+                for a, b, buf, rows in T.steps(batch.column("text"), STEP):
+                    ends, middle, first = _grams(buf, rows)
+                    of = np.repeat(np.arange(b - a), np.diff(first))
+                    c = ends & START
+                    n = np.bincount(of, (c >= 128) | ((c | 32) >= 97) & ((c | 32) <= 122), b - a)
+                    # the half that a text isn't in scores it
+                    found = find(_hash(lang[a:b][of], ends, middle), 1 - _half(buf, rows)[of])
+                    total = np.bincount(of, found, b - a).astype(np.float64)
+                    f = _base(buf, rows)
+                    yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in names[:3]), *(pa.array(f[k].astype(np.int64)) for k in FEATURES), pa.array(n.astype(np.int64)), pa.array(total)], names=names)
+
+        return numbered.mapInArrow(run, "row long, doc_id long, lang long, " + ", ".join(f"{k} long" for k in FEATURES) + ", n long, total double")
+
+    model = fit(store, rows.select("lang", "text"))
+    numbered = rows.withColumn("row", F.xxhash64("doc_id", "lang", "text"))
+    done = None
+    for part in parts(store, model):
+        shared = spark.sparkContext.broadcast(part)
+        one = store.keep(scored(shared), "scored")
+        shared.destroy()
+        if done is None:
+            done = one
+        else:  # equal rows get equal sums
+            more = one.groupBy("row").agg(F.first("total").alias("more"))
+            done = store.keep(done.join(more, "row").withColumn("total", F.col("total") + F.col("more")).drop("more"), "scored")
+    return done.select("doc_id", "lang", *FEATURES, F.when(F.col("n") > 0, -F.col("total") / F.col("n")).alias("log_ppl"))
+
+
+def bands(measured: DataFrame) -> DataFrame:
+    """(lang, low, high): what each language accepts of a log-perplexity, from all its documents."""
+    usable = measured.where(F.col("log_ppl").isNotNull() & (F.col("n_words") >= 50))
+    mid = usable.groupBy("lang").agg(F.percentile_approx("log_ppl", 0.5, 2000).alias("mid"))
+    off = usable.join(F.broadcast(mid), "lang").groupBy("lang").agg(F.first("mid").alias("mid"), (1.4826 * F.percentile_approx(F.abs(F.col("log_ppl") - F.col("mid")), 0.5, 2000)).alias("spread"))
+    return off.select("lang", (F.col("mid") - LOWER * F.col("spread")).alias("low"), (F.col("mid") + UPPER * F.col("spread")).alias("high"))
 
 
 def judge(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """(doc_id, base features, base_failed, log_ppl, kept) of every row of docs(doc_id, text, lang, ...).
 
     base_failed: under 50 words, or more than half of the words in repeated three-word windows.
-    kept: not base_failed and both log-perplexities inside the bands of the document's language. A null or empty text has
-    no words and fails. Each language value has a model of its own, whatever its case; null is one more. Repeated rows are judged as
-    often as they stand, other columns are ignored, and an empty table gives no rows.
+    kept: not base_failed and the log-perplexity inside the bands of the document's language. A null or
+    empty text has no words and fails. Each language value has a model of its own, whatever its case;
+    null is one more. Repeated rows are judged as often as they stand, other columns are ignored, and an
+    empty table gives no rows.
     """
     store = Store(spark, "lmquality")
-    m = store.keep(measure(spark, store, docs), "measured")
+    m = store.finish(measure(spark, store, docs), "measured")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    inside = F.lit(True)
-    out = m
-    for value, length in (("log_ppl", "n_words"), ("spelling", "word_chars")):
-        wider = LENGTH / F.sqrt(F.greatest(F.col(length), F.lit(1)))
-        inside = inside & F.coalesce(F.col(value).between(F.col(f"low_{value}") - wider, F.col(f"high_{value}") + wider), F.lit(False))
-        out = out.join(F.broadcast(bands(m, value)), "lang", "left")  # a row a language
+    wider = LENGTH / F.sqrt(F.greatest("word_chars", F.lit(1)))
+    inside = F.coalesce(F.col("log_ppl").between(F.col("low") - wider, F.col("high") + wider), F.lit(False))
+    out = m.join(F.broadcast(bands(m)), "lang", "left")  # a row a language
     return out.select("doc_id", *FEATURES, failed.alias("base_failed"), "log_ppl", (~failed & inside).alias("kept"))
