@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillon.llm import bpe, chat, decontam, knnquality, langid, licenses, linedup, lmquality, neardup, secrets
+from quillon.llm import bpe, chat, decontam, divergence, knnquality, langid, licenses, linedup, lmquality, neardup, rans, secrets, vectorcodes
 from quillon.llm._ship import ship
 
-TOKENIZER = "word_bpe_49k.json"
+TOKENIZER, BYTE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +73,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_leaks(spark, _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(spark, _read(spark, sf_dir, "documents"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcodes.compress(spark, _read(spark, sf_dir, "embeddings")).select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rans.round_trip(spark, _read(spark, sf_dir, "documents"), tokenizer_path(BYTE_TOKENIZER))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -81,7 +93,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_language_id, op2_near_duplicates, op3_bpe, op4_quality_rules, op5_quality_classifier, op6_secret_scan, op7_license_scan, op8_chat_format, op9_line_dedup, op10_decontamination, pipeline]
+    found = [op1_language_id, op2_near_duplicates, op3_bpe, op4_quality_rules, op5_quality_classifier, op6_secret_scan, op7_license_scan, op8_chat_format, op9_line_dedup, op10_decontamination, op11_source_divergence, op12_vector_codes, op13_token_files, pipeline]
     return {f.__name__: f for f in found}
 
 
@@ -134,7 +146,45 @@ GROUP BY 1, 2 HAVING 100 * count(*) >= 80 * any_value(b.n)
 """
 )
 
+ORACLE_OP11 = r"""
+WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS row,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT lang, source, row, unnest(w) AS term FROM d),
+k AS MATERIALIZED (SELECT lang, term, count(*) AS n FROM t GROUP BY ALL HAVING count(DISTINCT row) >= 3),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS MATERIALIZED (SELECT g.lang, g.source, k.term, coalesce(x.n, 0) AS n FROM g JOIN k USING (lang) LEFT JOIN (SELECT lang, source, term, count(*) AS n FROM t GROUP BY ALL) x ON x.lang = g.lang AND x.source = g.source AND x.term = k.term),
+p AS MATERIALIZED (SELECT lang, source, term, n, 1 + 1000000000::HUGEINT * (n + 1) // (sum(n) OVER w + count(*) OVER w) AS p FROM c WINDOW w AS (PARTITION BY lang, source)),
+q AS (SELECT lang, term, 1 + 1000000000::HUGEINT * (n + 1) // (sum(n) OVER w + count(*) OVER w) AS q FROM k WINDOW w AS (PARTITION BY lang)),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (SELECT g.lang, g.source, 'pair' AS part, h.source AS item, coalesce(f.value, 0)::BIGINT AS value FROM g JOIN g h ON g.lang = h.lang AND g.source <> h.source LEFT JOIN f ON f.lang = g.lang AND f.source = g.source AND f.item = h.source
+  UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM r QUALIFY part = 'pair' OR rank <= 200
+"""
+
+_NEAREST = """
+d{i} AS (SELECT x.row, x.part, c.entry, list_sum([(z[1] - z[2]) * (z[1] - z[2]) for z in list_zip(x.v, c.v)])::BIGINT AS far FROM parts x JOIN c{i} c USING (part)),
+a{i} AS MATERIALIZED (SELECT row, part, min((far, entry)) AS best FROM d{i} GROUP BY ALL)"""
+_ROUND = """,
+s{i} AS (SELECT a.part, a.best[2] AS entry, u.place, sum(x.v[u.place])::HUGEINT AS s, count(*)::HUGEINT AS n FROM a{i} a JOIN parts x USING (row, part) JOIN places u ON true GROUP BY ALL),
+c{j} AS MATERIALIZED (SELECT c.part, c.entry, coalesce(any_value(m.v), any_value(c.v)) AS v FROM c{i} c LEFT JOIN (SELECT part, entry, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY place) AS v FROM s{i} GROUP BY ALL) m ON m.part = c.part AND m.entry = c.entry GROUP BY ALL),"""
+
+ORACLE_OP12 = (
+    """
+WITH kept AS MATERIALIZED (SELECT vec_id, label, row_number() OVER (ORDER BY vec_id, embedding) AS row, [floor(256 * x::DOUBLE)::BIGINT for x in embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+width AS (SELECT any_value(len(v)) // 16 AS w FROM kept),
+places AS (SELECT unnest(range(1, w + 1)) AS place FROM width),
+parts AS MATERIALIZED (SELECT row, part, v[part * w + 1:part * w + w] AS v FROM kept, width, (SELECT unnest(range(16)) AS part)),
+c0 AS MATERIALIZED (SELECT part, row - 1 AS entry, v FROM parts WHERE row <= 64),"""
+    + "".join(_NEAREST.format(i=i) + (_ROUND.format(i=i, j=i + 1) if i < 2 else "") for i in range(3))
+    + """,
+e AS (SELECT row, string_agg(printf('%02x', best[2]), '' ORDER BY part) AS code, sum(best[1])::BIGINT AS error FROM a2 GROUP BY row),
+h AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS h FROM c2)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, h AS codebooks_sha256 FROM kept JOIN e USING (row), h
+"""
+)
+
 
 def oracle_sql() -> dict[str, str]:
     """The others learn or tokenize, which SQL can't express; their tests use brute force."""
-    return {"op2_near_duplicates": ORACLE_OP2, "op8_chat_format": ORACLE_OP8, "op9_line_dedup": ORACLE_OP9, "op10_decontamination": ORACLE_OP10}
+    return {"op2_near_duplicates": ORACLE_OP2, "op8_chat_format": ORACLE_OP8, "op9_line_dedup": ORACLE_OP9, "op10_decontamination": ORACLE_OP10, "op11_source_divergence": ORACLE_OP11, "op12_vector_codes": ORACLE_OP12}
