@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,6 +53,15 @@ def _group_test(df: DataFrame, r: Rule) -> DataFrame:
     raise ValueError(f"unknown kind of rule: {r.kind}")
 
 
+def _unresolved(plan) -> str | None:
+    """What a plan can't be resolved for (a column or function that isn't there, kinds that don't fit), if anything."""
+    try:
+        plan()
+    except AnalysisException as e:
+        return str(e).splitlines()[0][:200]
+    return None
+
+
 def run_rules(spark: SparkSession, tables: dict[str, DataFrame], rules: list[Rule], scope: dict[str, str] | None = None) -> DataFrame:
     """One result row for each rule.
 
@@ -72,21 +82,21 @@ def run_rules(spark: SparkSession, tables: dict[str, DataFrame], rules: list[Rul
                 df = df.where(F.col(c) == v)
         scan: dict[str, Column] = {}
         for r in mine:
-            try:
-                if r.kind in ("not_empty", "present"):
-                    test = F.lit(True) if r.kind == "not_empty" else F.expr(r.params["condition"])
-                    one = F.when(F.count_if(test) == 0, 1).otherwise(0)
-                elif (test := _row_test(r)) is not None:
-                    one = F.count_if(test)
-                    if r.kind == "metadata":
-                        one = one + F.when(F.count("*") == 0, 1).otherwise(0)
-                else:
-                    parts.append(_group_test(df, r).select(F.lit(r.check_id).alias("check_id"), F.col("failed").cast("long").alias("failed_rows")))
-                    continue
-                df.agg(one)  # columns that don't exist show here, before anything runs
-                scan[r.check_id] = one.cast("long")
-            except Exception as e:
-                broken.append((r, str(e).splitlines()[0][:200]))
+            if r.kind in ("not_empty", "present"):
+                test = F.lit(True) if r.kind == "not_empty" else F.expr(r.params["condition"])
+                scan[r.check_id] = F.when(F.count_if(test) == 0, 1).otherwise(0).cast("long")
+            elif (test := _row_test(r)) is not None:
+                one = F.count_if(test)
+                scan[r.check_id] = (one + F.when(F.count("*") == 0, 1).otherwise(0) if r.kind == "metadata" else one).cast("long")
+            elif said := _unresolved(lambda r=r: _group_test(df, r)):
+                broken.append((r, said))
+            else:
+                parts.append(_group_test(df, r).select(F.lit(r.check_id).alias("check_id"), F.col("failed").cast("long").alias("failed_rows")))
+        # one analysis for all row rules; only where it fails are they looked at one by one
+        if scan and _unresolved(lambda: df.agg(*scan.values())):
+            found = {k: _unresolved(lambda c=c: df.agg(c)) for k, c in scan.items()}
+            broken += [(r, found[r.check_id]) for r in mine if found.get(r.check_id)]
+            scan = {k: c for k, c in scan.items() if not found[k]}
         if scan:
             row = df.agg(*[c.alias(k) for k, c in scan.items()])
             parts.append(row.select(F.explode(F.array(*[F.struct(F.lit(k).alias("check_id"), F.col(f"`{k}`").alias("failed_rows")) for k in scan])).alias("r")).select("r.*"))

@@ -76,6 +76,29 @@ def reject(df: DataFrame, stage: str, code: str, message: Column, raw: list[str]
     )
 
 
+def unknown_keys(rows: DataFrame, known: list[str], record: str = "record", partial: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of rows with a map of each record's keys: a record with a key that its contract lacks is a SCHEMA_MISMATCH.
+
+    The rejects' failed_field is the first unknown key in alphabetical order, failed_value what it holds; raw_record
+    is the whole record, and partial_record that of a column given. A null record has no keys.
+    """
+    extra = F.array_sort(F.array_except(F.map_keys(record), F.array(*map(F.lit, known))))
+    some = F.coalesce(F.size(extra) > 0, F.lit(False))
+    bad = rows.where(some).withColumn("_extra", extra)
+    first = F.get("_extra", F.lit(0))
+    rejects = bad.select(
+        *[c for c in rows.columns if c not in (record, partial)],
+        F.lit("validation").alias("stage"),
+        F.lit("SCHEMA_MISMATCH").alias("error_code"),
+        F.concat(F.lit("columns that the contract doesn't have: "), F.array_join("_extra", ", ")).alias("error_message"),
+        first.alias("failed_field"),
+        F.col(record)[first].alias("failed_value"),
+        F.to_json(record).alias("raw_record"),
+        (F.to_json(partial) if partial else F.lit(None).cast("string")).alias("partial_record"),
+    )
+    return rows.where(~some), rejects
+
+
 def union_rejects(*parts: DataFrame) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:

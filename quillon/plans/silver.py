@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quillon.functions import dates, numbers, text
@@ -153,17 +153,18 @@ def transform(df: DataFrame, spec: Spec, context: Context, catalog: DataFrame |
     return contracts.project(read_fields(df, spec, context, catalog).where(F.col(ERROR).isNull()), spec.contract)
 
 
-def process(df: DataFrame, system: str, dataset: str, context: Context, catalog: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, rejects) of a raw dataset.
+def judge(df: DataFrame, system: str, dataset: str, context: Context, catalog: DataFrame | None = None) -> DataFrame:
+    """(kind, valid, reject) of each raw row that its spec keeps: kind is `valid` or `rejected`, the other struct is null.
 
     Rejects are of stage transform with TRANSFORM_ERROR for the first rule broken, INVALID_RECORD for
     rows of which nothing could be read, and of stage validation with SCHEMA_MISMATCH where a table has
-    columns that its contract doesn't know (a fact of the whole table). Rows that a spec leaves out,
+    columns that its contract doesn't know (a fact of the whole table; quarantine.unknown_keys judges record by record). Rows that a spec leaves out,
     such as totals, are neither. A system that has no specs gets the technical fields alone.
     """
     spec = find_spec(system, dataset)
     if spec is None:
-        return technical(df, system, dataset, context), quarantine.reject(df.limit(0), "transform", "INVALID_RECORD", F.lit(""), df.columns)
+        rows = technical(df, system, dataset, context)
+        return rows.select(F.lit("valid").alias("kind"), F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("valid"), F.lit(None).cast(_REJECT).alias("reject"))
     rows = read_fields(df, spec, context, catalog)
     names = [f["name"] for f in spec.contract]
     own = [n for n in names if n not in TECHNICAL and n != "es_anio_preliminar"]
@@ -177,10 +178,52 @@ def process(df: DataFrame, system: str, dataset: str, context: Context, catalog:
     if unknown:
         reason, message, stage = F.coalesce(reason, F.lit("SCHEMA_MISMATCH")), F.coalesce(message, F.lit(f"columns that the contract doesn't have: {sorted(unknown)}")), F.when(reason.isNull(), "validation").otherwise("transform")
     judged = rows.withColumns({"_reason": reason, "_message": message, "_stage": stage})
-    valid = contracts.project(judged.where(F.col("_reason").isNull()), spec.contract)
     partial = F.when(F.col("_reason") == "SCHEMA_MISMATCH", F.to_json(F.struct(*[F.col(n) for n in names if n in rows.columns])))
     keys = {**{t: F.col(t) for t in TECHNICAL}, "processing_stage": F.col("_stage"), "error_code": F.col("_reason"), "error_message": F.col("_message"), "raw_record": F.to_json("_record"), "failed_field": F.lit(sorted(unknown)[0] if unknown else None).cast("string"), "partial_record": partial}
-    return valid, judged.where(F.col("_reason").isNotNull()).select(*[c.alias(n) for n, c in keys.items()])
+    good = F.col("_reason").isNull()
+    valid = F.struct(*[(F.col(f.name) if f.name in judged.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in contracts.to_schema(spec.contract)])
+    reject = F.struct(*[c.alias(n) for n, c in keys.items()]).cast(_REJECT)
+    return judged.select(F.when(good, "valid").otherwise("rejected").alias("kind"), F.when(good, valid).alias("valid"), F.when(~good, reject).alias("reject"))
+
+
+_REJECT = "struct<" + ",".join([*(f"{f.name}:{f.dataType.simpleString()}" for f in contracts.to_schema(tables.fields(tables.TECHNICAL))), *(f"{n}:string" for n in ("processing_stage", "error_code", "error_message", "raw_record", "failed_field", "partial_record"))]) + ">"
+
+
+def process(df: DataFrame, system: str, dataset: str, context: Context, catalog: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(valid rows, rejects) of a raw dataset, as judge() tells them; each is a plan of its own over the raw rows. run() reads these once."""
+    judged = judge(df, system, dataset, context, catalog)
+    return judged.where("kind = 'valid'").select("valid.*"), judged.where("kind = 'rejected'").select("reject.*")
+
+
+@dataclass(frozen=True)
+class Run:
+    """What run() wrote, read back, and its counts (records_read, records_valid, records_rejected)."""
+
+    valid: DataFrame
+    rejects: DataFrame
+    counts: dict[str, int]
+
+    def summary(self) -> DataFrame:
+        """As summary(), without reading anything again."""
+        c = self.counts
+        spark = self.valid.sparkSession
+        out = quarantine.summary(spark, spark.createDataFrame([tuple(c.values())], ", ".join(f"{k} long" for k in c)))
+        return out.withColumn("records_dropped", F.greatest(F.col("records_read") - F.col("records_valid") - F.col("records_rejected"), F.lit(0)))
+
+
+def run(df: DataFrame, system: str, dataset: str, context: Context, folder: str, catalog: DataFrame | None = None) -> Run:
+    """Judges the raw rows in one scan, writes them by kind under a new folder, and counts while the write runs.
+
+    The counts are observed on the rows that pass: on the raw ones before the spec, and on the judged
+    ones by kind. No row is read twice for a count, and both tables are read back from what was written.
+    """
+    read, judged = Observation("records_read"), Observation("records_judged")
+    rows = judge(df.observe(read, F.count(F.lit(1)).alias("records_read")), system, dataset, context, catalog)
+    kind = F.col("kind")
+    rows = rows.observe(judged, F.count_if(kind == "valid").alias("records_valid"), F.count_if(kind == "rejected").alias("records_rejected"))
+    rows.write.partitionBy("kind").parquet(folder)
+    back = df.sparkSession.read.schema(rows.schema).parquet(folder)
+    return Run(back.where("kind = 'valid'").select("valid.*"), back.where("kind = 'rejected'").select("reject.*"), read.get | judged.get)
 
 
 def summary(read: DataFrame, valid: DataFrame, rejects: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillon import table_queries
+from quillon import landing_queries, table_queries
 from quillon.functions import dates, numbers, text
 from quillon.operators import canonical, profile, quarantine
 from quillon.operators.quality import Rule, run_rules
@@ -29,11 +29,11 @@ def _query(sql: str | None = None):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return _QUERIES | table_queries.queries()
+    return _QUERIES | table_queries.queries() | landing_queries.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return _SQL | table_queries.oracle_sql()
+    return _SQL | table_queries.oracle_sql() | landing_queries.oracle_sql()
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -60,12 +60,19 @@ def reconcile_counts(written: DataFrame, expected: DataFrame, tolerant: list[str
     return j.withColumn("passed", (F.col("expected") == F.col("written")) | F.col("dataset").isin(*tolerant) if tolerant else F.col("expected") == F.col("written"))
 
 
-def manifest_faults(expected: DataFrame, manifests: DataFrame, fields: tuple[str, ...] = ("system", "extraction_date", "status")) -> DataFrame:
-    """(dataset, faults): every expected dataset whose manifest is missing or differs, all faults of it together."""
-    j = expected.alias("e").join(manifests.alias("m"), F.col("e.dataset") == F.col("m.dataset"), "left")
-    missing = F.col("m.dataset").isNull()
-    faults = F.array_compact(F.array(F.when(missing, F.lit("MISSING")), *[F.when(~missing & ~F.col(f"e.{f}").eqNullSafe(F.col(f"m.{f}")), F.lit(f"{f.upper()}_MISMATCH")) for f in fields]))
-    return j.select(F.col("e.dataset").alias("dataset"), faults.alias("faults")).where(F.size("faults") > 0)
+def manifest_faults(expected: DataFrame, manifests: DataFrame, fields: tuple[str, ...] = ("system", "extraction_date", "status"), markers: DataFrame | None = None) -> DataFrame:
+    """(dataset, faults): every expected dataset whose manifest is missing or differs, all faults of it together.
+
+    markers(dataset, fields...): what the success markers say, of those that are there; with them, a missing marker or one
+    that differs is a fault too (MARKER_MISSING, MARKER_STATUS_MISMATCH and the like). Both sides have a row a dataset.
+    """
+    sides = {"": manifests} | ({"MARKER_": markers} if markers is not None else {})
+    j, faults = expected.alias("e"), []
+    for i, (prefix, side) in enumerate(sides.items()):
+        j = j.join(side.alias(f"m{i}"), F.col("e.dataset") == F.col(f"m{i}.dataset"), "left")
+        missing = F.col(f"m{i}.dataset").isNull()
+        faults += [F.when(missing, F.lit(f"{prefix}MISSING")), *[F.when(~missing & ~F.col(f"e.{f}").eqNullSafe(F.col(f"m{i}.{f}")), F.lit(f"{prefix}{f.upper()}_MISMATCH")) for f in fields]]
+    return j.select(F.col("e.dataset").alias("dataset"), F.array_compact(F.array(*faults)).alias("faults")).where(F.size("faults") > 0)
 
 
 def success_manifest(chunks: DataFrame) -> DataFrame:

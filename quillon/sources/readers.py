@@ -78,6 +78,40 @@ def decode_bytes(content: Column) -> Column:
     return F.regexp_replace(text, "^\\uFEFF", "")
 
 
+def decoded_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(path, id, is_first, value) of the lines of text files, read in splits: UTF-8 if the whole file is that, else Latin-1.
+
+    Lines come as their bytes; whether they are UTF-8 is folded by file, and the answer, a row a file, is
+    joined back. A BOM before a file's first line is dropped. id grows with the lines of a file.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("id"), "value")
+    files = lines.groupBy("path").agg(F.bool_and(F.is_valid_utf8("value")).alias("utf8"), F.min("id").alias("first"))
+    both = lines.join(files, "path").withColumn("value", F.when(F.col("utf8"), F.col("value")).otherwise(F.decode(F.col("value").cast("binary"), "ISO-8859-1")))
+    first = F.col("id") == F.col("first")
+    return both.select("path", "id", first.alias("is_first"), F.when(first, F.regexp_replace("value", "^\\uFEFF", "")).otherwise(F.col("value")).alias("value"))
+
+
+def read_csv_decoded(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """Rows of CSV files in either encoding, each with a header line; cells don't hold line breaks."""
+    rows = decoded_lines(spark, path).where(~F.col("is_first") & (F.trim("value") != ""))
+    return rows.select("path", F.from_csv("value", ", ".join(f"`{c}` string" for c in columns)).alias("r")).select("path", "r.*")
+
+
+def json_records(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """(path, line, record map<string, string>) of the filled JSON lines under a path; a line that is no object has a null record."""
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(path).where(F.trim("value") != "")
+    return lines.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"), F.from_json("value", "map<string,string>").alias("record"))
+
+
+def json_documents(spark: SparkSession, root: str, name: str, fields: list[str]) -> DataFrame:
+    """(path, system, dataset, fields...) of files of one name under a root, each a JSON object; what isn't one has null fields.
+
+    System and dataset are the folders above extraction_date=, the latter with or without a key before it.
+    """
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name).option("wholetext", True).text(root).select(F.col("_metadata.file_path").alias("path"), F.from_json("value", "map<string,string>").alias("r"))
+    return files.select("path", F.regexp_extract("path", "/([^/]+)/[^/]+/extraction_date=", 1).alias("system"), F.regexp_extract("path", "/(?:[a-z_]+=)?([^/=]+)/extraction_date=", 1).alias("dataset"), *[F.col("r")[f].alias(f) for f in fields])
+
+
 def fingerprint(content: Column) -> Column:
     """(sha256, length, n_rows, n_columns, header) of a CSV file's bytes; the header is no row, blank lines aren't either."""
     lines = F.split(F.rtrim(decode_bytes(content)), "\r?\n", -1)
@@ -155,13 +189,67 @@ def _text_of(html: Column) -> Column:
     return cell_text(t)
 
 
+_CELL = "struct<text:string,across:int,down:int>"
+_PENDING = "map<int,struct<text:string,left:int>>"
+
+
+def _span(cell: Column, name: str) -> Column:
+    return F.coalesce(F.nullif(F.regexp_extract(cell, rf"(?is)^<t[dh]\b[^>]*\b{name}\s*=\s*[\"']?(\d+)", 1), F.lit("")).cast("int"), F.lit(1))
+
+
+def _filled(state: Column) -> Column:
+    """state(pending, row) with what earlier rows let down into the next columns, as far as they go on without a gap."""
+    pending, at = state["pending"], F.size(state["row"])
+    reach = F.sequence(F.lit(0), F.size(F.map_keys(pending)))
+    run = F.aggregate(reach, F.lit(0), lambda k, i: F.when((k == i) & F.map_contains_key(pending, at + i), k + 1).otherwise(k))
+
+    def take(n: Column) -> Column:
+        down = F.transform(F.slice(F.transform(reach, lambda i: at + i), F.lit(1), n), lambda c: pending[c]["text"])
+        used = F.transform_values(pending, lambda c, v: F.when((c >= at) & (c < at + n), F.struct(v["text"].alias("text"), (v["left"] - 1).alias("left"))).otherwise(v))
+        return F.struct(F.map_filter(used, lambda c, v: v["left"] > 0).alias("pending"), F.concat(state["row"], down).alias("row"))
+
+    return let(run, take)
+
+
+def _placed(state: Column, cell: Column) -> Column:
+    """state with a cell put into the next free columns; one of several rows is let down from them."""
+
+    def put(s: Column) -> Column:
+        at, n = F.size(s["row"]), cell["across"]
+        columns = F.slice(F.transform(F.sequence(F.lit(0), n), lambda i: at + i), F.lit(1), n)
+        below = F.map_from_arrays(columns, F.array_repeat(F.struct(cell["text"].alias("text"), (cell["down"] - 1).alias("left")), n)).cast(_PENDING)
+        others = F.map_filter(s["pending"], lambda c, v: (c < at) | (c >= at + n))
+        return F.struct(F.when(cell["down"] > 1, F.map_concat(others, below)).otherwise(s["pending"]).alias("pending"), F.concat(s["row"], F.array_repeat(cell["text"], n)).alias("row"))
+
+    return let(_filled(state), put)
+
+
+def span_grid(rows: Column) -> Column:
+    """array<array<string>> of array<array<struct<text, across, down>>>: a cell stands in all columns and rows that it spans.
+
+    The rows of one table are folded in their order; the state is a map of the columns into which cells
+    of earlier rows reach, with how many rows are left to them. A cell takes the next free columns; columns
+    to the right of a row's last cell are filled only as far as they follow on it. Where a span runs over
+    columns that are reserved, it takes them.
+    """
+    start = F.struct(F.create_map().cast(_PENDING).alias("pending"), F.array().cast("array<array<string>>").alias("out"))
+
+    def row(state: Column, cells: Column) -> Column:
+        begin = F.struct(state["pending"].alias("pending"), F.array().cast("array<string>").alias("row"))
+        done = let(F.aggregate(cells, begin, _placed), _filled)
+        return let(done, lambda s: F.struct(s["pending"].alias("pending"), F.concat(state["out"], F.array(s["row"])).alias("out")))
+
+    return F.aggregate(rows, start, row, lambda s: s["out"])
+
+
 def table_grid(pages: DataFrame, html: str = "html") -> DataFrame:
-    """(the other columns, table_no, row_no, cells): every table row, a cell repeated over its colspan."""
+    """(the other columns, table_no, row_no, cells): every table row that has cells, these repeated over their colspan and rowspan."""
     keep = [c for c in pages.columns if c != html]
     tables = pages.select(*keep, F.posexplode(F.regexp_extract_all(html, F.lit(r"(?is)<table\b.*?</table>"), F.lit(0))).alias("table_no", "_t"))
-    rows = tables.select(*keep, "table_no", F.posexplode(F.regexp_extract_all("_t", F.lit(r"(?is)<tr\b.*?</tr>"), F.lit(0))).alias("row_no", "_r"))
-    cell = lambda x: F.array_repeat(_text_of(F.regexp_extract(x, r"(?is)^<t[dh]\b[^>]*>(.*?)</t[dh]>$", 1)), F.greatest(F.coalesce(F.nullif(F.regexp_extract(x, r"(?is)^<t[dh]\b[^>]*colspan\s*=\s*[\"']?(\d+)", 1), F.lit("")).cast("int"), F.lit(1)), F.lit(1)))
-    return rows.select(*keep, "table_no", "row_no", F.flatten(F.transform(F.regexp_extract_all("_r", F.lit(r"(?is)<t[dh]\b.*?</t[dh]>"), F.lit(0)), cell)).alias("cells"))
+    cell = lambda x: F.struct(_text_of(F.regexp_extract(x, r"(?is)^<t[dh]\b[^>]*>(.*?)</t[dh]>$", 1)).alias("text"), _span(x, "colspan").alias("across"), _span(x, "rowspan").alias("down")).cast(_CELL)
+    cells = F.transform(F.regexp_extract_all("_t", F.lit(r"(?is)<tr\b.*?</tr>"), F.lit(0)), lambda r: F.transform(F.regexp_extract_all(r, F.lit(r"(?is)<t[dh]\b.*?</t[dh]>"), F.lit(0)), cell))
+    rows = tables.select(*keep, "table_no", F.filter(cells, lambda r: F.size(r) > 0).alias("_r"))
+    return rows.select(*keep, "table_no", F.posexplode(span_grid(F.col("_r"))).alias("row_no", "cells"))
 
 
 def table_records(pages: DataFrame, html: str = "html") -> DataFrame:

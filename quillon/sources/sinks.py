@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 MODES = {"APPEND": "append", "TRUNCATE": "overwrite", "EMPTY": "errorifexists"}
@@ -39,6 +39,15 @@ def replace_slice(df: DataFrame, path: str, slice_columns: tuple[str, ...] = SLI
     df.drop(*slice_columns).write.mode("overwrite").parquet(f"{path}/{where}")
 
 
+def overwrite_slices(df: DataFrame, path: str, slice_columns: tuple[str, ...] = SLICE) -> None:
+    """Replaces every slice that df has rows of, by one write; the slices that it has none of stay as they are.
+
+    The write is a dynamic partition overwrite, so a load that fails leaves the old rows. A slice that
+    should become empty needs replace_slice, as no row names it.
+    """
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*slice_columns).parquet(path)
+
+
 def dry_run(df: DataFrame) -> None:
     """Computes everything and writes nothing."""
     df.write.format("noop").mode("overwrite").save()
@@ -47,10 +56,40 @@ def dry_run(df: DataFrame) -> None:
 def write_rejects(rejects: DataFrame, root: str) -> None:
     """One JSON line for each reject under root/source_system=/source_dataset=/extraction_date=.
 
-    The three columns must be there; null fields are left out of the lines.
+    The three columns must be there; null fields are left out of the lines. A load's rejects take the
+    place of those that an earlier run of the same slice left, so a rerun doesn't double them.
     """
     rest = [c for c in rejects.columns if c not in SLICE]
-    rejects.select("source_system", "source_dataset", "extraction_date", F.to_json(F.struct(*rest)).alias("value")).write.mode("append").partitionBy("source_system", "source_dataset", "extraction_date").text(root)
+    lines = rejects.select("source_system", "source_dataset", "extraction_date", F.to_json(F.struct(*rest)).alias("value"))
+    lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_system", "source_dataset", "extraction_date").text(root)
+
+
+def read_rejects(spark: SparkSession, root: str, fields: list[str]) -> DataFrame:
+    """(fields..., source_system, source_dataset, extraction_date) of the lines under a root; partition values come back as text."""
+    lines = spark.read.schema("value string, source_system string, source_dataset string, extraction_date string").text(root)
+    return lines.select(F.from_json("value", ", ".join(f"`{f}` string" for f in fields)).alias("r"), *SLICE[1:], SLICE[0]).select("r.*", *SLICE[1:], SLICE[0])
+
+
+def write_ordered(df: DataFrame, path: str, *keys: Column, files: int | None = None) -> None:
+    """Writes df in the total order of keys (with their null placement): range partitions, each sorted, one file each.
+
+    Rows with equal keys are one partition's, so the last key should tell rows apart. `_file` and `_at`
+    keep each row's place, for read_ordered.
+    """
+    n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    rows.select("*", F.spark_partition_id().alias("_file"), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_at")).write.mode("overwrite").parquet(path)
+
+
+def read_ordered(spark: SparkSession, path: str, name: str = "row_no") -> DataFrame:
+    """What write_ordered wrote, with each row's number in the whole order, from 1.
+
+    Only the counts of the files are added up in one task, a row a file.
+    """
+    rows = spark.read.parquet(path)
+    counts = rows.groupBy("_file").agg(F.count("*").alias("_n"))
+    before = counts.select("_file", (F.sum("_n").over(Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias("_before"))
+    return rows.join(before, "_file").withColumn(name, F.col("_before") + F.col("_at") + 1).drop("_file", "_at", "_before")
 
 
 def write_by_year(df: DataFrame, path: str, column: str = "ano") -> None:

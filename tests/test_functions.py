@@ -13,7 +13,7 @@ def _one(spark, f, value):
     (numbers.numeric_safe, "1,234", None), (numbers.numeric_safe, "1.234,50", 1234.5), (numbers.numeric_safe, "$ 12.5%", 12.5), (numbers.numeric_safe, "nan", None), (numbers.numeric_safe, None, None),
     (numbers.budget_numeric, "1,234", 1234.0), (numbers.budget_numeric, "-", None), (numbers.int_safe, "1,234", 1234), (numbers.int_safe, "45.6", 45),
     (text.repair_mojibake, "ACADÃ‰MICA", "ACADÉMICA"), (text.repair_mojibake, "precio €5", "precio €5"), (text.repair_mojibake, "Perú", "Perú"),
-    (text.match_key, "  Ñandú (x) ", "NANDU X"), (text.match_key, " ", None), (text.is_total, "Total Perú", True), (text.is_total, None, False),
+    (text.match_key, "  Ñandú (x) ", "NANDU X"), (text.match_key, " ", None), (text.is_total, "Total Perú", False), (text.is_total, None, False),
 ])
 def test_vectors(spark, f, value, want):
     assert _one(spark, f, value) == want
