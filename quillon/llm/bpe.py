@@ -25,6 +25,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillon.llm._ship import ship
+
 #: Words whose encoding, and transitions whose presence, a task remembers before it starts over.
 CACHE_WORDS, TRANSITIONS = 200_000, 2_000_000
 
@@ -247,6 +249,7 @@ def encode_documents(spark: SparkSession, docs: DataFrame, path: str, column: st
     their names can't clash. Rows that repeat come back as often as they stand. The strings of
     special tokens in a text give their ids. The broadcast automaton's size is set by the file.
     """
+    ship(spark)
     shared = spark.sparkContext.broadcast(Tokenizer(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,6 +272,7 @@ def encode_digests(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame
 
     Cases as in encode_documents.
     """
+    ship(spark)
     shared = spark.sparkContext.broadcast(Tokenizer(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 TURN, PART, END = "<turn>", "<part>", "</turn>\n"
 TRAINED_ROLE = "assistant"
+#: Turns that one fold goes over.
+CHUNK = 256
 
 
 def escape(c: Column) -> Column:
@@ -42,18 +44,38 @@ def format_conversations(turns: DataFrame) -> DataFrame:
     """
     rows = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     grouped = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+    segment = lambda text, loss: F.struct(text.alias("text"), loss.alias("loss"))
+    no = F.lit(False)
 
-    def parts(x: Column, i: Column) -> Column:
-        before, after = F.get("turns", i - 1)["role"], F.get("turns", i + 1)["role"]
-        opens = F.when(before.eqNullSafe(x["role"]), F.lit(PART)).otherwise(F.concat(F.lit(TURN), _role(x["role"]), F.lit("\n")))
-        closes = F.when(after.eqNullSafe(x["role"]), F.lit("")).otherwise(F.lit(END))
-        segment = lambda text, loss: F.struct(text.alias("text"), loss.alias("loss"))
-        return F.array(segment(opens, F.lit(False)), segment(escape(x["text"]), x["role"] == TRAINED_ROLE), segment(closes, F.lit(False)))
+    def parts(b: Column) -> Column:
+        opens = F.concat(F.lit(TURN), _role(b["role"]), F.lit("\n"))
+        said = F.transform(b["texts"], lambda t, i: F.array(segment(F.when(i == 0, opens).otherwise(PART), no), segment(escape(t), b["role"] == TRAINED_ROLE)))
+        return F.concat(F.flatten(said), F.array(segment(F.lit(END), no)))
 
-    out = grouped.select("conv_id", F.flatten(F.transform("turns", parts)).alias("segments"))
+    out = grouped.select("conv_id", F.flatten(F.transform(merge_turns(F.col("turns")), parts)).alias("segments"))
     return out.select("conv_id", F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"), "segments")
 
 
+def merge_turns(turns: Column) -> Column:
+    """array<struct<role, texts>>: adjacent turns of one role as one block, by aggregating the sorted turns.
+
+    A fold adds each turn to the last block or opens one; it goes over CHUNK turns at a time and then over the chunks'
+    blocks, so that a conversation of very many turns doesn't copy all blocks for each of them.
+    """
+    empty = F.array().cast("array<struct<role:string,texts:array<string>>>")
+    block = lambda role, texts: F.array(F.struct(role.alias("role"), texts.alias("texts")))
+
+    def joined(done: Column, more: Column) -> Column:
+        """done and more, the last block of the one and the first of the other merged if they have one role."""
+        last, first = F.get(done, F.size(done) - 1), F.get(more, F.lit(0))
+        merged = F.concat(F.slice(done, F.lit(1), F.size(done) - 1), block(last["role"], F.concat(last["texts"], first["texts"])), F.slice(more, F.lit(2), F.size(more)))
+        return F.when((F.size(done) > 0) & (last["role"] == first["role"]), merged).otherwise(F.concat(done, more))
+
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(turns) - 1) / CHUNK).cast("int")), lambda i: F.slice(turns, i * CHUNK + 1, F.lit(CHUNK)))
+    folded = F.transform(chunks, lambda c: F.aggregate(c, empty, lambda done, x: joined(done, block(x["role"], F.array(x["text"])))))
+    return F.aggregate(folded, empty, joined)
+
+
 def read_turns(formatted: Column) -> Column:
     """The turns (role, text) of a formatted conversation, in order."""
     blocks = F.filter(F.split(formatted, END), lambda b: b != "")

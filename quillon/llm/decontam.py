@@ -4,10 +4,11 @@ A benchmark item with n distinct five-word shingles is contained in a document t
 CONTAINMENT of them. Items are partitioned by size (powers of two). In a partition whose largest
 item may have u shingles, an item's sketch is its u - ceil(CONTAINMENT * u) + 1 smallest shingle
 hashes: a document that contains the item misses at most one fewer, so it holds one of the sketch,
-and no contained item is missed. A document is read once: fixed-size bitmaps of the items' shingles
-and sketches tell which of its hashes can matter, and only documents with a sketch hit send hashes
-on. Candidates come from an equi-join with the sketches; each is verified on the exact count of the
-item's distinct shingles that the document holds.
+and no contained item is missed. A document is read once: bitmaps of the items' shingles and sketches,
+whose size follows the benchmark's up to a bound, tell which of its hashes can matter, and only documents
+with a sketch hit send hashes on. Candidates come from an equi-join of hits with the sketches alone; each
+is verified on the exact count of the item's distinct shingles that the document holds. A shingle or an
+item that very many documents share is dealt over several tasks in both joins.
 """
 
 from __future__ import annotations
@@ -21,11 +22,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon.llm import _text as T
+from quillon.llm._ship import ship
 from quillon.llm._store import Store, free_name, sized
 
 CONTAINMENT_NUM, CONTAINMENT_DEN = 80, 100
-#: Bits of a bitmap: its size doesn't depend on the benchmark, which only fills it.
-BITMAP_BITS = 1 << 24
+#: Bits of a bitmap for each shingle of the benchmark, and of the smallest and the largest bitmap (32 MB); a fuller one lets more hashes through, which the joins then drop.
+SHINGLE_BITS, LEAST_BITS, MOST_BITS = 16, 1 << 20, 1 << 28
+#: Rows of one key that a join leaves to one task.
+HOT_ROWS = 100_000
 
 
 def _need(n: int) -> int:
@@ -47,23 +51,37 @@ def _item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             of = np.repeat(np.arange(b - a), n)
             by = np.lexsort((T.mix(u), of))
             low = np.arange(len(u)) - first[of] < np.array([sketch_size(x) if x else 0 for x in n], np.int64)[of]
-            yield pa.RecordBatch.from_arrays([ids.take(pa.array(a + of)), pa.array(n[of]), pa.array(u[by].view(np.int64)), pa.array(low)], names=["item_id", "n_item", "hash", "in_sketch"])
+            tag = np.array([hash_text(buf[rows[r] : rows[r + 1]]) if n[r] else 0 for r in range(b - a)], np.int64)
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(a + of)), pa.array(tag[of]), pa.array(n[of]), pa.array(u[by].view(np.int64)), pa.array(low)], names=["item_id", "item", "n_item", "hash", "in_sketch"])
 
 
 def item_shingles(items: DataFrame) -> DataFrame:
-    """(item_id, n_item, hash, in_sketch) of every distinct shingle of items(item_id, text)."""
-    return items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).mapInArrow(_item_rows, "item_id long, n_item long, hash long, in_sketch boolean").distinct()
+    """(item_id, item, n_item, hash, in_sketch) of every distinct shingle of items(item_id, text); item tells texts with one item_id apart."""
+    rows = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).mapInArrow(_item_rows, "item_id long, item long, n_item long, hash long, in_sketch boolean")
+    return rows.distinct().withColumn("item", F.xxhash64("item_id", "item"))
 
 
-def _bitmap(hashes: DataFrame) -> np.ndarray:
-    """A bitmap of BITMAP_BITS bits of the hashes: at most BITMAP_BITS / 64 rows come to the driver."""
-    bit = F.pmod("hash", F.lit(BITMAP_BITS))
+def _bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
+    """A bitmap of the hashes: at most bits / 64 rows come to the driver."""
+    bit = F.pmod("hash", F.lit(bits))
     got = hashes.groupBy((bit / 64).cast("int").alias("at")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(bit, F.lit(64)).cast("int"))).alias("bits")).toArrow()
-    out = np.zeros(BITMAP_BITS // 64, np.int64)
+    out = np.zeros(bits // 64, np.int64)
     out[got["at"].to_numpy()] = got["bits"].to_numpy()
     return out.view(np.uint64)
 
 
+def spread_join(store: Store, big: DataFrame, small: DataFrame, key: str) -> DataFrame:
+    """big joined with small on key; a key of over HOT_ROWS rows of big is dealt over several tasks, to which its rows of small are copied.
+
+    big should be a kept table, so that a repeated task deals its rows alike.
+    """
+    hot = store.keep(big.groupBy(key).count().where(F.col("count") > HOT_ROWS).select(key, F.ceil(F.col("count") / HOT_ROWS).alias("_salts")), "hot")  # at most a row for HOT_ROWS of big
+    hot = sized(hot)
+    left = big.join(hot, key, "left").withColumn("_salt", F.coalesce(F.pmod(F.monotonically_increasing_id(), "_salts"), F.lit(0)))
+    right = small.join(hot, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_salts", F.lit(1).cast("long")) - 1)))
+    return left.drop("_salts").join(right.drop("_salts"), [key, "_salt"]).drop("_salt")
+
+
 def find_leaks(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, item_id, n_item, n_shared) of each document that contains a benchmark item.
 
@@ -73,12 +91,15 @@ def find_leaks(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFr
     text by text and a pair is returned once, with the most shingles shared. A null doc_id or item_id
     is kept as null. Other columns are ignored, and an empty table on either side gives no rows.
     """
-    shingles = item_shingles(items)
-    shared = spark.sparkContext.broadcast((_bitmap(shingles), _bitmap(shingles.where("in_sketch"))))
+    ship(spark)
+    store = Store(spark, "leaks")
+    shingles = store.keep(item_shingles(items), "items")
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (SHINGLE_BITS * max(shingles.count(), 1) - 1).bit_length()))
+    shared = spark.sparkContext.broadcast((_bitmap(shingles, bits), _bitmap(shingles.where("in_sketch"), bits)))
 
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole, sketch = shared.value
-        has = lambda bits, h: (bits[(h % BITMAP_BITS) >> np.uint64(6)] >> (h & np.uint64(63))) & np.uint64(1) != 0
+        has = lambda bitmap, h: (bitmap[(h % bits) >> np.uint64(6)] >> (h & np.uint64(63))) & np.uint64(1) != 0
         for batch in batches:
             ids = batch.column("doc_id")
             for a, b, buf, rows in T.steps(batch.column("text")):
@@ -87,21 +108,27 @@ def find_leaks(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFr
                     continue
                 maybe = has(whole, h)
                 of = np.repeat(np.arange(b - a), np.diff(first))
+                starts = maybe & has(sketch, h)
                 known = np.zeros(b - a, bool)
-                known[of[maybe & has(sketch, h)]] = True
+                known[of[starts]] = True
                 at = np.flatnonzero(maybe & known[of])
                 if len(at):
-                    tag = np.array([hash_text(buf[rows[r] : rows[r + 1]]) for r in np.unique(of[at])])
-                    tags = dict(zip(np.unique(of[at]), tag, strict=True))
-                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(a + of[at])), pa.array(np.array([tags[r] for r in of[at]], np.int64)), pa.array(h[at].view(np.int64))], names=["doc_id", "tag", "hash"])
+                    by = at[np.lexsort((h[at], of[at]))]
+                    at = by[np.concatenate([[True], (h[by[1:]] != h[by[:-1]]) | (of[by[1:]] != of[by[:-1]])])]  # each hash of a text once
+                    tags = np.zeros(b - a, np.int64)
+                    for r in np.unique(of[at]):
+                        tags[r] = hash_text(buf[rows[r] : rows[r + 1]])
+                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(a + of[at])), pa.array(tags[of[at]]), pa.array(h[at].view(np.int64)), pa.array(starts[at])], names=["doc_id", "tag", "hash", "starts"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = texts.mapInArrow(hits, "doc_id long, tag long, hash long")
-    both = found.join(shingles, "hash")
+    found = store.keep(texts.mapInArrow(hits, "doc_id long, tag long, hash long, starts boolean"), "found")
     # a pair is a candidate if it shares part of the item's sketch; the count is of the item's whole set
-    pairs = both.groupBy("doc_id", "tag", "item_id", "n_item", "hash").agg(F.max("in_sketch").alias("in_sketch"))
-    pairs = pairs.groupBy("doc_id", "tag", "item_id", "n_item").agg(F.count("*").alias("n_shared"), F.max("in_sketch").alias("candidate"))
-    pairs = pairs.where(F.col("candidate") & (CONTAINMENT_DEN * F.col("n_shared") >= CONTAINMENT_NUM * F.col("n_item")))
+    sketches = shingles.where("in_sketch").select("hash", "item")
+    candidates = store.keep(spread_join(store, found.where("starts").select("doc_id", "tag", "hash"), sketches, "hash").select("doc_id", "tag", "item").distinct(), "candidates")
+    wanted = spread_join(store, candidates, shingles.select("item", "item_id", "n_item", "hash"), "item")
+    held = found.select(F.col("doc_id").alias("_doc"), F.col("tag").alias("_tag"), F.col("hash").alias("_hash")).distinct()
+    both = wanted.join(held, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("tag") == F.col("_tag")) & (F.col("hash") == F.col("_hash")))
+    pairs = both.groupBy("doc_id", "tag", "item", "item_id", "n_item").agg(F.count("*").alias("n_shared")).where(CONTAINMENT_DEN * F.col("n_shared") >= CONTAINMENT_NUM * F.col("n_item"))
     return pairs.groupBy("doc_id", "item_id").agg(F.max("n_item").alias("n_item"), F.max("n_shared").alias("n_shared"))
 
 

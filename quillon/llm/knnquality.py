@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon.llm import _text as T
+from quillon.llm._ship import ship
 from quillon.llm.langid import held_out
 
 
@@ -109,6 +110,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str = "q
     rounded up, and of texts that share a doc_id the first in order teaches. Without any labelled document
     the model answers 0.5.
     """
+    ship(spark)
     some = labels.where(~held_out() & F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.avg(label).alias("label"))
     some = some.orderBy(F.xxhash64("doc_id"), "doc_id").limit(REFERENCES)
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(some), "doc_id").select(F.col("doc_id"), F.when(F.col("label") >= 0.5, 1.0).otherwise(0.0).alias("label"), "text")
@@ -149,6 +151,7 @@ def score(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
     Repeated rows are scored as often as they stand; other columns are ignored; an empty table gives
     no rows. Ties among neighbours at the limit are broken by their place in the sample.
     """
+    ship(spark)
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

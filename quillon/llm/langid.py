@@ -16,21 +16,24 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillon.llm import _text as T
+from quillon.llm._ship import ship
 
 #: Lengths of the n-grams, in code points, and the number of hashed n-grams.
 LENGTHS = (1, 2, 3, 4)
 BUCKETS = 1 << 18
-#: Bounds of the labelled sample: languages, texts of one language to fit on and to use as landmarks, their characters.
-LANGUAGES, PER_LANGUAGE, LANDMARKS, SAMPLE_CHARS = 64, 240, 48, 20_000
+#: Bounds of the labelled sample: texts of one language to fit on and to use as landmarks, their characters. Every
+#: language is learned; where there are many, each has fewer texts, SAMPLE_TEXTS in all but LEAST_PER_LANGUAGE at least.
+PER_LANGUAGE, LANDMARKS, SAMPLE_CHARS, SAMPLE_TEXTS, LEAST_PER_LANGUAGE = 240, 48, 20_000, 16_384, 12
 RIDGE = 1e-3
 #: accepted() rejects a document whose best score is lower, or that knows less than so much of the share of
-#: its n-grams which texts of its language find among the landmarks in the median; texts of fewer n-grams have no such share.
-MIN_SCORE, KNOWN, LEAST_GRAMS = 0.3, 0.65, 60
-#: Labelled texts beside the landmarks that a language needs for a median of its own.
+#: its n-grams which texts of its language find among the landmarks in the median, less so many standard
+#: deviations of that share in a text of as many n-grams: the fewer it has, the less its share tells.
+MIN_SCORE, KNOWN, DEVIATIONS = 0.3, 0.65, 2.0
+#: Labelled texts beside the landmarks that a language needs for a median of its own; with fewer it has that of all languages' together.
 LEAST_TEXTS = 8
 
 
@@ -66,51 +69,55 @@ class Model:
     index: np.ndarray  # bucket -> row of weights, or the zero row
     weights: np.ndarray  # (rows + 1, languages)
     bias: np.ndarray
-    usual: np.ndarray  # median share of known n-grams in texts of each language; 0 where too few texts tell
+    usual: np.ndarray  # median share of known n-grams in texts of each language
 
     def known(self, grams: np.ndarray) -> float:
         """The share of a text's n-grams that the landmarks have."""
         return float((self.index[grams] < len(self.weights) - 1).mean()) if len(grams) else 0.0
 
-    def scores(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Regression values, one row a text and one column a language, and the share of known n-grams (1 where there are too few)."""
-        out, known = np.empty((len(texts), len(self.languages)), np.float32), np.ones(len(texts))
+    def scores(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Regression values, one row a text and one column a language, the share of known n-grams and the number of n-grams."""
+        out, known, many = np.empty((len(texts), len(self.languages)), np.float32), np.zeros(len(texts)), np.zeros(len(texts))
         for a in range(0, len(texts), 64):
             part = [_grams(t) for t in texts[a : a + 64]]
             block = np.zeros((len(part), len(self.weights)), np.float32)
             for i, g in enumerate(part):
                 block[i, self.index[g]] = 1 / max(1.0, len(g)) ** 0.5
-                if len(g) >= LEAST_GRAMS:
-                    known[a + i] = self.known(g)
+                known[a + i], many[a + i] = self.known(g), len(g)
             block[:, -1] = 0
             out[a : a + 64] = block @ self.weights
-        return out + self.bias, known
+        return out + self.bias, known, many
 
     def accepts(self, texts: list[str]) -> np.ndarray:
         """Whether each text has a letter, scores enough and is built as its language is."""
         ok = np.array([_has_letter(t) for t in texts], bool)
         some = np.flatnonzero(ok)
-        values, known = self.scores([texts[i] for i in some])
-        ok[some] = ((values.max(axis=1, initial=-1.0) + 1) / 2 >= MIN_SCORE) & (known >= KNOWN * self.usual[values.argmax(axis=1)])
+        values, known, many = self.scores([texts[i] for i in some])
+        least = KNOWN * self.usual[values.argmax(axis=1)]
+        least -= DEVIATIONS * np.sqrt(least * (1 - least) / np.maximum(many, 1))
+        ok[some] = ((values.max(axis=1, initial=-1.0) + 1) / 2 >= MIN_SCORE) & (known >= least)
         return ok
 
 
 def fit(spark: SparkSession, labelled: DataFrame) -> Model:
     """Fits on labelled(text, lang): a bounded sample of whole texts, the first by a hash of the text.
 
-    The bounds are LANGUAGES, PER_LANGUAGE and SAMPLE_CHARS; nothing else is read to the driver.
+    The bounds are PER_LANGUAGE, SAMPLE_TEXTS and SAMPLE_CHARS; nothing else is read to the driver.
     Null texts or languages and texts without a letter teach nothing; no labelled row at all gives a
     model that answers `und`.
     """
+    ship(spark)
     usable = labelled.where(F.col("text").rlike(r"\p{L}") & F.col("lang").isNotNull() & (F.length("text") <= SAMPLE_CHARS)).select("text", "lang", (F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / (1 << 30)).alias("u"))
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
-    take = counts.select("lang", (F.lit(1.5 * PER_LANGUAGE) / F.col("count")).alias("share"))
-    rows = usable.join(F.broadcast(take), "lang").where("u < share").select("lang", "u", "text")
-    rows = rows.orderBy("u").limit(2 * PER_LANGUAGE * LANGUAGES).mapInArrow(_to_grams, "lang string, u double, grams binary").collect()
+    counts = usable.groupBy("lang").count().persist()  # a row a language
+    most = min(PER_LANGUAGE, max(LEAST_PER_LANGUAGE, SAMPLE_TEXTS // max(1, counts.count())))
+    take = counts.select("lang", (F.lit(1.5 * most + 30) / F.col("count")).alias("share"))
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("u", "text"))
+    rows = usable.join(take, "lang").where("u < share").select("lang", "u", "text").withColumn("n", first).where(F.col("n") <= most)
+    rows = rows.select("lang", "u", "text").mapInArrow(_to_grams, "lang string, u double, grams binary").collect()
+    counts.unpersist()
     by: dict[str, list[np.ndarray]] = {}
     for r in sorted(rows, key=lambda r: (r["lang"], r["u"])):
-        if len(have := by.setdefault(r["lang"], [])) < PER_LANGUAGE:
-            have.append(np.frombuffer(bytes(r["grams"]), np.int32))
+        by.setdefault(r["lang"], []).append(np.frombuffer(bytes(r["grams"]), np.int32))
     names = sorted(by)
     if not names:
         return Model(["und"], np.zeros(BUCKETS, np.int32), np.zeros((1, 1), np.float32), np.full(1, -1, np.float32), np.zeros(1))
@@ -147,9 +154,9 @@ def fit(spark: SparkSession, labelled: DataFrame) -> Model:
     weights = land.T.astype(np.float64) @ (root @ beta[:-1])
     weights[-1] = 0
     model = Model(names, index, weights.astype(np.float32), beta[-1].astype(np.float32), np.zeros(len(names)))
-    for i, n in enumerate(names):
-        if len(by[n]) >= per + LEAST_TEXTS:
-            model.usual[i] = np.median([model.known(g) for g in by[n][per:]])
+    shares = [[model.known(g) for g in by[n][per:]] for n in names]
+    together = np.median(x) if (x := [k for own in shares for k in own]) else 0.0
+    model.usual[:] = [np.median(own) if len(own) >= LEAST_TEXTS else together for own in shares]
     return model
 
 
@@ -165,6 +172,7 @@ def predict(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
     name. score maps the best regression value from [-1, 1] to [0, 1]. Repeated rows are scored as
     often as they stand; other columns are ignored; an empty table gives no rows.
     """
+    ship(spark)
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,6 +214,7 @@ def accepted(spark: SparkSession, docs: DataFrame) -> DataFrame:
     are built of n-grams that their language doesn't have (see KNOWN). Without labelled rows nothing is known.
     """
     model = fit(spark, docs.where(~held_out() & F.col("doc_id").isNotNull()).select("text", "lang"))
+    ship(spark)
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("boolean")

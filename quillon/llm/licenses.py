@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillon.llm._ship import ship
+
 #: Sentences that may stand between two neighbours of a rule.
 GAP = 2
 
@@ -218,4 +220,5 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     Positions in code points, end exclusive. Null and empty texts have no spans. Repeated rows are
     scanned as often as they stand; other columns are ignored; an empty table gives no rows.
     """
+    ship(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_scan, "doc_id long, spans array<struct<license:string,start:int,end:int>>")

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon.llm import _text as T
+from quillon.llm._ship import ship
 from quillon.llm._store import Store
 
 #: Order of the model. A context of four characters and one more fit into two longs.
@@ -236,10 +237,12 @@ def measure(spark: SparkSession, store: Store, docs: DataFrame) -> DataFrame:
     A document's log-probability is spread over its letters (ASCII letters and what lies beyond ASCII),
     so that marks and figures between them count as their cost.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.lower("lang"), F.lit(""))).alias("lang"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.when(F.col("lang").isNull(), F.lit(0).cast("long")).otherwise(F.xxhash64(F.lower("lang"))).alias("lang"), F.col("text").cast("string").alias("text"))
     names = ["row", "doc_id", "lang", *FEATURES, "n", "total"]
 
-    def scored(shared) -> DataFrame:
+    def scored(rows: DataFrame, shared, begins: bool) -> DataFrame:
+        """What the model's part adds to the log-probability of each text; the first pass finds the features too."""
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             find = Lookup(*shared.value)
             for batch in batches:
@@ -247,28 +250,31 @@ def measure(spark: SparkSession, store: Store, docs: DataFrame) -> DataFrame:
                 for a, b, buf, rows in T.steps(batch.column("text"), STEP):
                     ends, middle, first = _grams(buf, rows)
                     of = np.repeat(np.arange(b - a), np.diff(first))
-                    c = ends & START
-                    n = np.bincount(of, (c >= 128) | ((c | 32) >= 97) & ((c | 32) <= 122), b - a)
                     # the half that a text isn't in scores it
                     found = find(_hash(lang[a:b][of], ends, middle), 1 - _half(buf, rows)[of])
-                    total = np.bincount(of, found, b - a).astype(np.float64)
+                    total = pa.array(np.bincount(of, found, b - a).astype(np.float64))
+                    if not begins:
+                        yield pa.RecordBatch.from_arrays([batch.column("row").slice(a, b - a), total], names=["row", "more"])
+                        continue
+                    c = ends & START
+                    n = np.bincount(of, (c >= 128) | ((c | 32) >= 97) & ((c | 32) <= 122), b - a)
                     f = _base(buf, rows)
-                    yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in names[:3]), *(pa.array(f[k].astype(np.int64)) for k in FEATURES), pa.array(n.astype(np.int64)), pa.array(total)], names=names)
+                    yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in names[:3]), *(pa.array(f[k].astype(np.int64)) for k in FEATURES), pa.array(n.astype(np.int64)), total], names=names)
 
-        return numbered.mapInArrow(run, "row long, doc_id long, lang long, " + ", ".join(f"{k} long" for k in FEATURES) + ", n long, total double")
+        return rows.mapInArrow(run, "row long, doc_id long, lang long, " + ", ".join(f"{k} long" for k in FEATURES) + ", n long, total double" if begins else "row long, more double")
 
     model = fit(store, rows.select("lang", "text"))
     numbered = rows.withColumn("row", F.xxhash64("doc_id", "lang", "text"))
     done = None
     for part in parts(store, model):
         shared = spark.sparkContext.broadcast(part)
-        one = store.keep(scored(shared), "scored")
-        shared.destroy()
         if done is None:
-            done = one
+            done = store.keep(scored(numbered, shared, True), "scored")
         else:  # equal rows get equal sums
-            more = one.groupBy("row").agg(F.first("total").alias("more"))
-            done = store.keep(done.join(more, "row").withColumn("total", F.col("total") + F.col("more")).drop("more"), "scored")
+            one = store.keep(scored(numbered.select("row", "lang", "text"), shared, False), "more")
+            done = store.keep(done.join(one.groupBy("row").agg(F.first("more").alias("more")), "row").withColumn("total", F.col("total") + F.col("more")).drop("more"), "scored")
+            store.drop(one)
+        shared.destroy()
     return done.select("doc_id", "lang", *FEATURES, F.when(F.col("n") > 0, -F.col("total") / F.col("n")).alias("log_ppl"))
 
 
@@ -289,6 +295,7 @@ def judge(spark: SparkSession, docs: DataFrame) -> DataFrame:
     null is one more. Repeated rows are judged as often as they stand, other columns are ignored, and an
     empty table gives no rows.
     """
+    ship(spark)
     store = Store(spark, "lmquality")
     m = store.finish(measure(spark, store, docs), "measured")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))

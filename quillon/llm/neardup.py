@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon.llm import _text as T
+from quillon.llm._ship import ship
 from quillon.llm._store import Store, sized
 
 #: Trees by turn, and branches of a class at each root. A pair at 0.85 meets at one of the twelve with all but 1e-10.
@@ -316,6 +317,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, num: int = 85, den: in
     """
     if not den <= 2 * num <= 2 * den:
         raise ValueError("the similarity must be from a half to one")
+    ship(spark)
     store = Store(spark, "neardup")
     base = store.keep(signatures(docs), "signatures")
     n = base.count()

@@ -66,7 +66,7 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linedup.drop_boilerplate(spark, _read(spark, sf_dir, "documents"), min_words=linedup.MIN_WORDS).select("doc_id", "n_lines", "n_removed", "text")
+    return linedup.drop_boilerplate(spark, _read(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,7 +129,7 @@ FROM f GROUP BY conv_id
 
 ORACLE_OP9 = r"""
 WITH l AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents WHERE text IS NOT NULL),
-b AS (SELECT line, min((doc_id, pos)) AS first FROM l WHERE len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= 5 GROUP BY line HAVING count(DISTINCT source) >= 5),
+b AS (SELECT line, min((doc_id, pos)) AS first FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY line HAVING count(DISTINCT source) >= 5),
 k AS (SELECT l.*, b.line IS NOT NULL AND (l.doc_id, l.pos) <> b.first AS gone FROM l LEFT JOIN b USING (line))
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text FROM k GROUP BY doc_id
 """

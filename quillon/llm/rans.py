@@ -17,9 +17,11 @@ checkpoints can be read without the frames. Files are in ascending order of doc_
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +46,29 @@ _HEAD = struct.Struct("<4sIIQQI")
 _MAGIC = b"QRA1"
 _LOW = np.uint64(1 << 31)
 _WORD = np.uint64(0xFFFFFFFF)
-_LETTER = np.zeros(256, bool)
-_LETTER[[*range(65, 91), *range(97, 123)]] = True
+
+#: Kinds of bytes: letters, figures and marks of ASCII, the apostrophe, the blank, other white space, leads of two-byte characters none of which is white space, others.
+_LETTER, _DIGIT, _MARK, _QUOTE, _BLANK, _BREAK, _LEAD, _OTHER = range(8)
+_KIND = np.full(256, _OTHER, np.uint8)
+_KIND[33:127], _KIND[48:58], _KIND[65:91], _KIND[97:123] = _MARK, _DIGIT, _LETTER, _LETTER
+_KIND[39], _KIND[32], _KIND[9:14], _KIND[0xC3:0xE0] = _QUOTE, _BLANK, _BREAK, _LEAD
+#: Whether tokenization begins anew between two neighbouring bytes of these kinds.
+_ANEW = np.zeros((8, 8), bool)
+_ANEW[_LETTER, [_DIGIT, _MARK, _QUOTE, _BLANK, _BREAK]] = True
+_ANEW[_DIGIT, [_LETTER, _MARK, _QUOTE, _BLANK, _BREAK]] = True
+_ANEW[_MARK, [_LETTER, _DIGIT, _BLANK, _BREAK]] = True
+_ANEW[_QUOTE, [_BLANK, _BREAK]] = True
+_ANEW[_BREAK, [_LETTER, _DIGIT, _MARK, _QUOTE, _LEAD]] = True
+
+
+def _cuts(buf: np.ndarray) -> np.ndarray:
+    """Where (before which bytes) a text may be cut without changing its ids; one place more than bytes."""
+    kind = _KIND[buf]
+    cut = np.zeros(len(buf) + 1, bool)
+    cut[1:-1] = _ANEW[kind[:-1], kind[1:]]
+    # white space after a two-byte character
+    cut[2:-1] |= (kind[:-2] == _LEAD) & ((kind[2:] == _BLANK) | (kind[2:] == _BREAK))
+    return cut
 
 
 class Table:
@@ -119,8 +142,10 @@ class Table:
 class Encoder:
     """The tokenizers library on pieces of text, each distinct piece once for as long as it is remembered.
 
-    Byte-level tokenization begins anew at a space between two ASCII letters, so texts are cut there; the
-    ids of a text are those of its pieces, one after the other.
+    A byte-level tokenizer's pattern takes runs of letters, of figures, of marks (each with one blank before it), of
+    white space and a few endings after an apostrophe. So it begins anew between runs of ASCII letters, figures and marks,
+    but for what follows an apostrophe, at white space after anything else, and after a line break or tab. Texts are
+    cut there, and not inside the strings of special tokens; the ids of a text are those of its pieces, one after the other.
     """
 
     def __init__(self, path: str):
@@ -129,6 +154,7 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.library.no_padding(), self.library.no_truncation()
+        self.special = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
         split = self.library.pre_tokenizer
         if self.library.normalizer is not None or type(split).__name__ != "ByteLevel" or split.add_prefix_space or not split.use_regex:
             raise ValueError(f"{path}: not a plain byte-level tokenizer")
@@ -150,17 +176,18 @@ class Encoder:
         self.first[at + 1 : at + 1 + len(found)] = ends
         if len(self.ids) < ends[-1]:
             self.ids = np.concatenate([self.ids, np.zeros(int(ends[-1]), np.uint32)])
-        self.ids[n : ends[-1]] = np.fromiter((i for x in found for i in x), np.uint32, int(sizes.sum()))
+        self.ids[n : ends[-1]] = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
         self.known.update((p, at + k) for k, p in enumerate(pieces))
 
     def pieces(self, buf: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The number of each piece among the known ones, and each row's first piece."""
         if not len(buf):
             return np.zeros(0, np.int64), np.zeros(len(rows), np.int64)
-        cut = np.zeros(len(buf) + 1, bool)
-        cut[1:-2] = (buf[1:-1] == 32) & _LETTER[buf[:-2]] & _LETTER[buf[2:]]
-        ends = rows[1:] - 1
-        cut[ends[ends > 0]] = False  # a row's last byte
+        cut = _cuts(buf)
+        for special in self.special:
+            if special in (raw := buf.tobytes()):
+                for m in re.finditer(re.escape(special), raw):
+                    cut[m.start() + 1 : m.end()] = False
         cut[rows] = True
         starts = np.flatnonzero(cut[:-1])
         offsets = np.append(starts, len(buf))

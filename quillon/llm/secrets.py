@@ -5,8 +5,8 @@ of 16 or more token characters: its encoding is inferred (digits, hexadecimal, l
 both, these with digits, base32, base64), and under the hypothesis
 that it is a random string of that encoding's alphabet, tests give p-values: chi-squared
 uniformity over the alphabet, runs above and below the alphabet's middle, serial correlation of
-neighbouring symbols and, where all letters may stand, the share of those that are common in prose
-(short words would pass the other three). Their Fisher combination is controlled for false discoveries by Benjamini and
+neighbouring symbols and, where all letters may stand, the share of those that are common in prose and
+of neighbouring letters of which one is a vowel and one isn't (short words would pass the other three). Their Fisher combination is controlled for false discoveries by Benjamini and
 Hochberg within classes of length, over all tokens of the corpus: a token whose randomness is rejected
 is ordinary text, and one that stands is a secret. So the rate bounds how many random tokens are lost, and
 what ordinary text is flagged is bounded by the tests' power, which grows with length: of prose letters in
@@ -20,14 +20,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillon.llm._store import Store
+
 ASSIGN = r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 #: Longest runs, so the least lengths (18 and 16) may stand in the pattern.
 ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
 ASSIGN_LEAST = 12
 TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}"
-#: Stands for each character of a base span where tokens are looked for, and the tokens and touching spans of such a text.
-MASK = "\uE000"
+#: Stands for each character of a base span where tokens are looked for, and the tokens and touching spans of such a text. A text's own MASKs, which are no token characters, are taken for OTHER there.
+MASK, OTHER = "\uE000", "\uE001"
 MASKED_TOKEN = TOKEN.replace("=-]", f"=-{MASK}]")
 KINDS = ("assign", "access", "hex", "random")
 
@@ -43,8 +45,8 @@ _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _LOWER = "abcdefghijklmnopqrstuvwxyz"
 _B32 = _UPPER + "234567"
 _B64 = _UPPER + _LOWER + _DIGITS + "+/"
-#: The ten letters that are most common in prose of Latin script.
-_COMMON = "aehilnorst"
+#: The ten letters that are most common in prose of Latin script, and its vowels.
+_COMMON, _VOWELS = "aehilnorst", "aeiou"
 #: The first pattern that a token without padding fits gives its alphabet; digits and hexadecimal, dashes aside, come before, all others are base64.
 _ALPHABETS = (("^[A-Z]+$", _UPPER), ("^[a-z]+$", _LOWER), ("^[A-Za-z]+$", _UPPER + _LOWER), ("^[A-Z2-7]+$", _B32), ("^[A-Z0-9]+$", _UPPER + _DIGITS), ("^[a-z0-9]+$", _LOWER + _DIGITS), ("^[A-Za-z0-9]+$", _UPPER + _LOWER + _DIGITS))
 
@@ -97,7 +99,7 @@ def _masked(text: Column, pattern: str, group: int = 0, least: int = 0) -> Colum
 
 def candidates(text: Column, base: Column) -> Column:
     """Tokens that touch no base span: they are looked for where these are masked, and those with a mask in them go."""
-    masked = _let(_masked(text, ASSIGN, 1, ASSIGN_LEAST), lambda t: _let(_masked(t, ACCESS), lambda u: _masked(u, HEX)))
+    masked = _let(_masked(F.replace(text, F.lit(MASK), F.lit(OTHER)), ASSIGN, 1, ASSIGN_LEAST), lambda t: _let(_masked(t, ACCESS), lambda u: _masked(u, HEX)))
     bare = F.filter(_let(masked, lambda t: spans_of(t, MASKED_TOKEN, "random")), lambda s: ~F.contains(s["text"], F.lit(MASK)))
     return F.when(F.size(base) > 0, bare).otherwise(spans_of(text, TOKEN, "random"))
 
@@ -131,10 +133,11 @@ def battery(token: Column) -> Column:
 
 
 def _symbols(x: Column) -> Column:
-    """v: each character's place in the alphabet, k: the alphabet's size, l and c: how many letters, and common ones (0 where the alphabet isn't of all letters)."""
+    """v: each character's place in the alphabet, k: the alphabet's size, l and c: how many letters, and common ones, m and d: how many pairs of neighbouring letters, and those of a vowel and another letter (0 where the alphabet isn't of all letters)."""
     places = F.transform(F.split(x["t"], ""), lambda c: F.instr(x["a"], c).cast("double"))
     letters = lambda other: F.when(F.length(x["a"]) > 16, F.length(F.regexp_replace(x["t"], other, "")).cast("double")).otherwise(F.lit(0.0))
-    return F.struct(F.filter(places, lambda e: e > 0).alias("v"), F.length(x["a"]).cast("double").alias("k"), letters("[^A-Za-z]").alias("l"), letters(f"[^{_COMMON}{_COMMON.upper()}]").alias("c"))
+    pairs = lambda between: F.when(F.length(x["a"]) > 16, F.length(F.regexp_replace(x["t"], between, " ")).cast("double") - F.length(x["t"])).otherwise(F.lit(0.0))
+    return F.struct(F.filter(places, lambda e: e > 0).alias("v"), F.length(x["a"]).cast("double").alias("k"), letters("[^A-Za-z]").alias("l"), letters(f"[^{_COMMON}{_COMMON.upper()}]").alias("c"), pairs(r"(?<=[A-Za-z])(?=[A-Za-z])").alias("m"), pairs(f"(?i)(?<=[{_VOWELS}])(?=[a-z&&[^{_VOWELS}]])|(?<=[a-z&&[^{_VOWELS}]])(?=[{_VOWELS}])").alias("d"))
 
 
 def _statistics(y: Column) -> Column:
@@ -146,6 +149,8 @@ def _statistics(y: Column) -> Column:
         k.alias("k"),
         y["l"].alias("l"),
         y["c"].alias("c"),
+        y["m"].alias("m"),
+        y["d"].alias("d"),
         F.size(v).cast("double").alias("n"),
         squares.alias("squares"),
         F.size(F.filter(v, lambda e: e > k / 2)).cast("double").alias("high"),
@@ -167,10 +172,13 @@ def _combined(x: Column) -> Column:
     # letters that are common in prose, more than ten in 26
     q = len(_COMMON) / 26
     z4 = (x["c"] - q * x["l"]) / F.sqrt(F.greatest(q * (1 - q) * x["l"], F.lit(1e-9)))
-    tails = F.array(_let(z1, _upper_tail), 2 * _let(z2, _upper_tail), 2 * _let(z3, _upper_tail), F.when(x["l"] > 0, _let(z4, _upper_tail)).otherwise(1.0))
-    # half of Fisher's statistic, which has eight degrees of freedom, or six without letters
+    # neighbours of a vowel and another letter, more than 210 pairs in 676
+    r = 2 * len(_VOWELS) * (26 - len(_VOWELS)) / 26**2
+    z5 = (x["d"] - r * x["m"]) / F.sqrt(F.greatest(r * (1 - r) * x["m"], F.lit(1e-9)))
+    tails = F.array(_let(z1, _upper_tail), 2 * _let(z2, _upper_tail), 2 * _let(z3, _upper_tail), F.when(x["l"] > 0, _let(z4, _upper_tail)).otherwise(1.0), F.when(x["l"] > 0, _let(z5, _upper_tail)).otherwise(1.0))
+    # half of Fisher's statistic, which has ten degrees of freedom, or six without letters
     half = -_sum(F.transform(tails, lambda q: F.ln(F.least(F.greatest(q, F.lit(1e-30)), F.lit(1.0)))))
-    return F.when(n >= 16, _let(half, lambda h: F.exp(-h) * (1 + h + h * h / 2 + F.when(x["l"] > 0, h * h * h / 6).otherwise(0.0)))).otherwise(F.lit(0.0))
+    return F.when(n >= 16, _let(half, lambda h: F.exp(-h) * (1 + h + h * h / 2 + F.when(x["l"] > 0, h * h * h / 6 + h * h * h * h / 24).otherwise(0.0)))).otherwise(F.lit(0.0))
 
 
 def _length_class(length: Column) -> Column:
@@ -206,14 +214,17 @@ def find_secrets(spark: SparkSession, docs: DataFrame) -> DataFrame:
     no base span. A null text counts as empty and has no spans. Repeated rows are scanned as often as
     they stand; other columns are ignored; an empty table gives no rows.
     """
+    store = Store(spark, "secrets")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    tokens = rows.where(F.col("text").rlike(TOKEN)).select("text", base_spans(F.col("text")).alias("base"))
-    tokens = tokens.select(F.explode(candidates(F.col("text"), F.col("base"))).alias("s")).select(F.length("s.text").alias("len"), battery(F.col("s.text")).alias("p"))
-    cut = thresholds(tokens)
-    stands = lambda s: _bin(battery(s["text"])) < F.element_at(F.create_map(*[F.lit(x) for kv in cut.items() for x in kv]), _length_class(F.length(s["text"])))
-    empty = F.array().cast("array<struct<kind:string,start:int,end:int,text:string>>")
     with_base = rows.select("doc_id", "text", base_spans(F.col("text")).alias("base"))
-    return with_base.select("doc_id", "base", F.when(F.col("text").rlike(TOKEN), F.filter(candidates(F.col("text"), F.col("base")), stands)).otherwise(empty).alias("added"))
+    empty = F.array().cast("array<struct<kind:string,start:int,end:int,text:string>>")
+    tokens = with_base.select("doc_id", "base", F.when(F.col("text").rlike(TOKEN), candidates(F.col("text"), F.col("base"))).otherwise(empty).alias("tokens"))
+    # spans and p-values are found once; the corpus isn't read again for the thresholds
+    found = store.keep(tokens.select("doc_id", "base", F.transform("tokens", lambda s: F.struct(s.alias("span"), battery(s["text"]).alias("p"))).alias("tokens")), "tokens")
+    cut = thresholds(found.select(F.explode("tokens").alias("t")).select(F.length("t.span.text").alias("len"), "t.p"))
+    limit = F.create_map(*[F.lit(x) for kv in cut.items() for x in kv])
+    stands = F.filter("tokens", lambda t: _bin(t["p"]) < F.element_at(limit, _length_class(F.length(t["span"]["text"]))))
+    return found.select("doc_id", "base", F.transform(stands, lambda t: t["span"]).alias("added"))
 
 
 def join_spans(spans: Column) -> Column:
