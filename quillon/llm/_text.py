@@ -47,13 +47,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def steps(column: pa.Array | pa.ChunkedArray, size: int = STEP_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, row offsets) of a string column, in steps of about size bytes.
+def steps(column: pa.Array | pa.ChunkedArray, size: int = STEP_BYTES, most: int = STEP_ROWS) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, bytes, row offsets) of a string column, in steps of about size bytes and at most so many rows.
 
     Null texts count as empty.
     """
-    for start in range(0, len(column), STEP_ROWS):
-        part = column.slice(start, STEP_ROWS)
+    for start in range(0, len(column), most):
+        part = column.slice(start, most)
         if isinstance(part, pa.ChunkedArray):
             part = part.combine_chunks()
         part = pa.array(part).cast(pa.large_string()).fill_null("")
@@ -68,10 +68,10 @@ def steps(column: pa.Array | pa.ChunkedArray, size: int = STEP_BYTES) -> Iterato
             a = b
 
 
-def words(buf: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte starts and ends of the words, and each row's first word (len(rows) entries)."""
+def words(buf: np.ndarray, rows: np.ndarray, is_word: np.ndarray = IS_WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte starts and ends of the words (runs of bytes of is_word), and each row's first word (len(rows) entries)."""
     n = len(buf)
-    inside = IS_WORD[buf]
+    inside = is_word[buf]
     brk = np.zeros(n + 1, bool)
     brk[rows] = True
     brk[n] = True

@@ -13,12 +13,15 @@ A block's unit of work holds the sources of two tiles (TILE each), so its memory
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quillon.llm import _text as T
 from quillon.llm._ship import ship
 from quillon.llm._store import Store, sized
 
@@ -28,25 +31,41 @@ LEAST_DOCUMENTS, TOP_TERMS = 3, 200
 #: Term ids of a block (on average), sources of a tile, source pairs walked in one numpy step.
 BLOCK, TILE, PAIRS = 2048, 32, 256
 
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-
-
-def _terms(text: Column) -> Column:
-    """array<struct<term, first>> of a text's terms; first is 1 at one place of each distinct term."""
-    low = F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(_TERM), F.lit(0)), lambda x: F.when(F.lower(x) == x, x).otherwise(F.translate(x, _UPPER, _LOWER)))
-    return F.array_sort(low)
+#: Bytes and rows of text that a task counts in one step; what it sends on is a row for each group and term of a step.
+STEP, STEP_ROWS = 16 << 20, 16_384
+
+_IN_TERM = np.zeros(256, bool)
+_IN_TERM[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, source, term, n, df) of each group and term of a step; a null term stands for the group itself."""
+    for batch in batches:
+        lang, source = (batch.column(c).fill_null("").dictionary_encode() for c in ("lang", "source"))
+        many = max(1, len(source.dictionary))
+        groups, group = np.unique(lang.indices.to_numpy().astype(np.int64) * many + source.indices.to_numpy(), return_inverse=True)
+        for a, b, buf, rows in T.steps(batch.column("text"), STEP, STEP_ROWS):
+            starts, ends, first = T.words(buf, rows, _IN_TERM)
+            bounds = np.concatenate([[0], np.cumsum(ends - starts)])
+            found = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(T.LOWER[buf[_IN_TERM[buf]]])]).dictionary_encode()
+            size = max(1, len(found.dictionary))
+            # a term of a text once, with its times, and then a term of a group
+            key, times = np.unique(np.repeat(np.arange(b - a), np.diff(first)) * size + found.indices.to_numpy(), return_counts=True)
+            key, where = np.unique(group[a + key // size] * size + key % size, return_inverse=True)
+            n, df = np.bincount(where, times, len(key)).astype(np.int64), np.bincount(where, minlength=len(key))
+            own = np.unique(group[a:b])
+            at, none = groups[np.concatenate([key // size, own])], np.zeros(len(own), np.int64)
+            term = pa.concat_arrays([found.dictionary.take(pa.array(key % size)).cast(pa.string()), pa.nulls(len(own), pa.string())])
+            yield pa.RecordBatch.from_arrays([lang.dictionary.take(pa.array(at // many)), source.dictionary.take(pa.array(at % many)), term, pa.array(np.concatenate([n, none])), pa.array(np.concatenate([df, none]))], names=["lang", "source", "term", "n", "df"])
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
     """(lang, source, term, n, df): occurrences in the group and rows of the group that have the term.
 
-    A row with a null term stands for a group's documents without terms.
+    Each group has a row with a null term besides.
     """
-    rows = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")), _terms(F.col("text").cast("string")).alias("words"))
-    marked = F.transform("words", lambda x, i: F.struct(x.alias("term"), F.when((i > 0) & (F.get("words", i - 1) == x), 0).otherwise(1).alias("first")))
-    rows = rows.select("lang", "source", F.explode_outer(marked).alias("t"))
-    return rows.groupBy("lang", "source", F.col("t.term").alias("term")).agg(F.count("t.term").alias("n"), F.coalesce(F.sum("t.first"), F.lit(0)).alias("df"))
+    rows = docs.select(*(F.col(c).cast("string").alias(c) for c in ("lang", "source", "text")))
+    return rows.mapInArrow(_count, "lang string, source string, term string, n long, df long").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
 
 
 def shares(count: np.ndarray, total: np.ndarray) -> np.ndarray:
