@@ -2,28 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillon.sources.scratch import shared_folder
+
 #: A table of ids is broadcast up to so many rows (8 bytes each, and their hash table); larger ones are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir. Where that is unset, a local one, on a local master only."""
-    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not where:
-        master = spark.sparkContext.master
-        if not master.startswith("local") or master.startswith("local-cluster"):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        where = tempfile.mkdtemp(prefix="spark-quillon-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
-
-
 class Store:
     """Writes tables as Parquet under one new folder of the shared one and reads them back.
 
@@ -40,11 +29,11 @@ class Store:
         """How many tasks so many rows are worth: two for each core of the cluster, more where they would get over per_task rows each."""
         return max(2 * self.spark.sparkContext.defaultParallelism, -(-rows // per_task))
 
-    def keep(self, df: DataFrame, name: str = "t", rows: int | None = None, per_task: int = 250_000) -> DataFrame:
+    def keep(self, df: DataFrame, name: str = "t", rows: int | None = None, per_task: int = 250_000, codec: str = "snappy") -> DataFrame:
         """rows: what comes out of a shuffle has no more, so that a small table becomes few files, whatever the number of shuffle partitions."""
         self._n += 1
         path = f"{self.root}/{self._n:03d}-{name}"
-        (df if rows is None else df.coalesce(self.tasks(rows, per_task))).write.parquet(path)
+        (df if rows is None else df.coalesce(self.tasks(rows, per_task))).write.option("compression", codec).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self._kept.append((out, path))
         return out

@@ -33,14 +33,14 @@ from quillon.llm._ship import ship
 from quillon.llm._store import Store, sized
 from quillon.llm._text import steps
 
-#: Ids of a block and of a file, about; lanes of a block at most, and ids that a lane has at least.
-BLOCK, FILE_IDS, LANES, LANE_IDS = 1 << 16, 1 << 25, 1024, 64
+#: Ids of a block, and characters of a file's texts, about; lanes of a block at most, and ids that a lane has at least.
+BLOCK, FILE_CHARS, LANES, LANE_IDS = 1 << 16, 1 << 27, 1024, 64
 #: Id that ends a document.
 END = 0
 #: A frequency table has so many bits more than it takes to number its ids.
 SPARE_BITS = 4
-#: Bytes of text tokenized in one step; pieces of text, and ids of theirs, that a task remembers before it starts over.
-STEP, PIECES, PIECE_IDS = 4 << 20, 300_000, 4_000_000
+#: Bytes and rows of text tokenized in one step; pieces of text, and ids of theirs, that a Python worker remembers before it starts over; pieces given to the library at a time.
+STEP, STEP_ROWS, PIECES, PIECE_IDS, AT_ONCE = 8 << 20, 8192, 1_000_000, 8_000_000, 10_000
 
 _HEAD = struct.Struct("<4sIIQQI")
 _MAGIC = b"QRA1"
@@ -163,15 +163,14 @@ class Encoder:
     def clear(self) -> None:
         self.known: dict[bytes, int] = {}
         self.ids, self.first = np.zeros(1 << 16, np.uint32), np.zeros(1 << 12, np.int64)
-        self.used = np.zeros(1 << 12, np.int64)
 
     def _add(self, pieces: list[bytes]) -> None:
-        found = [e.ids for e in self.library.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
+        found = [e.ids for at in range(0, len(pieces), AT_ONCE) for e in self.library.encode_batch_fast([p.decode() for p in pieces[at : at + AT_ONCE]], add_special_tokens=False)]
         at, n = len(self.known), self.first[len(self.known)]
         sizes = np.array([len(x) for x in found])
         if len(self.first) < at + len(found) + 1:
             more = at + len(found) + 1
-            self.first, self.used = (np.concatenate([x, np.zeros(more, np.int64)]) for x in (self.first, self.used))
+            self.first = np.concatenate([self.first, np.zeros(more, np.int64)])
         ends = n + np.cumsum(sizes)
         self.first[at + 1 : at + 1 + len(found)] = ends
         if len(self.ids) < ends[-1]:
@@ -194,16 +193,13 @@ class Encoder:
         found = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(buf)]).dictionary_encode()
         names = found.dictionary.to_pylist()
         if len(self.known) + len(names) > PIECES or self.first[len(self.known)] > PIECE_IDS:
-            self.flush()
+            self.clear()
         if new := [p for p in names if p not in self.known]:
             self._add(new)
         known = self.known
-        number = np.fromiter((known[p] for p in names), np.int64, len(names))
+        number = np.fromiter(map(known.__getitem__, names), np.int64, len(names))
         return number[found.indices.to_numpy()], np.searchsorted(starts, rows)
 
-    def flush(self) -> None:
-        self.clear()
-
     def encode(self, buf: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the rows of a step, END after each, and each row's first."""
         number, row = self.pieces(buf, rows)
@@ -218,45 +214,72 @@ class Encoder:
         return out, bounds
 
 
-class Counter(Encoder):
-    """Counts ids instead of giving them."""
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The encoder of a Python worker, which keeps what it remembers from task to task."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
+def tokens(docs: DataFrame, path: str) -> DataFrame:
+    """Blocks (file, block, first, n_ids, doc_ids, lengths, ids binary) of docs(doc_id, text) in the order of their rows; a task's blocks are a file.
+
+    ids are little-endian unsigned integers of _width(path) bytes.
+    """
+    kind = np.dtype(f"<u{_width(path)}")
+    schema = pa.schema([("file", pa.int32()), ("block", pa.int32()), ("first", pa.int64()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("ids", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        e, file = encoder(path), TaskContext.get().partitionId()
+        first, block, size = 0, 0, 0
+        names: list[int | None] = []
+        parts: list[np.ndarray] = []
+
+        def done() -> pa.RecordBatch:
+            row = [file, block, first, size, names, [len(x) for x in parts], np.concatenate(parts).astype(kind).tobytes()]
+            return pa.RecordBatch.from_pylist([dict(zip(schema.names, row, strict=True))], schema)
+
+        for batch in batches:
+            doc_ids = batch.column("doc_id").to_pylist()
+            for a, _, buf, offsets in steps(batch.column("text"), STEP, STEP_ROWS):
+                ids, bounds = e.encode(buf, offsets)
+                for k in range(len(bounds) - 1):
+                    names.append(doc_ids[a + k])
+                    parts.append(ids[bounds[k] : bounds[k + 1]])
+                    size += len(parts[-1])
+                    if size >= BLOCK:
+                        yield done()
+                        first, block, size, names, parts = first + size, block + 1, 0, [], []
+        if parts:
+            yield done()
+
+    return docs.select("doc_id", "text").mapInArrow(run, _CHECKPOINT + ", ids binary")
 
-    def __init__(self, path: str):
-        self.counts = np.zeros(1, np.int64)
-        super().__init__(path)
-
-    def flush(self) -> None:
-        many = len(self.known)
-        ids = self.ids[: self.first[many]]
-        found = np.bincount(ids, np.repeat(self.used[:many], np.diff(self.first[: many + 1])), minlength=len(self.counts)).astype(np.int64)
-        found[: len(self.counts)] += self.counts
-        self.counts = found
-        self.clear()
 
-    def count(self, buf: np.ndarray, rows: np.ndarray) -> None:
-        number, _ = self.pieces(buf, rows)
-        self.used[: len(self.known)] += np.bincount(number, minlength=len(self.known))
+def _width(path: str) -> int:
+    return 2 if Encoder(path).library.get_vocab_size() <= 1 << 16 else 4
 
 
-def count_ids(docs: DataFrame, path: str, column: str = "text") -> DataFrame:
-    """(id, n) over all texts, with an END for each row; a null text counts as empty."""
+def count_ids(blocks: DataFrame, width: int) -> DataFrame:
+    """(id, n) over blocks of tokens()."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter, rows = Counter(path), 0
+        counts = np.zeros(1, np.int64)
         for batch in batches:
-            rows += len(batch)
-            for _, _, buf, offsets in steps(batch.column("text"), STEP):
-                counter.count(buf, offsets)
-        counter.flush()
-        counts = counter.counts
-        counts[END] += rows
+            for raw in batch.column("ids"):
+                found = np.bincount(np.frombuffer(raw.as_py(), f"<u{width}"), minlength=len(counts))
+                found[: len(counts)] += counts
+                counts = found
         ids = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(counts[ids])], names=["id", "n"])
 
-    return docs.select(F.col(column).cast("string").alias("text")).mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return blocks.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
-_BLOCKS = "file int, block int, first long, n_ids long, doc_ids array<long>, lengths array<long>, frame binary"
+_CHECKPOINT = "file int, block int, first long, n_ids long, doc_ids array<long>, lengths array<long>"
 
 
 def write_files(spark: SparkSession, docs: DataFrame, path: str, folder: str) -> None:
@@ -265,51 +288,33 @@ def write_files(spark: SparkSession, docs: DataFrame, path: str, folder: str) ->
     A null doc_id comes first; rows that repeat a doc_id go by a hash of their text, equal rows in any order. A null
     text counts as empty: END alone. An empty table gives an empty table and no blocks. Strings of special
     tokens in a text give their ids. Other columns are ignored, so their names can't clash. Texts are
-    tokenized twice, for the counts and for the files, so that no ids stand anywhere uncompressed. What
-    comes to the driver is bounded by the vocabulary.
+    tokenized once, into blocks that stand until the files are written. What comes to the driver is bounded
+    by the vocabulary.
     """
     ship(spark)
-    counts = {r["id"]: r["n"] for r in count_ids(docs, path).collect()}
+    store, width = Store(spark, "ids"), _width(path)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    # Rows that repeat a doc_id, or are wholly equal, may be many: the further keys let a range end among them.
+    rows = rows.select("*", F.xxhash64("text").alias("hash"), F.monotonically_increasing_id().alias("seq"))
+    chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    files = max(2 * spark.sparkContext.defaultParallelism, -(-chars // FILE_CHARS))
+    rows = rows.repartitionByRange(files, "doc_id", "hash", "seq").sortWithinPartitions("doc_id", "hash", "seq")
+    blocks = store.keep(tokens(rows, path), "ids", codec="zstd")
+
+    counts = {r["id"]: r["n"] for r in count_ids(blocks, width).collect()}
     ids, freq, bits = Table.scaled(counts)
     spark.createDataFrame(pa.table({"id": ids, "freq": freq, "bits": np.full(len(ids), bits)}), "id long, freq long, bits long").coalesce(1).write.parquet(f"{folder}/table")
     shared = spark.sparkContext.broadcast((ids, freq, bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, table, file = Encoder(path), Table(*shared.value), TaskContext.get().partitionId()
-        done, block = 0, 0
-        docs_in: list[int | None] = []
-        lengths: list[int] = []
-        parts: list[np.ndarray] = []
-        size = 0
-
-        def frame() -> pa.RecordBatch:
-            row = [file, block, done, size, docs_in, lengths, table.encode(np.concatenate(parts))]
-            return pa.RecordBatch.from_pylist([dict(zip(kinds.names, row, strict=True))], kinds)
-
-        kinds = pa.schema([("file", pa.int32()), ("block", pa.int32()), ("first", pa.int64()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("frame", pa.binary())])
+        table = Table(*shared.value)
         for batch in batches:
-            names = batch.column("doc_id").to_pylist()
-            for a, _, buf, offsets in steps(batch.column("text"), STEP):
-                out, bounds = encoder.encode(buf, offsets)
-                for k in range(len(bounds) - 1):
-                    ids_of = out[bounds[k] : bounds[k + 1]]
-                    docs_in.append(names[a + k])
-                    lengths.append(len(ids_of))
-                    parts.append(ids_of)
-                    size += len(ids_of)
-                    if size >= BLOCK:
-                        yield frame()
-                        done, block, size = done + size, block + 1, 0
-                        docs_in, lengths, parts = [], [], []
-        if parts:
-            yield frame()
+            for k, raw in enumerate(batch.column("ids")):
+                frame = table.encode(np.frombuffer(raw.as_py(), f"<u{width}").astype(np.uint32))
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(k, 1) for c in batch.schema.names[:-1]), pa.array([frame], pa.binary())], names=[*batch.schema.names[:-1], "frame"])
 
-    files = max(2 * spark.sparkContext.defaultParallelism, -(-sum(counts.values()) // FILE_IDS))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    # Rows that repeat a doc_id, or are wholly equal, may be many: the further keys let a range end among them.
-    rows = rows.select("*", F.xxhash64("text").alias("hash"), F.monotonically_increasing_id().alias("seq"))
-    rows = rows.repartitionByRange(files, "doc_id", "hash", "seq").sortWithinPartitions("doc_id", "hash", "seq").select("doc_id", "text")
-    rows.mapInArrow(run, _BLOCKS).write.parquet(f"{folder}/blocks")
+    blocks.mapInArrow(run, _CHECKPOINT + ", frame binary").write.parquet(f"{folder}/blocks")
+    store.drop(blocks)
 
 
 def _tables(spark: SparkSession, folder: str):
