@@ -104,15 +104,15 @@ def _merge(pair: np.ndarray, x: np.ndarray, y: np.ndarray, times: np.ndarray) ->
     return pair[order][first], x[order][first], y[order][first], np.add.reduceat(times[order], first)
 
 
-def pair_prices(counts: np.ndarray, totals: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def pair_prices(counts: np.ndarray, totals: np.ndarray, a: np.ndarray, b: np.ndarray, step: int = PAIRS) -> tuple[np.ndarray, np.ndarray]:
     """For each pair of rows (a, b): the sums over columns of f(p of a, p of b) and of f(p of b, p of a).
 
     counts: rows by ids, -1 in columns that are no id; totals: each row's N + V.
     """
     levels, values, roots = _grow(counts)
     there, back = np.zeros(len(a), np.int64), np.zeros(len(a), np.int64)
-    for at in range(0, len(a), PAIRS):
-        i, j = a[at : at + PAIRS], b[at : at + PAIRS]
+    for at in range(0, len(a), step):
+        i, j = a[at : at + step], b[at : at + step]
         pair, x, y, times = np.arange(len(i)), roots[i], roots[j], np.ones(len(i), np.int64)
         for left, right in reversed(levels):
             pair, x, y, times = _merge(np.concatenate([pair, pair]), np.concatenate([left[x], right[x]]), np.concatenate([left[y], right[y]]), np.concatenate([times, times]))
@@ -128,29 +128,30 @@ def pair_prices(counts: np.ndarray, totals: np.ndarray, a: np.ndarray, b: np.nda
     return there, back
 
 
-def _price(unit: pa.Table) -> pa.Table:
-    """One block and two tiles: rows (lang, a, b, value) for both directions of each pair of sources."""
+def _price(unit: pa.Table, tile: int, step: int) -> pa.Table:
+    """One block and two tiles of so many sources: rows (lang, a, b, value) for both directions of each pair of sources."""
     lang, ta, tb = (unit.column(c)[0].as_py() for c in ("lang", "ta", "tb"))
     is_term = pc.is_valid(unit.column("term"))
     marks, terms = unit.filter(pc.invert(is_term)), unit.filter(is_term)
     sids, where = np.unique(marks.column("sid").to_numpy(), return_index=True)
     totals = marks.column("total").to_numpy()[where]
     codes = terms.column("term").combine_chunks().dictionary_encode() if len(terms) else None
-    width = len(codes.dictionary) if codes is not None else 0
+    known = len(codes.dictionary) if codes is not None else 0
+    width = marks.column("n")[0].as_py()  # terms of the block, those that none of these sources has too
     counts = np.full((len(sids), 1 << max(width - 1, 0).bit_length()), -1, np.int64)
     counts[:, :width] = 0
-    if width:
+    if known:
         code = codes.indices.to_numpy()
-        common = np.zeros(width, np.int64)
+        common = np.zeros(known, np.int64)
         common[code] = terms.column("total").to_numpy()
-        place = np.empty(width, np.int64)
-        place[np.argsort(-common, kind="stable")] = np.arange(width)
+        place = np.empty(known, np.int64)
+        place[np.argsort(-common, kind="stable")] = np.arange(known)
         counts[np.searchsorted(sids, terms.column("sid").to_numpy()), place[code]] = terms.column("n").to_numpy()
     rows = np.arange(len(sids))
     a, b = (x.ravel() for x in np.meshgrid(rows, rows, indexing="ij"))
-    use = (a < b) if ta == tb else (sids[a] // TILE == ta) & (sids[b] // TILE == tb)
+    use = (a < b) if ta == tb else (sids[a] // tile == ta) & (sids[b] // tile == tb)
     a, b = a[use], b[use]
-    there, back = pair_prices(counts, totals, a, b)
+    there, back = pair_prices(counts, totals, a, b, step)
     return pa.table({"lang": pa.array([lang] * (2 * len(a)), pa.string()), "a": np.concatenate([sids[a], sids[b]]), "b": np.concatenate([sids[b], sids[a]]), "value": np.concatenate([there, back])}, schema=pa.schema([("lang", pa.string()), ("a", pa.int64()), ("b", pa.int64()), ("value", pa.int64())]))
 
 
@@ -186,14 +187,20 @@ def audit(spark: SparkSession, docs: DataFrame) -> DataFrame:
     ranked = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     top = over.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= TOP_TERMS).select("lang", "source", F.lit("term").alias("part"), "item", "value", "rank")
 
+    tile_size, step = TILE, PAIRS
+
+    def price(unit: pa.Table) -> pa.Table:
+        return _price(unit, tile_size, step)
+
     blocks = F.expr(f"greatest(1, ceil(v / {BLOCK}))").cast("long")
     tiles = F.explode(F.expr(f"sequence(0L, (s - 1) div {TILE})"))
     cells = rows.select("lang", F.pmod(F.xxhash64("term"), blocks).alias("block"), "sid", "term", "n", F.col("all").alias("total"), tiles.alias("u"))
-    marks = groups.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    marks = marks.select("lang", "block", "sid", F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("n"), (F.col("n") + F.col("v")).alias("total"), tiles.alias("u"))
+    widths = rows.where("lead = 1").groupBy("lang", F.pmod(F.xxhash64("term"), blocks).alias("block")).agg(F.count("*").alias("width"))  # a row a block
+    marks = groups.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))).join(widths, ["lang", "block"], "left")
+    marks = marks.select("lang", "block", "sid", F.lit(None).cast("string").alias("term"), F.coalesce("width", F.lit(0)).alias("n"), (F.col("n") + F.col("v")).alias("total"), tiles.alias("u"))
     tile = F.expr(f"sid div {TILE}")
     units = cells.unionByName(marks).select("lang", "block", F.least(tile, "u").alias("ta"), F.greatest(tile, "u").alias("tb"), "sid", "term", "n", "total")
-    prices = units.groupBy("lang", "block", "ta", "tb").applyInArrow(_price, "lang string, a long, b long, value long").groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
+    prices = units.groupBy("lang", "block", "ta", "tb").applyInArrow(price, "lang string, a long, b long, value long").groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
     name = groups.select("lang", "sid", "source")
     pairs = prices.join(sized(name.select("lang", F.col("sid").alias("a"), "source")), ["lang", "a"]).join(sized(name.select("lang", F.col("sid").alias("b"), F.col("source").alias("item"))), ["lang", "b"])
     pairs = pairs.select("lang", "source", F.lit("pair").alias("part"), "item", "value", F.row_number().over(ranked).alias("rank"))
