@@ -6,7 +6,7 @@ both, these with digits, base32, base64), and under the hypothesis
 that it is a random string of that encoding's alphabet, tests give p-values: chi-squared
 uniformity over the alphabet, runs above and below the alphabet's middle, serial correlation of
 neighbouring symbols and, where all letters may stand, the share of those that are common in prose and
-of neighbouring letters of which one is a vowel and one isn't (short words would pass the other three). Their Fisher combination is controlled for false discoveries by Benjamini and
+of neighbouring letters that are common pairs there and that are a vowel and another letter (short words would pass the other three). Their Fisher combination is controlled for false discoveries by Benjamini and
 Hochberg within classes of length, over all tokens of the corpus: a token whose randomness is rejected
 is ordinary text, and one that stands is a secret. So the rate bounds how many random tokens are lost, and
 what ordinary text is flagged is bounded by the tests' power, which grows with length: of prose letters in
@@ -45,8 +45,9 @@ _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _LOWER = "abcdefghijklmnopqrstuvwxyz"
 _B32 = _UPPER + "234567"
 _B64 = _UPPER + _LOWER + _DIGITS + "+/"
-#: The ten letters that are most common in prose of Latin script, and its vowels.
+#: The ten letters that are most common in prose of Latin script, its vowels, and pairs of letters that are common in one language of it or another.
 _COMMON, _VOWELS = "aehilnorst", "aeiou"
+_PAIRS = "th he in er an re on es en at ed nd to or ea ti ar te ng al it as is ha et se ou of le sa ve ro ra ri hi ne me de co ta ec si ll so na li la el ei ie ch sc un ge be ke au ss ue ai nt os ad do io qu us is ic um zu ht st tr pa ur il".split()
 #: The first pattern that a token without padding fits gives its alphabet; digits and hexadecimal, dashes aside, come before, all others are base64.
 _ALPHABETS = (("^[A-Z]+$", _UPPER), ("^[a-z]+$", _LOWER), ("^[A-Za-z]+$", _UPPER + _LOWER), ("^[A-Z2-7]+$", _B32), ("^[A-Z0-9]+$", _UPPER + _DIGITS), ("^[a-z0-9]+$", _LOWER + _DIGITS), ("^[A-Za-z0-9]+$", _UPPER + _LOWER + _DIGITS))
 
@@ -133,11 +134,11 @@ def battery(token: Column) -> Column:
 
 
 def _symbols(x: Column) -> Column:
-    """v: each character's place in the alphabet, k: the alphabet's size, l and c: how many letters, and common ones, m and d: how many pairs of neighbouring letters, and those of a vowel and another letter (0 where the alphabet isn't of all letters)."""
+    """v: each character's place in the alphabet, k: the alphabet's size, l and c: how many letters, and common ones, m, d and e: how many pairs of neighbouring letters, those that are common in prose, and those of a vowel and another letter (0 where the alphabet isn't of all letters)."""
     places = F.transform(F.split(x["t"], ""), lambda c: F.instr(x["a"], c).cast("double"))
     letters = lambda other: F.when(F.length(x["a"]) > 16, F.length(F.regexp_replace(x["t"], other, "")).cast("double")).otherwise(F.lit(0.0))
     pairs = lambda between: F.when(F.length(x["a"]) > 16, F.length(F.regexp_replace(x["t"], between, " ")).cast("double") - F.length(x["t"])).otherwise(F.lit(0.0))
-    return F.struct(F.filter(places, lambda e: e > 0).alias("v"), F.length(x["a"]).cast("double").alias("k"), letters("[^A-Za-z]").alias("l"), letters(f"[^{_COMMON}{_COMMON.upper()}]").alias("c"), pairs(r"(?<=[A-Za-z])(?=[A-Za-z])").alias("m"), pairs(f"(?i)(?<=[{_VOWELS}])(?=[a-z&&[^{_VOWELS}]])|(?<=[a-z&&[^{_VOWELS}]])(?=[{_VOWELS}])").alias("d"))
+    return F.struct(F.filter(places, lambda e: e > 0).alias("v"), F.length(x["a"]).cast("double").alias("k"), letters("[^A-Za-z]").alias("l"), letters(f"[^{_COMMON}{_COMMON.upper()}]").alias("c"), pairs(r"(?<=[A-Za-z])(?=[A-Za-z])").alias("m"), pairs(f"(?i)(?={'|'.join(_PAIRS)})").alias("d"), pairs(f"(?i)(?<=[{_VOWELS}])(?=[a-z&&[^{_VOWELS}]])|(?<=[a-z&&[^{_VOWELS}]])(?=[{_VOWELS}])").alias("e"))
 
 
 def _statistics(y: Column) -> Column:
@@ -151,6 +152,7 @@ def _statistics(y: Column) -> Column:
         y["c"].alias("c"),
         y["m"].alias("m"),
         y["d"].alias("d"),
+        y["e"].alias("e"),
         F.size(v).cast("double").alias("n"),
         squares.alias("squares"),
         F.size(F.filter(v, lambda e: e > k / 2)).cast("double").alias("high"),
@@ -172,13 +174,16 @@ def _combined(x: Column) -> Column:
     # letters that are common in prose, more than ten in 26
     q = len(_COMMON) / 26
     z4 = (x["c"] - q * x["l"]) / F.sqrt(F.greatest(q * (1 - q) * x["l"], F.lit(1e-9)))
-    # neighbours of a vowel and another letter, more than 210 pairs in 676
-    r = 2 * len(_VOWELS) * (26 - len(_VOWELS)) / 26**2
+    # neighbouring letters that are common pairs, more than so many in 26 * 26
+    r = len(set(_PAIRS)) / 26**2
     z5 = (x["d"] - r * x["m"]) / F.sqrt(F.greatest(r * (1 - r) * x["m"], F.lit(1e-9)))
-    tails = F.array(_let(z1, _upper_tail), 2 * _let(z2, _upper_tail), 2 * _let(z3, _upper_tail), F.when(x["l"] > 0, _let(z4, _upper_tail)).otherwise(1.0), F.when(x["l"] > 0, _let(z5, _upper_tail)).otherwise(1.0))
-    # half of Fisher's statistic, which has ten degrees of freedom, or six without letters
+    # neighbours of a vowel and another letter, more than so many in 26 * 26
+    v = 2 * len(_VOWELS) * (26 - len(_VOWELS)) / 26**2
+    z6 = (x["e"] - v * x["m"]) / F.sqrt(F.greatest(v * (1 - v) * x["m"], F.lit(1e-9)))
+    tails = F.array(_let(z1, _upper_tail), 2 * _let(z2, _upper_tail), 2 * _let(z3, _upper_tail), F.when(x["l"] > 0, _let(z4, _upper_tail)).otherwise(1.0), F.when(x["l"] > 0, _let(z5, _upper_tail)).otherwise(1.0), F.when(x["l"] > 0, _let(z6, _upper_tail)).otherwise(1.0))
+    # half of Fisher's statistic, which has twelve degrees of freedom, or six without letters
     half = -_sum(F.transform(tails, lambda q: F.ln(F.least(F.greatest(q, F.lit(1e-30)), F.lit(1.0)))))
-    return F.when(n >= 16, _let(half, lambda h: F.exp(-h) * (1 + h + h * h / 2 + F.when(x["l"] > 0, h * h * h / 6 + h * h * h * h / 24).otherwise(0.0)))).otherwise(F.lit(0.0))
+    return F.when(n >= 16, _let(half, lambda h: F.exp(-h) * (1 + h + h * h / 2 + F.when(x["l"] > 0, h * h * h / 6 + h * h * h * h / 24 + h * h * h * h * h / 120).otherwise(0.0)))).otherwise(F.lit(0.0))
 
 
 def _length_class(length: Column) -> Column:

@@ -457,9 +457,11 @@ def _battery(token):
     if letters:
         q, common = 10 / 26, sum(c.lower() in "aehilnorst" for c in letters)
         ps.append(tail((common - q * len(letters)) / math.sqrt(q * (1 - q) * len(letters))))
-        pairs = [(a.lower() in "aeiou", b.lower() in "aeiou") for a, b in zip(bare, bare[1:]) if a.isalpha() and b.isalpha()]
-        r, turns = 210 / 676, sum(a != b for a, b in pairs)
-        ps.append(tail((turns - r * len(pairs)) / math.sqrt(max(r * (1 - r) * len(pairs), 1e-9))))
+        pairs = [a + b for a, b in zip(bare, bare[1:]) if a.isalpha() and b.isalpha()]
+        r, usual = len(set(secrets._PAIRS)) / 676, sum(x.lower() in secrets._PAIRS for x in pairs)
+        ps.append(tail((usual - r * len(pairs)) / math.sqrt(max(r * (1 - r) * len(pairs), 1e-9))))
+        v, turning = 210 / 676, sum((x[0].lower() in "aeiou") != (x[1].lower() in "aeiou") for x in pairs)
+        ps.append(tail((turning - v * len(pairs)) / math.sqrt(max(v * (1 - v) * len(pairs), 1e-9))))
     h = -sum(math.log(min(max(p, 1e-30), 1)) for p in ps)
     return math.exp(-h) * sum(h**i / math.factorial(i) for i in range(len(ps)))
 

@@ -38,7 +38,8 @@ def test_thresholds_and_added_spans_equal_brute_force(spark):
     words = "the reader takes another line from table after other columns were written into this store".split()
     tokens = [_token(r, r.choice((16, 20, 24, 40, 64, 200))) for _ in range(150)] + ["_".join(r.choice(words) for _ in range(r.choice((4, 6, 9)))) for _ in range(400)]
     docs = spark.createDataFrame([(i, f"a {t} b") for i, t in enumerate(tokens)], "doc_id long, text string")
-    p = {x["t"]: x["p"] for x in (df := spark.createDataFrame([(t,) for t in set(tokens)], "t string")).select("t", secrets.battery(df["t"]).alias("p")).collect()}
+    df = spark.createDataFrame([(t,) for t in set(tokens)], "t string")
+    p = {x["t"]: x["p"] for x in df.select("t", secrets.battery(df["t"]).alias("p")).collect()}
     of_class = lambda t: min(int(math.floor(math.log2(len(t) / 16) * 2)), secrets.CLASSES - 1)
     of_bin = lambda x: min(int(math.floor(-4 * math.log10(max(x, 1e-99)))), secrets.BINS - 1)
     long = [t for t in tokens if re.fullmatch("[A-Za-z0-9+/_=-]{16,}", t)]
@@ -54,7 +55,7 @@ def test_thresholds_and_added_spans_equal_brute_force(spark):
 
 
 def test_few_runs_of_prose_letters_are_flagged(spark):
-    """Words of invented prose run together: at 16 letters under three in a hundred, at 24 under one in a hundred."""
+    """Words of invented prose run together: at 16 letters at most three in a hundred, at 24 at most one."""
     r = random.Random(11)
     parts = ["ka", "lo", "mi", "nen", "ru", "tas", "so", "vi", "per", "du", "ba", "gi", "fol", "he", "ju", "zen", "th", "er", "ver", "sch", "lich", "zu", "ung", "ein"]
     rows = []
@@ -126,8 +127,8 @@ def test_every_language_is_learned(spark):
     r = random.Random(2)
     rows = []
     for k in range(90):
-        letters = [chr(0x1000 + 40 * k + i) for i in range(30)]
-        rows += [(len(rows), " ".join("".join(r.choices(letters, k=4)) for _ in range(30)), f"l{k:02d}") for _ in range(16)]
+        letters = [chr(0x4E00 + 40 * k + i) for i in range(30)]
+        rows += [(16 * k + i, " ".join("".join(r.choices(letters, k=4)) for _ in range(30)), f"l{k:02d}") for i in range(16)]
     got = langid.identify(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
     assert all(x["lang_pred"] == rows[x["doc_id"]][2] for x in got) and len({x["lang_pred"] for x in got}) == 90
 
