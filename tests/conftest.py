@@ -13,7 +13,7 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 @pytest.fixture(scope="session")
 def spark():
     folder = tempfile.mkdtemp(prefix="spark-")
-    s = SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false").config("spark.driver.memory", "6g")
+    s = SparkSession.builder.master(f"local[{os.environ.get('TEST_CPUS', '8')}]").config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false").config("spark.driver.memory", "6g")
     s = s.config("spark.sql.warehouse.dir", f"{folder}/warehouse").config("spark.checkpoint.dir", f"{folder}/checkpoint").getOrCreate()
     yield s
     s.stop()
