@@ -29,22 +29,24 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quillon.llm import _text as T
 from quillon.llm._ship import ship
 from quillon.llm._store import Store, sized
-from quillon.llm._text import steps
 
-#: Ids of a block, and characters of a file's texts, about; lanes of a block at most, and ids that a lane has at least.
-BLOCK, FILE_CHARS, LANES, LANE_IDS = 1 << 16, 1 << 27, 1024, 64
+#: Ids of a block, about; lanes of a block at most, and ids that a lane has at least.
+BLOCK, LANES, LANE_IDS = 1 << 16, 1024, 64
 #: Id that ends a document.
 END = 0
 #: A frequency table has so many bits more than it takes to number its ids.
 SPARE_BITS = 4
-#: Bytes and rows of text tokenized in one step; pieces of text, and ids of theirs, that a Python worker remembers before it starts over; pieces given to the library at a time.
-STEP, STEP_ROWS, PIECES, PIECE_IDS, AT_ONCE = 8 << 20, 8192, 1_000_000, 8_000_000, 10_000
+#: Bytes and rows of text tokenized in one step; pieces of text, and ids of theirs, that a Python worker remembers before it starts over; bytes of the longest piece that it finds again; pieces given to the library at a time.
+STEP, STEP_ROWS, PIECES, PIECE_IDS, LONGEST, AT_ONCE = 4 << 20, 8192, 1_500_000, 8_000_000, 256, 10_000
 
 _HEAD = struct.Struct("<4sIIQQI")
 _MAGIC = b"QRA1"
 _LOW = np.uint64(1 << 31)
+#: Bytes in another order, for a second hash of a piece.
+_OTHERWISE = np.random.default_rng(1).permutation(256).astype(np.uint8)
 _WORD = np.uint64(0xFFFFFFFF)
 
 #: Kinds of bytes: letters, figures and marks of ASCII, the apostrophe, the blank, other white space, leads of two-byte characters none of which is white space, others.
@@ -58,7 +60,6 @@ _ANEW[_LETTER, [_DIGIT, _MARK, _QUOTE, _BLANK, _BREAK]] = True
 _ANEW[_DIGIT, [_LETTER, _MARK, _QUOTE, _BLANK, _BREAK]] = True
 _ANEW[_MARK, [_LETTER, _DIGIT, _BLANK, _BREAK]] = True
 _ANEW[_QUOTE, [_BLANK, _BREAK]] = True
-_ANEW[_BREAK, [_LETTER, _DIGIT, _MARK, _QUOTE, _LEAD]] = True
 
 
 def _cuts(buf: np.ndarray) -> np.ndarray:
@@ -66,6 +67,8 @@ def _cuts(buf: np.ndarray) -> np.ndarray:
     kind = _KIND[buf]
     cut = np.zeros(len(buf) + 1, bool)
     cut[1:-1] = _ANEW[kind[:-1], kind[1:]]
+    # after a lone line break or tab: in a longer run of white space the last one belongs to no other
+    cut[2:-1] |= (kind[:-2] <= _QUOTE) & (kind[1:-1] == _BREAK) & ((kind[2:] <= _QUOTE) | (kind[2:] == _LEAD))
     # white space after a two-byte character
     cut[2:-1] |= (kind[:-2] == _LEAD) & ((kind[2:] == _BLANK) | (kind[2:] == _BREAK))
     return cut
@@ -144,7 +147,7 @@ class Encoder:
 
     A byte-level tokenizer's pattern takes runs of letters, of figures, of marks (each with one blank before it), of
     white space and a few endings after an apostrophe. So it begins anew between runs of ASCII letters, figures and marks,
-    but for what follows an apostrophe, at white space after anything else, and after a line break or tab. Texts are
+    but for what follows an apostrophe, at white space after anything else, and after a lone line break or tab. Texts are
     cut there, and not inside the strings of special tokens; the ids of a text are those of its pieces, one after the other.
     """
 
@@ -161,22 +164,43 @@ class Encoder:
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.ids, self.first = np.zeros(1 << 16, np.uint32), np.zeros(1 << 12, np.int64)
+        """Remembered are sorted keys with a second hash and a number each; ids and first have the ids by number."""
+        self.keys, self.check, self.number = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.ids, self.first, self.many = np.zeros(1 << 16, np.uint32), np.zeros(1 << 12, np.int64), 0
 
-    def _add(self, pieces: list[bytes]) -> None:
+    def _add(self, pieces: list[bytes]) -> np.ndarray:
+        """The numbers of pieces that aren't known yet."""
         found = [e.ids for at in range(0, len(pieces), AT_ONCE) for e in self.library.encode_batch_fast([p.decode() for p in pieces[at : at + AT_ONCE]], add_special_tokens=False)]
-        at, n = len(self.known), self.first[len(self.known)]
-        sizes = np.array([len(x) for x in found])
-        if len(self.first) < at + len(found) + 1:
-            more = at + len(found) + 1
-            self.first = np.concatenate([self.first, np.zeros(more, np.int64)])
-        ends = n + np.cumsum(sizes)
-        self.first[at + 1 : at + 1 + len(found)] = ends
+        at, n = self.many, self.first[self.many]
+        self.many += len(found)
+        if len(self.first) <= self.many:
+            self.first = np.concatenate([self.first, np.zeros(self.many + 1, np.int64)])
+        ends = n + np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
+        self.first[at + 1 : self.many + 1] = ends
         if len(self.ids) < ends[-1]:
             self.ids = np.concatenate([self.ids, np.zeros(int(ends[-1]), np.uint32)])
-        self.ids[n : ends[-1]] = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
-        self.known.update((p, at + k) for k, p in enumerate(pieces))
+        self.ids[n : ends[-1]] = np.fromiter(chain.from_iterable(found), np.uint32, int(ends[-1] - n))
+        return np.arange(at, self.many)
+
+    def _numbers(self, pieces: pa.LargeBinaryArray) -> np.ndarray:
+        """The number of each of some distinct pieces; those of up to LONGEST bytes are remembered by two hashes of 64 bits."""
+        _, offsets, data = pieces.buffers()
+        offsets = np.frombuffer(offsets, np.int64)[pieces.offset : pieces.offset + len(pieces) + 1]
+        raw = np.frombuffer(data, np.uint8)
+        key, check = (T.word_hashes(x, offsets[:-1], offsets[1:]) for x in (raw, _OTHERWISE[raw]))
+        short = np.diff(offsets) <= LONGEST
+        at = np.searchsorted(self.keys, key)
+        near = np.minimum(at, max(len(self.keys) - 1, 0))
+        same = self.keys[near] == key if len(self.keys) else np.zeros(len(key), bool)
+        known = same & short & (self.check[near] == check if len(self.keys) else False)
+        number = np.where(known, self.number[near] if len(self.keys) else 0, -1)
+        new = np.flatnonzero(~known)
+        if len(new):
+            number[new] = self._add(pieces.take(pa.array(new)).to_pylist())
+            _, once = np.unique(key[new], return_index=True)
+            kept = new[once][(short & ~same)[new[once]]]
+            self.keys, self.check, self.number = (np.insert(x, at[kept], y[kept]) for x, y in ((self.keys, key), (self.check, check), (self.number, number)))
+        return number
 
     def pieces(self, buf: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The number of each piece among the known ones, and each row's first piece."""
@@ -189,16 +213,10 @@ class Encoder:
                     cut[m.start() + 1 : m.end()] = False
         cut[rows] = True
         starts = np.flatnonzero(cut[:-1])
-        offsets = np.append(starts, len(buf))
-        found = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(buf)]).dictionary_encode()
-        names = found.dictionary.to_pylist()
-        if len(self.known) + len(names) > PIECES or self.first[len(self.known)] > PIECE_IDS:
+        found = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(np.append(starts, len(buf))), pa.py_buffer(buf)]).dictionary_encode()
+        if self.many + len(found.dictionary) > PIECES or self.first[self.many] > PIECE_IDS:
             self.clear()
-        if new := [p for p in names if p not in self.known]:
-            self._add(new)
-        known = self.known
-        number = np.fromiter(map(known.__getitem__, names), np.int64, len(names))
-        return number[found.indices.to_numpy()], np.searchsorted(starts, rows)
+        return self._numbers(found.dictionary)[found.indices.to_numpy()], np.searchsorted(starts, rows)
 
     def encode(self, buf: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the rows of a step, END after each, and each row's first."""
@@ -244,7 +262,7 @@ def tokens(docs: DataFrame, path: str) -> DataFrame:
 
         for batch in batches:
             doc_ids = batch.column("doc_id").to_pylist()
-            for a, _, buf, offsets in steps(batch.column("text"), STEP, STEP_ROWS):
+            for a, _, buf, offsets in T.steps(batch.column("text"), STEP, STEP_ROWS):
                 ids, bounds = e.encode(buf, offsets)
                 for k in range(len(bounds) - 1):
                     names.append(doc_ids[a + k])
@@ -296,8 +314,7 @@ def write_files(spark: SparkSession, docs: DataFrame, path: str, folder: str) ->
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # Rows that repeat a doc_id, or are wholly equal, may be many: the further keys let a range end among them.
     rows = rows.select("*", F.xxhash64("text").alias("hash"), F.monotonically_increasing_id().alias("seq"))
-    chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    files = max(2 * spark.sparkContext.defaultParallelism, -(-chars // FILE_CHARS))
+    files = max(2 * spark.sparkContext.defaultParallelism, rows.rdd.getNumPartitions())
     rows = rows.repartitionByRange(files, "doc_id", "hash", "seq").sortWithinPartitions("doc_id", "hash", "seq")
     blocks = store.keep(tokens(rows, path), "ids", codec="zstd")
 
