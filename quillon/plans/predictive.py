@@ -7,6 +7,7 @@ region; all that follows works on that small grid.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -234,6 +235,35 @@ def allocation_scenarios(context_scores: DataFrame, v2: DataFrame, scenarios: Da
     )
 
 
+def build(spark: SparkSession, t: Tables, dimension: DataFrame, created_at: Column, folder: str, wanted: tuple[str, ...] = (), forecast: DataFrame | None = None, unit_cost: DataFrame | None = None) -> Tables:
+    """The analytic tables in the order in which they need each other, each written once under a new folder and read back.
+
+    What stands on a table reads its files, so no source is scanned again for a score of a score. wanted
+    (all by default) ends the run after the last table named; forecast and unit_cost are what the
+    allocation needs.
+    """
+    out: Tables = {}
+
+    def read(name: str) -> DataFrame:
+        return out[name]
+
+    steps: dict[str, Callable[[], DataFrame]] = {
+        "region_context_features": lambda: context_features(spark, t, dimension, created_at),
+        "region_priority_scores": lambda: priority_scores(read("region_context_features")),
+        "region_coverage_features": lambda: coverage_features(read("region_priority_scores"), t, dimension, created_at),
+        "region_priority_scores_v2": lambda: priority_scores_v2(read("region_coverage_features")),
+        "budget_scenarios": lambda: budget_scenarios(spark, created_at),
+        "region_allocation_scenarios": lambda: allocation_scenarios(read("region_priority_scores"), read("region_priority_scores_v2"), read("budget_scenarios"), forecast, unit_cost, created_at),
+    }
+    names = list(steps)
+    last = max((names.index(n) for n in wanted if n in steps), default=len(names) - 1)
+    for name in names[: last + 1]:
+        df = steps[name]()
+        df.write.parquet(f"{folder}/{name}")
+        out[name] = spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+    return out
+
+
 # The features that regions are clustered by.
 CLUSTER_FEATURES = ("context_priority_score", "coverage_gap_score", "primera_generacion_score", "pobreza_monetaria_pct", "matricula_5to_secundaria", "poblacion_15_29", "brecha_digital_pct", "ruralidad_educativa_pct", "primera_generacion_ratio", "becas_por_1000_jovenes", "becas_por_1000_matriculados_5to")
 

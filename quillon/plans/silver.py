@@ -77,26 +77,43 @@ def technical(df: DataFrame, system: str, dataset: str, context: Context) -> Dat
     )
 
 
-def _finder(df: DataFrame, spec: Spec) -> Callable[[str], Column]:
+class _Finder:
     """The raw column of a field; null text where no name of it is present."""
-    by_key = {}
-    for c in df.columns:
-        by_key.setdefault(tolerant_key(c) if spec.tolerant else c, c)
 
-    def find(name: str) -> Column:
-        for alias in (*spec.aliases.get(name, ()), name):
-            key = tolerant_key(alias) if spec.tolerant else alias
-            if key in by_key:
-                return F.col(f"`{by_key[key]}`").cast("string")
-        return F.lit(None).cast("string")
+    def __init__(self, df: DataFrame, spec: Spec):
+        self.spec, self.by_key = spec, {}
+        for c in df.columns:
+            self.by_key.setdefault(tolerant_key(c) if spec.tolerant else c, c)
 
-    return find
+    def column(self, name: str) -> str | None:
+        for alias in (*self.spec.aliases.get(name, ()), name):
+            key = tolerant_key(alias) if self.spec.tolerant else alias
+            if key in self.by_key:
+                return self.by_key[key]
+        return None
 
+    def __call__(self, name: str) -> Column:
+        found = self.column(name)
+        return F.col(f"`{found}`").cast("string") if found else F.lit(None).cast("string")
 
-def is_total_row(df: DataFrame) -> Column:
-    """Whether any cell outside the year and total columns says TOTAL or TOTAL GENERAL."""
-    cells = [F.upper(text.clean_display(F.col(f"`{c}`").cast("string"))) for c in df.columns if not (year_of(c) or is_total_header(c))]
-    return F.coalesce(F.exists(F.array(*cells), lambda c: c.isin("TOTAL", "TOTAL GENERAL")), F.lit(False)) if cells else F.lit(False)
+
+CELLS = "_cells"
+
+
+def _text_columns(df: DataFrame) -> list[str]:
+    """All columns but those of years and totals."""
+    return [c for c in df.columns if c != CELLS and not (year_of(c) or is_total_header(c))]
+
+
+def with_clean_cells(df: DataFrame) -> DataFrame:
+    """df with its text columns as one array of cleaned cells: one expression, however many columns there are."""
+    cells = [F.col(f"`{c}`").cast("string") for c in _text_columns(df)]
+    return df.withColumn(CELLS, F.transform(F.array(*cells), text.clean_display) if cells else F.array().cast("array<string>"))
+
+
+def is_total_row() -> Column:
+    """Whether any cleaned cell says TOTAL or TOTAL GENERAL."""
+    return F.coalesce(F.exists(CELLS, lambda c: F.upper(c).isin("TOTAL", "TOTAL GENERAL")), F.lit(False))
 
 
 def unpivot_years(df: DataFrame, keep: list[str], value: str) -> DataFrame:
@@ -111,12 +128,14 @@ def unpivot_years(df: DataFrame, keep: list[str], value: str) -> DataFrame:
 def read_fields(df: DataFrame, spec: Spec, context: Context, catalog: DataFrame | None = None) -> DataFrame:
     """The contract's fields, and the first rule that each row breaks in ERROR."""
     zero_dash = False
+    places: dict[str, int] = {}
     if spec.tolerant:
-        df = df.where(~is_total_row(df))
+        df = with_clean_cells(df).where(~is_total_row())
+        places = {c: i for i, c in enumerate(_text_columns(df))}
     if spec.wide:
-        df = unpivot_years(df, [c for c in df.columns if not (year_of(c) or is_total_header(c))], "cantidad_becarios")
+        df = unpivot_years(df, [*_text_columns(df), CELLS], "cantidad_becarios")
         zero_dash = True
-    find = _finder(df, spec)
+    find = _Finder(df.drop(CELLS), spec)
     kinds = contracts.kinds(spec.contract)
     own = [f["name"] for f in spec.contract if f["name"] not in TECHNICAL and "_canonical" not in f["name"]]
 
@@ -127,10 +146,13 @@ def read_fields(df: DataFrame, spec: Spec, context: Context, catalog: DataFrame
             return numbers.report_int(find(name), zero_dash=zero_dash)
         if name == "es_anio_preliminar":
             return F.col(name)
-        return spec.dialect[kinds[name]](find(name))
+        how = spec.dialect[kinds[name]]
+        if how is text.clean_display and find.column(name) in places:
+            return F.get(CELLS, F.lit(places[find.column(name)]))
+        return how(find(name))
 
     raw = [find(n).alias(f"_raw_{n}") for n in own] if spec.rules else []
-    out = df.select(F.struct(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns]).alias("_record"), *raw, *[read(n).alias(n) for n in own])
+    out = df.select(F.struct(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns if c != CELLS]).alias("_record"), *raw, *[read(n).alias(n) for n in own])
     if spec.keep:
         out = out.where(spec.keep(F.col))
     message = F.lit(None).cast("string")

@@ -166,15 +166,15 @@ def text_alias_groups(spark, sf_dir):
     return profile.alias_groups(_table(spark, sf_dir, "customer").select(spelled.alias("segment")), ["segment"])
 
 
-@_query("SELECT doc_id, left(regexp_replace(text, '[ÃÂâðÐ]', '', 'g'), 400) AS repaired, strip_accents(left(regexp_replace(text, '[ÃÂâðÐ]', '', 'g'), 400)) <> left(regexp_replace(text, '[ÃÂâðÐ]', '', 'g'), 400) AS had_accents FROM documents WHERE text IS NOT NULL")
+@_query("WITH d AS (SELECT doc_id, regexp_replace(text, '[ÃÂâðÐ]', '', 'g') AS t FROM documents WHERE text IS NOT NULL) SELECT doc_id, t AS repaired, strip_accents(t) <> t AS had_accents FROM d")
 def mojibake_repair(spark, sf_dir):
-    """The starts of texts in four languages, spoiled by one wrong decoding, come back as they were.
+    """Whole texts in four languages, spoiled by one wrong decoding, come back as they were.
 
     A column a document: what was spoiled and repaired, and whether it holds accents that could be spoiled.
     """
-    start = F.left(F.regexp_replace("text", "[ÃÂâðÐ]", ""), F.lit(400))
-    spoiled = F.decode(F.encode(start, "UTF-8"), "ISO-8859-1")
-    return _table(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", text.repair_mojibake(spoiled).alias("repaired"), text.has_accents(start).alias("had_accents"))
+    plain = _table(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", F.regexp_replace("text", "[ÃÂâðÐ]", "").alias("plain"))
+    spoiled = F.decode(F.encode(F.col("plain"), "UTF-8"), "ISO-8859-1")
+    return plain.select("doc_id", text.repair_mojibake(spoiled).alias("repaired"), text.has_accents(F.col("plain")).alias("had_accents"))
 
 
 def _price_text(k: int) -> Column:

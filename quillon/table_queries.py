@@ -12,7 +12,7 @@ from quillon.operators import canonical
 from quillon.operators.quality import run_rules
 from quillon.plans import predictive, silver, views
 from quillon.plans.rules import all_rules
-from quillon.sources import contracts, tables
+from quillon.sources import contracts, scratch, tables
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -180,6 +180,58 @@ _add(
     silver_snapshot_report,
     f"SELECT year(o_orderdate) AS ano_encuesta, o_orderstatus AS lengua_materna, lower(o_orderpriority) AS modalidad, CASE WHEN o_orderpriority <> '2-HIGH' THEN count(*) + 0.5::DOUBLE END AS porcentaje_becarios, {_DOCUMENT_SQL}, {_RUN.format(dataset='report_beca18_lengua_materna_modalidad_2025')} FROM orders WHERE o_orderstatus <> 'P' GROUP BY year(o_orderdate), o_orderstatus, o_orderpriority",
 )
+
+
+def _report_fields(name: str) -> list[dict]:
+    return [f for f in tables.SILVER[f"pronabec_report_beca18_{name}"] if f["name"] not in silver.TECHNICAL and f["name"] not in _DOCUMENT]
+
+
+def _spelled(field: str, i: int) -> str:
+    """A header as reports spell it: capitals, blanks, underscores, stop words, a BOM before the first."""
+    return "\ufeff" * (i == 0) + (field.upper(), field.replace("_", " de ").title(), field.replace("_", " "))[i % 3]
+
+
+def silver_all_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows of orders through the specs of all snapshot reports, as (report, field, text, number) with the rows counted; total rows go."""
+    o = _table(spark, sf_dir, "orders").groupBy(F.year("o_orderdate").alias("y"), "o_orderpriority", "o_orderstatus").agg(F.count("*").alias("n"))
+    out = None
+    for name in tables.REPORTS:
+        own, texts = _report_fields(name), iter((F.concat(F.lit(" "), F.lower("o_orderpriority"), F.lit("\t  x")), _t("o_orderstatus")))
+        cells = []
+        for i, f in enumerate(own):
+            if i == 0:
+                c = _t("y").cast("string")
+            elif f["type"] == "STRING":
+                c = next(texts)
+            elif f["type"] == "INT64":
+                c = F.when(_t("o_orderstatus") == "F", "-").otherwise(F.format_number(_t("n") * 1000, 0))
+            else:
+                c = F.when(_t("o_orderstatus") == "F", "N.D.").otherwise(F.concat(_t("n").cast("string"), F.lit(",5 %")))
+            cells.append(F.when(_t("o_orderstatus") == "P", "Total General").otherwise(c).alias(_spelled(f["name"], i)))
+        got = silver.transform(_documented(o.select(*cells)), silver.SPECS["pronabec_reports", f"report_beca18_{name}"], CONTEXT)
+        text = lambda f: _t(f["name"]).cast("string") if f["type"] == "STRING" else F.lit(None).cast("string")
+        number = lambda f: F.lit(None).cast("double") if f["type"] == "STRING" else _t(f["name"]).cast("double")
+        rows = got.select(F.explode(F.array(*[F.struct(F.lit(name).alias("report"), F.lit(f["name"]).alias("field"), text(f).alias("text"), number(f).alias("number")) for f in own])).alias("c")).select("c.*")
+        out = rows if out is None else out.unionByName(rows)
+    return out.groupBy("report", "field", "text", "number").agg(F.count("*").alias("records"))
+
+
+def _all_reports_sql() -> str:
+    parts = []
+    for name in tables.REPORTS:
+        texts = iter(("lower(p) || ' x'", "s"))
+        for i, f in enumerate(_report_fields(name)):
+            if i == 0:
+                text, number = ("y::VARCHAR", "NULL") if f["type"] == "STRING" else ("NULL", "y")
+            elif f["type"] == "STRING":
+                text, number = next(texts), "NULL"
+            else:
+                text, number = "NULL", f"CASE WHEN s <> 'F' THEN {'n * 1000' if f['type'] == 'INT64' else 'n + 0.5'} END"
+            parts.append(f"SELECT '{name}' AS report, '{f['name']}' AS field, {text}::VARCHAR AS text, ({number})::DOUBLE AS number FROM r")
+    return "WITH r AS (SELECT year(o_orderdate) AS y, o_orderpriority AS p, o_orderstatus AS s, count(*) AS n FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1, 2, 3), a AS (" + " UNION ALL ".join(parts) + ") SELECT *, count(*) AS records FROM a GROUP BY ALL"
+
+
+_add("silver_all_reports", silver_all_reports, _all_reports_sql())
 _YEARS = list(range(1995, 2002))
 
 
@@ -514,18 +566,13 @@ def _sources(spark: SparkSession, sf_dir: str) -> views.Tables:
 
 
 def _analytic(spark: SparkSession, sf_dir: str, *wanted: str) -> views.Tables:
-    """The analytic tables, all or those wanted."""
-    t, dim = _sources(spark, sf_dir), _regions(spark, sf_dir)
-    out = {"region_context_features": predictive.context_features(spark, t, dim, _stamp())}
-    out["region_priority_scores"] = predictive.priority_scores(out["region_context_features"])
-    out["region_coverage_features"] = predictive.coverage_features(out["region_priority_scores"], t, dim, _stamp())
-    out["region_priority_scores_v2"] = predictive.priority_scores_v2(out["region_coverage_features"])
-    if not wanted or {"budget_scenarios", "region_allocation_scenarios"} & set(wanted):
-        out["budget_scenarios"] = predictive.budget_scenarios(spark, _stamp())
+    """The analytic tables, all or those wanted, each stored once."""
+    forecast = cost = None
+    if not wanted or "region_allocation_scenarios" in wanted:
         grants = _table(spark, sf_dir, "orders").groupBy(F.year("o_orderdate").alias("ano")).agg(F.count("*").alias("becas"))
         spent = _table(spark, sf_dir, "lineitem").groupBy(F.year("l_shipdate").alias("ano")).agg(F.sum(F.floor("l_extendedprice").cast("bigint")).alias("devengado"))
-        cost = predictive.latest_unit_cost(grants.join(spent, "ano"))
-        out["region_allocation_scenarios"] = predictive.allocation_scenarios(out["region_priority_scores"], out["region_priority_scores_v2"], out["budget_scenarios"], _money(spark, sf_dir), cost, _stamp())
+        forecast, cost = _money(spark, sf_dir), predictive.latest_unit_cost(grants.join(spent, "ano"))
+    out = predictive.build(spark, _sources(spark, sf_dir), _regions(spark, sf_dir), _stamp(), scratch.new_folder(spark, "analytic"), wanted, forecast, cost)
     if not wanted or "budget_forecast_results" in wanted:
         out["budget_forecast_results"] = predictive.budget_forecast(_monthly(spark, sf_dir))
     return {k: v for k, v in out.items() if not wanted or k in wanted}
@@ -652,7 +699,7 @@ SELECT strftime(make_date((n.t // 12)::BIGINT, (n.t % 12 + 1)::BIGINT, 1), '%Y-%
 
 
 def series_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A forecast for each of many series, one for every supplier, in the same jobs."""
+    """A forecast for each of ten series, by the last digit of the supplier, in the same jobs; the number of series is the key's."""
     m = _table(spark, sf_dir, "lineitem").groupBy((_t("l_suppkey") % 10).alias("series"), F.trunc(_t("l_shipdate").cast("date"), "month").alias("month")).agg(F.count("*").alias("value"))
     x = predictive.budget_forecast(m, 3)
     return x.select("series", F.date_format("forecast_timestamp", "yyyy-MM-dd").alias("month"), F.round("forecast_value", 4).alias("value"))
@@ -666,29 +713,63 @@ SELECT n.s AS series, strftime(make_date((n.t // 12)::BIGINT, (n.t % 12 + 1)::BI
 
 
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All rules of the budget, population, context, score and allocation tables, some of whose rows break them."""
-    raw = _raw_budget(spark, sf_dir)
-    budget = silver.transform(raw, silver.SPECS["mef", "presupuesto"], CONTEXT)
-    t = {"presupuesto_mef": budget.withColumn("pia", F.when(_t("codigo_entidad") == "1", -_t("pia")).otherwise(_t("pia"))), "presupuesto_mef_temporal": silver.transform(raw, silver.SPECS["mef", "presupuesto_temporal"], CONTEXT).withColumn("mes_numero", F.when(_t("mes_numero") < 12, _t("mes_numero")))}
-    t["inei_population_youth_region"] = silver.process(_raw_population(spark, sf_dir), "inei_reports", "inei_population_youth_region", CONTEXT)[0]
+    """The rules of fourteen tables, in which rows of every kind of rule are broken."""
+    raw, k = _raw_budget(spark, sf_dir), _t("s_suppkey")
+    spec = lambda name: silver.transform(raw, silver.SPECS["mef", name], CONTEXT)
+    process = lambda df, name: silver.process(df, "inei_reports", name, CONTEXT)[0]
+    t = {"presupuesto_mef": spec("presupuesto").withColumn("pia", F.when(_t("codigo_entidad") == "1", -_t("pia")).otherwise(_t("pia"))), "presupuesto_mef_temporal": spec("presupuesto_temporal").withColumn("mes_numero", F.when(_t("mes_numero") < 12, _t("mes_numero"))), "presupuesto_mef_producto": spec("presupuesto_producto").limit(0)}
+    t["inei_population_youth_region"] = process(_raw_population(spark, sf_dir), "inei_population_youth_region")
+    s = _table(spark, sf_dir, "supplier").select(F.lit("2020").alias("anio"), _t("s_name").alias("region"), k.alias("k"), F.lit("40").alias("pobreza_monetaria_pct"), F.lit("75").alias("esperanza_vida_nacer"))
+    t["inei_pobreza_departamental"] = process(s.union(s.where("k % 5 = 0")).drop("k"), "inei_pobreza_departamental")
+    t["inei_demographic_indicators_region"] = process(s, "inei_demographic_indicators_region").withColumn("esperanza_vida_nacer", F.when(F.right("region", F.lit(1)) == "4", 0).otherwise(_t("esperanza_vida_nacer")))
     t["pronabec_ubigeo_postulacion"] = _QUERIES["silver_ubigeo_postulacion"](spark, sf_dir)
-    t |= _analytic(spark, sf_dir, "region_context_features", "region_priority_scores", "region_allocation_scenarios", "budget_scenarios")
+    sexes = "pronabec_report_beca18_sexo_anual"
+    t[sexes] = _report_table(spark, sf_dir, "sexo_anual").withColumn("pipeline_run_id", F.when(_t("ano_convocatoria") != 1996, _t("pipeline_run_id")))
+    t |= _analytic(spark, sf_dir, "region_context_features", "region_priority_scores", "region_allocation_scenarios", "budget_scenarios", "region_priority_scores_v2")
+    c = t["region_context_features"]
+    c = c.withColumns({"anio": F.when(_t("region") == "NATION_1", _t("anio") + 20).otherwise(_t("anio")), "region": F.when(_t("region") == "NATION_2", "LIMA PROVINCIAS").otherwise(_t("region")), "feature_quality_flag": F.when(_t("anio") == 2014, "odd").otherwise(_t("feature_quality_flag"))})
+    t["region_context_features"] = c.withColumn("has_synthetic_values", (_t("anio") == 2015) & (_t("region") != "NATION_1"))
+    t["region_priority_scores"] = t["region_priority_scores"].withColumn("priority_tier", F.when(_t("anio") == 2013, "odd").otherwise(_t("priority_tier")))
+    v2 = t["region_priority_scores_v2"]
+    t["region_priority_scores_v2"] = v2.withColumns({"score_version": F.when(_t("anio") == 2016, "odd").otherwise(_t("score_version")), "priority_rank_v2": F.when(_t("anio") != 2012, _t("priority_rank_v2"))})
+    a = t["region_allocation_scenarios"]
+    t["region_allocation_scenarios"] = a.withColumn("allocation_weight", F.when((_t("anio") == 2012) & (_t("scenario_id") == "poverty_focus"), 2.0 * _t("allocation_weight")).otherwise(_t("allocation_weight")))
+    t["budget_scenarios"] = t["budget_scenarios"].where("scenario_id <> 'base_priority'").withColumn("budget_multiplier", F.when(_t("scenario_id") != "budget_plus_10", _t("budget_multiplier")))
     return run_rules(spark, t, [r for r in all_rules() if r.table in t]).select("check_id", "layer", "severity", "failed_rows", "passed")
 
 
+_RULED = {"presupuesto_mef", "presupuesto_mef_temporal", "presupuesto_mef_producto", "inei_population_youth_region", "inei_pobreza_departamental", "inei_demographic_indicators_region", "pronabec_ubigeo_postulacion", "pronabec_report_beca18_sexo_anual", "region_context_features", "region_priority_scores", "region_allocation_scenarios", "budget_scenarios", "region_priority_scores_v2"}
+
+
 def _rules_sql() -> str:
+    critical = "(SELECT count(*) FROM (VALUES ('LIMA'), ('CALLAO'), ('CUSCO'), ('PUNO'), ('LORETO'), ('CAJAMARCA'), ('AYACUCHO')) v(x) WHERE x NOT IN (SELECT n_name FROM nation))"
+    grid = "(SELECT count(*) FROM v2 WHERE {})".format
+    w = "(SELECT sc.id, anio, raw / nullif(sum(raw) OVER (PARTITION BY anio), 0) AS weight FROM (SELECT anio, round(wp * coalesce(sp, 0) + wd * coalesce(sd, 0) + wn * coalesce(sy, 0) + wc * coalesce(gap_score, 0) + wf * coalesce(first_score, 0), 12) AS raw FROM v2, sc WHERE sc.id = 'poverty_focus' AND anio = 2012), sc WHERE sc.id = 'poverty_focus')"
     known = {
         "silver_presupuesto_mef_negative_values": "(SELECT count(*) FROM lineitem WHERE l_suppkey = 1)",
         "silver_presupuesto_mef_ano_range": "(SELECT count(*) FROM lineitem WHERE year(l_shipdate) NOT BETWEEN 2000 AND 2050)",
         "silver_presupuesto_mef_temporal_period_consistency": "(SELECT count(*) FROM lineitem WHERE month(l_shipdate) = 12)",
+        "silver_presupuesto_mef_producto_not_empty": "1",
+        "silver_inei_pobreza_departamental_duplicates": "(SELECT count(*) FROM supplier WHERE s_suppkey % 5 = 0)",
+        "silver_inei_demographic_indicators_region_required_ranges": "(SELECT count(*) FROM supplier WHERE right(s_name, 1) = '4')",
         "silver_pronabec_ubigeo_postulacion_fields_nulls": "(SELECT count(*) FROM supplier)",
-        "ml_region_context_features_critical_regions_present": "(SELECT count(*) FROM (VALUES ('LIMA'), ('CALLAO'), ('CUSCO'), ('PUNO'), ('LORETO'), ('CAJAMARCA'), ('AYACUCHO')) v(x) WHERE x NOT IN (SELECT n_name FROM nation))",
-        "ml_region_priority_scores_critical_regions_present": "(SELECT count(*) FROM (VALUES ('LIMA'), ('CALLAO'), ('CUSCO'), ('PUNO'), ('LORETO'), ('CAJAMARCA'), ('AYACUCHO')) v(x) WHERE x NOT IN (SELECT n_name FROM nation))",
-        "ml_region_allocation_scenarios_weight_sum_by_year_scenario": "0",
+        "silver_pronabec_report_beca18_sexo_anual_valid": "(SELECT count(DISTINCT (o_orderpriority, o_orderstatus)) FROM orders WHERE year(o_orderdate) = 1996)",
+        "ml_region_context_features_critical_regions_present": critical,
+        "ml_region_context_features_year_range": grid("region = 'NATION_1' AND anio > 2005"),
+        "ml_region_context_features_feature_quality_flag_allowed_values": grid("anio = 2014"),
+        "ml_region_context_features_no_legacy_region_variants": grid("region = 'NATION_2'"),
+        "ml_region_context_features_synthetic_metadata_consistency": grid("anio = 2015 AND region <> 'NATION_1'"),
+        "ml_region_priority_scores_critical_regions_present": critical,
+        "ml_region_priority_scores_tier_allowed_values": grid("anio = 2013"),
+        "ml_region_priority_scores_v2_version_constant": grid("anio = 2016"),
+        "ml_region_priority_scores_v2_rank_positive": grid("anio = 2012 AND score2 IS NOT NULL"),
+        "ml_region_allocation_scenarios_weight_sum_by_year_scenario": f"(SELECT count(*) FROM (SELECT sum(weight) AS s FROM {w} x) WHERE s > 0)",
+        "ml_region_allocation_scenarios_allocation_weight_range": f"(SELECT count(*) FROM {w} x WHERE 2 * weight > 1)",
+        "ml_budget_scenarios_base_priority_present": "1",
+        "ml_budget_scenarios_budget_multiplier_positive": "1",
     }
-    done = {"presupuesto_mef", "presupuesto_mef_temporal", "inei_population_youth_region", "pronabec_ubigeo_postulacion", "region_context_features", "region_priority_scores", "region_allocation_scenarios", "budget_scenarios"}
-    rows = ", ".join(f"('{r.check_id}', '{r.layer}', '{r.severity}', ({known.get(r.check_id, '0')})::BIGINT)" for r in all_rules() if r.table in done)
-    return f"SELECT *, failed_rows = 0 AS passed FROM (VALUES {rows}) v(check_id, layer, severity, failed_rows)"
+    rows = ", ".join(f"('{r.check_id}', '{r.layer}', '{r.severity}', ({known.get(r.check_id, '0')})::BIGINT)" for r in all_rules() if r.table in _RULED)
+    return f"WITH {_V2_SQL}, sc(id, type, method, bf, gf, wp, wd, wn, wc, wf) AS (VALUES {_SCENARIOS_SQL}) SELECT *, failed_rows = 0 AS passed FROM (VALUES {rows}) v(check_id, layer, severity, failed_rows)"
 
 
 _add("quality_rules", quality_rules, _rules_sql())
