@@ -414,3 +414,48 @@ def header_mapping(spark, sf_dir):
 def column_recommendations(spark, sf_dir):
     c = _table(spark, sf_dir, "customer").select(F.lit(" ").alias("blank"), F.lit("x").alias("constant"), F.when(_c("c_custkey") % 10 == 0, _c("c_name")).alias("rare"), _c("c_name").alias("name"))
     return profile.columns_profile(c).select("column", profile.recommendation(_c("null_percent"), _c("distinct_values")).alias("recommendation"))
+
+
+def _sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = _c("o_orderkey")
+    whole = F.regexp_replace(F.format_number(_c("o_custkey") * 1000, 0), ",", ".")
+    return _table(spark, sf_dir, "orders").select(
+        F.when(k % 3 > 0, " - ").otherwise(_c("o_orderstatus")).alias("estado"),
+        F.when(k % 10 == 0, "unos").otherwise(F.concat(whole, F.lit(",5"))).alias("monto"),
+        F.when(k % 7 == 0, None).when(k % 9 == 0, "luego").otherwise(F.date_format("o_orderdate", "dd/MM/yyyy")).alias("fecha_carga"),
+        F.lit("null").alias("vacio"),
+        (k - k % 2).cast("string").alias("clave"),
+    )
+
+
+_SAMPLE_SQL = """s AS (SELECT CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus END AS estado, CASE WHEN o_orderkey % 10 = 0 THEN 'unos' ELSE regexp_replace(format('{:,}', o_custkey * 1000), ',', '.', 'g') || ',5' END AS monto,
+  CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 9 = 0 THEN 'luego' ELSE strftime(o_orderdate, '%d/%m/%Y') END AS fecha_carga, NULL::VARCHAR AS vacio, (o_orderkey - o_orderkey % 2)::VARCHAR AS clave,
+  CASE WHEN o_orderkey % 10 > 0 THEN o_custkey * 1000 + 0.5::DOUBLE END AS amount, CASE WHEN o_orderkey % 7 > 0 AND o_orderkey % 9 > 0 THEN o_orderdate::DATE END AS day FROM orders)"""
+
+
+def _column_sql(name: str, number: str, date: str) -> str:
+    top = f"(SELECT string_agg(v || '=' || n, '|' ORDER BY n DESC, v) FROM (SELECT {name} AS v, count(*) AS n FROM s WHERE {name} IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5))"
+    few = f"(SELECT string_agg(v, '|' ORDER BY v) FROM (SELECT DISTINCT {name} AS v FROM s WHERE {name} IS NOT NULL ORDER BY 1 LIMIT 5))"
+    much = lambda c: f"count({c}) > 0 AND count({c}) >= 0.8 * count({name})"
+    return f"""SELECT '{name}' AS "column", count({name}) AS non_null_count, count(*) - count({name}) AS null_count, round(100.0::DOUBLE * (count(*) - count({name})) / count(*), 2) AS null_percentage, count(DISTINCT {name}) AS unique_count, round(100.0::DOUBLE * count(DISTINCT {name}) / count(*), 2) AS unique_percentage, coalesce({few}, '') AS sample_values, coalesce({top}, '') AS top_values,
+  {much(number)} AS is_mostly_numeric, count({number}) AS numeric_valid_count, count({name}) - count({number}) AS numeric_invalid_count, CASE WHEN {much(number)} THEN min({number}) END::DOUBLE AS numeric_min, CASE WHEN {much(number)} THEN max({number}) END::DOUBLE AS numeric_max, CASE WHEN {much(number)} THEN round(avg({number}), 4) END::DOUBLE AS numeric_mean,
+  {much(date)} AS is_mostly_date, count({date}) AS date_valid_count, count({name}) - count({date}) AS date_invalid_count, CASE WHEN {much(date)} THEN strftime(min({date}), '%Y-%m-%d') END AS date_min, CASE WHEN {much(date)} THEN strftime(max({date}), '%Y-%m-%d') END AS date_max FROM s"""
+
+
+_NO = "NULL::DOUBLE"
+_COLUMNS_SQL = " UNION ALL ".join([_column_sql("estado", _NO, "NULL::DATE"), _column_sql("monto", "amount", "NULL::DATE"), _column_sql("fecha_carga", _NO, "day"), _column_sql("vacio", _NO, "NULL::DATE"), _column_sql("clave", "clave::DOUBLE", "NULL::DATE")])
+
+
+@_query(f"WITH {_SAMPLE_SQL} {_COLUMNS_SQL}")
+def sample_columns(spark, sf_dir):
+    """The whole profile of a sample's columns: nulls by several names, numbers with decimal commas, dates, frequent values."""
+    p = profile.profiled_columns(_sample(spark, sf_dir))
+    day = lambda c: F.date_format(c, "yyyy-MM-dd").alias(c)
+    return p.select(*[c for c in p.columns if c not in ("sample_values", "top_values", "date_min", "date_max")], F.array_join("sample_values", "|").alias("sample_values"), F.array_join(F.transform("top_values", lambda x: F.concat_ws("=", x["value"], x["times"])), "|").alias("top_values"), day("date_min"), day("date_max"))
+
+
+@_query(f"""WITH {_SAMPLE_SQL} SELECT count(*) AS row_count, 5::BIGINT AS column_count, count(*) - (SELECT count(*) FROM (SELECT DISTINCT estado, monto, fecha_carga, clave FROM s)) AS duplicated_rows,
+  concat_ws('|', CASE WHEN count(estado) <= 0.5 * count(*) THEN 'estado' END, 'vacio') AS high_null_columns, 'clave|monto' AS mostly_numeric_columns, 'fecha_carga' AS mostly_date_columns FROM s""")
+def sample_facts(spark, sf_dir):
+    f = profile.table_facts(_sample(spark, sf_dir))
+    return f.select("row_count", "column_count", "duplicated_rows", *[F.array_join(c, "|").alias(c) for c in ("high_null_columns", "mostly_numeric_columns", "mostly_date_columns")])

@@ -108,6 +108,74 @@ def sample_profile(df: DataFrame) -> DataFrame:
     return g.select("column", "rows", "null_like", "distinct_values", F.round(F.try_divide("distinct_values", filled), 6).alias("uniqueness"), "numeric_valid", F.when(enough, F.col("lo")).alias("min_value"), F.when(enough, F.col("hi")).alias("max_value"), F.when(enough, F.round(F.col("s") / F.col("numeric_valid"), 6)).alias("mean_value"))
 
 
+# Texts that a sample's profile takes for null, after trimming, and what a date column's name holds.
+SAMPLE_NULLS = ("", "null", "none", "nan", "NaN", "NULL", "None", "-")
+DATE_NAMES = ("fecha", "date")
+#: Shares from which a column is mostly numbers or dates, and percentage of nulls from which it is listed; values listed.
+MOSTLY, HIGH_NULL, LISTED = 0.8, 50, 5
+
+
+def _sample_number(value: Column) -> Column:
+    """The number of a text with points between thousands and a decimal comma; null if it is none."""
+    t = F.trim(F.replace(F.replace(value, F.lit("."), F.lit("")), F.lit(","), F.lit(".")))
+    return F.when(t.rlike(r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"), t.try_cast("double"))
+
+
+def _sample_date(value: Column) -> Column:
+    """The time of a text that begins with a date, the day first or in ISO order."""
+    t = F.trim(value)
+    day, time = F.split(F.replace(t, F.lit("T"), F.lit(" ")), " ", 2), F.lit(" ")
+    iso = F.coalesce(F.try_to_date(F.get(day, F.lit(0)), "yyyy-MM-dd"), F.try_to_date(F.get(day, F.lit(0)), "dd/MM/yyyy"), F.try_to_date(F.get(day, F.lit(0)), "dd-MM-yyyy"))
+    return F.concat(iso.cast("string"), time, F.coalesce(F.get(day, F.lit(1)), F.lit("00:00:00"))).try_cast("timestamp_ntz")
+
+
+def profiled_columns(df: DataFrame) -> DataFrame:
+    """(column, non_null_count, null_count, null_percentage, unique_count, unique_percentage, sample_values, top_values,
+    numeric and date counts, numeric_min/max/mean and date_min/max of columns that mostly are, is_mostly_numeric, is_mostly_date).
+
+    Cells are counted by value in one pass, and all else is read off that count: a frequent value is parsed
+    once. Samples are the smallest values, top values the most frequent, ties by value. Only columns
+    whose name says so are looked at for dates.
+    """
+    cells = unpivot(df).withColumn("value", F.when(~F.trim("value").isin(*SAMPLE_NULLS), F.col("value")))
+    values = cells.groupBy("column", "value").agg(F.count("*").alias("n"))
+    dated = F.lower("column").rlike("|".join(DATE_NAMES))
+    parsed = values.withColumns({"v": _sample_number(F.col("value")), "d": F.when(dated, _sample_date(F.col("value")))})
+    some = F.col("value").isNotNull()
+    count = lambda when: F.coalesce(F.sum(F.when(when, F.col("n"))), F.lit(0))
+    g = parsed.groupBy("column").agg(
+        F.sum("n").alias("rows"), count(some).alias("non_null_count"), F.count("value").alias("unique_count"), count(F.col("v").isNotNull()).alias("numeric_valid_count"), count(F.col("d").isNotNull()).alias("date_valid_count"),
+        F.min("v").alias("v_min"), F.max("v").alias("v_max"), F.sum(F.col("v") * F.col("n")).alias("v_sum"), F.min("d").alias("d_min"), F.max("d").alias("d_max"),
+    )
+    listed = {}
+    for name, order in (("sample_values", [F.asc("value")]), ("top_values", [F.desc("n"), F.asc("value")])):
+        place = F.row_number().over(Window.partitionBy("column").orderBy(*order))
+        few = values.where(some).withColumn("place", place).where(F.col("place") <= LISTED)
+        listed[name] = few.groupBy("column").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "value", "n"))), lambda x: F.struct(x["value"].alias("value"), x["n"].alias("times"))).alias(name))
+    for few in listed.values():
+        g = g.join(few, "column", "left")  # a row a column
+    share = lambda c: F.coalesce(F.try_divide(F.col(c), F.col("non_null_count")), F.lit(0.0)) >= MOSTLY
+    percent = lambda c: F.round(100 * c / F.col("rows"), 2)
+    numeric, date = (F.col("numeric_valid_count") > 0) & share("numeric_valid_count"), (F.col("date_valid_count") > 0) & share("date_valid_count")
+    none = F.array().cast("array<struct<value:string,times:bigint>>")
+    return g.select(
+        "column", "non_null_count", (F.col("rows") - F.col("non_null_count")).alias("null_count"), percent(F.col("rows") - F.col("non_null_count")).alias("null_percentage"), "unique_count", percent(F.col("unique_count")).alias("unique_percentage"),
+        F.transform(F.coalesce("sample_values", none), lambda x: x["value"]).alias("sample_values"), F.coalesce("top_values", none).alias("top_values"),
+        numeric.alias("is_mostly_numeric"), "numeric_valid_count", (F.col("non_null_count") - F.col("numeric_valid_count")).alias("numeric_invalid_count"), F.when(numeric, F.col("v_min")).alias("numeric_min"), F.when(numeric, F.col("v_max")).alias("numeric_max"), F.when(numeric, F.round(F.col("v_sum") / F.col("numeric_valid_count"), 4)).alias("numeric_mean"),
+        date.alias("is_mostly_date"), "date_valid_count", (F.col("non_null_count") - F.col("date_valid_count")).alias("date_invalid_count"), F.when(date, F.col("d_min")).alias("date_min"), F.when(date, F.col("d_max")).alias("date_max"),
+    )
+
+
+def table_facts(df: DataFrame, columns: DataFrame | None = None) -> DataFrame:
+    """One row: row_count, column_count, duplicated_rows, and the names of the columns that are mostly null, numbers or dates, sorted."""
+    columns = profiled_columns(df) if columns is None else columns
+    names = lambda when: F.array_sort(F.collect_list(F.when(when, F.col("column"))))
+    lists = columns.agg(F.count("*").alias("column_count"), names(F.col("null_percentage") >= HIGH_NULL).alias("high_null_columns"), names(F.col("is_mostly_numeric")).alias("mostly_numeric_columns"), names(F.col("is_mostly_date")).alias("mostly_date_columns"))
+    plain = df.select(*[F.when(~F.trim(F.col(f"`{c}`").cast("string")).isin(*SAMPLE_NULLS), F.col(f"`{c}`").cast("string")).alias(c) for c in df.columns])
+    rows = duplicate_rows(plain).select(F.col("rows").alias("row_count"), F.col("duplicates").alias("duplicated_rows"))
+    return rows.join(F.broadcast(lists))  # one row each
+
+
 def date_profile(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, valid_ratio, first, last) of columns that hold dates as text."""
     c = unpivot(df, columns).where("trim(coalesce(value, '')) <> ''")
