@@ -71,18 +71,87 @@ SENTENCES: dict[str, tuple[str, ...]] = {
     "wtfpl": ("DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE", "You just DO WHAT THE FUCK YOU WANT TO"),
     "mpl-2-copy": ("If a copy of the MPL was not distributed with this file, You can obtain one at",),
     "cc-by-nd-4": ("Licensed under CC BY-ND 4.0", "This work is licensed under CC BY-ND 4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License"),
+    "mit-liability": ("IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE",),
+    "mit-0-grant": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so",
+    ),
+    "x11-name": ("Except as contained in this notice, the name of the X Consortium shall not be used in advertising or otherwise to promote the sale, use or other dealings in this Software without prior written authorization from the X Consortium",),
+    "bsd-as-is": (
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED",
+        "THIS SOFTWARE IS PROVIDED BY THE REGENTS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED",
+    ),
+    "bsd-liability": (
+        "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE",
+    ),
+    "bsd-advertising": ("All advertising materials mentioning features or use of this software must display the following acknowledgement",),
+    "isc-as-is": ("THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS",),
+    "isc-liability": (
+        "IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE",
+    ),
+    "0bsd-grant": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",),
+    "apache-2-limits": ("See the License for the specific language governing permissions and limitations under the License",),
+    "zlib-liability": ("In no event will the authors be held liable for any damages arising from the use of this software",),
+    "zlib-origin": ("The origin of this software must not be misrepresented; you must not claim that you wrote the original software",),
+    "zlib-altered": ("Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software",),
+    "zlib-notice": ("This notice may not be removed or altered from any source distribution",),
+    "unlicense-free": ("Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means",),
+    "bsl-1-grant": (
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following",
+    ),
+    "gpl-merchantability": ("without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE",),
+    "gpl-details": ("See the GNU General Public License for more details",),
+    "gpl-copy": ("You should have received a copy of the GNU General Public License along with this program",),
+    "lgpl-free": ("This library is free software",),
+    "lgpl-2.1-later": ("you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version",),
+    "lgpl-3-later": ("you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",),
+    "lgpl-2.1-notice": ("Licensed under the GNU Lesser General Public License, version 2.1", "SPDX-License-Identifier: LGPL-2.1-only", "SPDX-License-Identifier: LGPL-2.1-or-later"),
+    "agpl-copy": ("You should have received a copy of the GNU Affero General Public License along with this program",),
+    "ofl-notice": ("This Font Software is licensed under the SIL Open Font License, Version 1.1", "SPDX-License-Identifier: OFL-1.1"),
+    "epl-1-notice": ("This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0", "SPDX-License-Identifier: EPL-1.0"),
+    "cddl-notice": ("The contents of this file are subject to the terms of the Common Development and Distribution License (the \"License\")", "SPDX-License-Identifier: CDDL-1.0"),
+    "mpl-1.1-notice": ("The contents of this file are subject to the Mozilla Public License Version 1.1 (the \"License\")", "SPDX-License-Identifier: MPL-1.1"),
+    "mpl-1.1-basis": ("Software distributed under the License is distributed on an \"AS IS\" basis, WITHOUT WARRANTY OF ANY KIND, either express or implied",),
+    "postgresql-grant": ("Permission to use, copy, modify, and distribute this software and its documentation for any purpose, without fee, and without a written agreement is hereby granted, provided that the above copyright notice and this paragraph and the following two paragraphs appear in all copies",),
+    "ms-pl-title": ("Microsoft Public License (Ms-PL)", "SPDX-License-Identifier: MS-PL"),
+    "artistic-2-title": ("The Artistic License 2.0", "SPDX-License-Identifier: Artistic-2.0"),
+    "eupl-notice": ("Licensed under the EUPL", "Licensed under the EUPL, Version 1.2", "SPDX-License-Identifier: EUPL-1.2"),
+    "cc-by-nc-sa-4": ("Licensed under CC BY-NC-SA 4.0", "This work is licensed under CC BY-NC-SA 4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License"),
+    "cc-by-nc-nd-4": ("Licensed under CC BY-NC-ND 4.0", "This work is licensed under CC BY-NC-ND 4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License"),
 }
 
 #: Rules in order of precedence: licence and identifier sequence.
 RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
+    ("X11", ("mit-grant", "mit-condition", "as-is", "x11-name")),
+    ("MIT", ("mit-grant", "mit-condition", "as-is", "mit-liability")),
     ("MIT", ("mit-grant", "mit-condition", "as-is")),
+    ("MIT-0", ("mit-0-grant", "as-is", "mit-liability")),
+    ("MIT-0", ("mit-0-grant", "as-is")),
     ("MIT", ("mit-name", "mit-grant")),
     ("MIT", ("mit-grant", "mit-condition")),
+    ("Apache-2.0", ("apache-2-notice", "apache-2-comply", "apache-2-obtain", "apache-2-basis", "apache-2-limits")),
     ("Apache-2.0", ("apache-2-notice", "apache-2-comply", "apache-2-obtain", "apache-2-basis")),
     ("Apache-2.0", ("apache-2-notice",)),
+    ("BSD-4-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-advertising", "bsd-endorse", "bsd-as-is", "bsd-liability")),
+    ("BSD-4-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-advertising", "bsd-endorse")),
+    ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-as-is", "bsd-liability")),
     ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse")),
+    ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-as-is", "bsd-liability")),
     ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")),
+    ("ISC", ("isc-grant", "isc-as-is", "isc-liability")),
+    ("0BSD", ("0bsd-grant", "isc-as-is", "isc-liability")),
+    ("0BSD", ("0bsd-grant", "isc-as-is")),
+    ("Zlib", ("zlib-as-is", "zlib-liability", "zlib-grant", "zlib-origin", "zlib-altered", "zlib-notice")),
+    ("Zlib", ("zlib-as-is", "zlib-liability", "zlib-grant")),
     ("Zlib", ("zlib-as-is", "zlib-grant")),
+    ("Unlicense", ("unlicense", "unlicense-free")),
+    ("BSL-1.0", ("bsl-1-title", "bsl-1-grant")),
+    ("MPL-1.1", ("mpl-1.1-notice", "apache-2-comply", "mpl-1.1-basis")),
+    ("CDDL-1.0", ("cddl-notice", "apache-2-comply")),
+    ("LGPL-2.1-or-later", ("lgpl-free", "lgpl-2.1-later")),
+    ("LGPL-3.0-or-later", ("lgpl-free", "lgpl-3-later")),
+    ("AGPL-3.0-or-later", ("gpl-free", "agpl-later", "gpl-warranty", "gpl-merchantability", "agpl-copy")),
+    ("GPL-3.0-or-later", ("gpl-free", "gpl-3-later", "gpl-warranty", "gpl-merchantability", "gpl-details", "gpl-copy")),
+    ("GPL-2.0-or-later", ("gpl-free", "gpl-2-later", "gpl-warranty", "gpl-merchantability", "gpl-details", "gpl-copy")),
     ("AGPL-3.0-or-later", ("gpl-free", "agpl-later")),
     ("GPL-3.0-or-later", ("gpl-free", "gpl-3-later", "gpl-warranty")),
     ("GPL-3.0-or-later", ("gpl-free", "gpl-3-later")),
@@ -112,6 +181,18 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("CC-BY-SA-4.0", ("cc-by-sa-4",)),
     ("CC-BY-4.0", ("cc-by-4",)),
     ("CC0-1.0", ("cc0",)),
+    ("CC-BY-NC-SA-4.0", ("cc-by-nc-sa-4",)),
+    ("CC-BY-NC-ND-4.0", ("cc-by-nc-nd-4",)),
+    ("LGPL-2.1", ("lgpl-2.1-notice",)),
+    ("OFL-1.1", ("ofl-notice",)),
+    ("EPL-1.0", ("epl-1-notice",)),
+    ("CDDL-1.0", ("cddl-notice",)),
+    ("MPL-1.1", ("mpl-1.1-notice",)),
+    ("PostgreSQL", ("postgresql-grant",)),
+    ("MS-PL", ("ms-pl-title",)),
+    ("Artistic-2.0", ("artistic-2-title",)),
+    ("EUPL-1.2", ("eupl-notice",)),
+    ("BSL-1.0", ("bsl-1-grant",)),
 )
 
 # A sentence ends before white space after . ; : ! ? or at a newline that ends a line with such a mark

@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from quillon.llm import chat, decontam, langid, linedup, lmquality, queries, secrets
+from quillon.llm import chat, decontam, langid, licenses, linedup, lmquality, queries, secrets
 
 MASK = ""
 
@@ -201,3 +201,68 @@ def test_kept_equals_the_bands_by_brute_force(spark, sf):
         inside = x["log_ppl"] is not None and low <= x["log_ppl"] <= high
         wrong += x["kept"] != (inside and not x["base_failed"])
     assert wrong == 0
+
+
+def _licences(text):
+    """Every run of pieces looked up as a whole, the longest first; then every rule over every start, in order."""
+    words = lambda t: re.sub("[^a-z0-9]+", " ", t.lower()).strip()
+    known = {words(x): name for name, forms in licenses.SENTENCES.items() for x in forms}
+    longest = max(len(k) for k in known)
+    cuts = [0, *[x for m in re.finditer(r"(?<=[.;:!?])\s+|\n", text) for x in m.span()], len(text)]
+    pieces = [(a, b, words(text[a:b])) for a, b in zip(cuts[::2], cuts[1::2])]
+    found, i, n = [], 0, 0
+    while i < len(pieces):
+        best, j, joined = None, i, ""
+        while j < len(pieces) and pieces[j][2] and len(joined) <= longest:
+            joined = f"{joined} {pieces[j][2]}".strip()
+            best = (j, known[joined]) if joined in known else best
+            j += 1
+        if best:
+            found.append((n, n + best[0] - i + 1, pieces[i][0], pieces[best[0]][1], best[1]))
+            n += best[0] - i + 1
+            i = best[0] + 1
+        else:
+            n += bool(pieces[i][2])
+            i += 1
+    free, out = set(range(len(found))), []
+    for name, wanted in licenses.RULES:
+        for start in range(len(found)):
+            chain = []
+            for k in range(start, len(found)):
+                if chain and found[k][0] - found[chain[-1]][1] > licenses.GAP:
+                    break
+                if k in free and found[k][4] == wanted[len(chain)]:
+                    chain.append(k)
+                    if len(chain) == len(wanted):
+                        break
+                elif not chain:
+                    break
+            if len(chain) == len(wanted):
+                free -= set(chain)
+                out.append((name, found[chain[0]][2], found[chain[-1]][3]))
+    return sorted(out, key=lambda x: (x[1], x[2], x[0]))
+
+
+def test_licences_equal_brute_force(spark, sf):
+    """Over all documents, and over texts put together from sentences, fillers, breaks and comment signs."""
+    r = random.Random(12)
+    forms = [x for f in licenses.SENTENCES.values() for x in f]
+    texts = []
+    for _ in range(300):
+        out = []
+        for name in (r.choice(licenses.RULES)[1] if r.random() < 0.7 else [r.choice(list(licenses.SENTENCES))]):
+            t = r.choice(licenses.SENTENCES[name])
+            out.append((re.sub(" ", lambda m: r.choice([" "] * 9 + ["\n", "\n * "]), t) if r.random() < 0.5 else t) + r.choice([".", ";", ":", ""]) + r.choice(["\n", "\n\n", " "]))
+            out += r.choice([[], [], ["Some other words stand here. "], ["Un. Deux. Trois. "]])
+        texts.append("".join(out) + r.choice(["", r.choice(forms)]))
+    rows = [(x["doc_id"], x["text"]) for x in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()] + [(10**6 + i, t) for i, t in enumerate(texts)]
+    got = {x["doc_id"]: [tuple(s) for s in x["spans"]] for x in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, t in rows:
+        assert got[i] == _licences(t or ""), i
+    assert len({s[0] for spans in got.values() for s in spans}) > 30
+
+
+def test_whole_licences_are_one_span():
+    for name, wanted in (("MIT", ("mit-name", "mit-grant", "mit-condition", "as-is", "mit-liability")), ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-as-is", "bsd-liability")), ("Zlib", ("zlib-as-is", "zlib-liability", "zlib-grant", "zlib-origin", "zlib-altered", "zlib-notice")), ("GPL-3.0-or-later", ("gpl-free", "gpl-3-later", "gpl-warranty", "gpl-merchantability", "gpl-details", "gpl-copy"))):
+        text = "\n".join(licenses.SENTENCES[w][0] + "." for w in wanted)
+        assert [x[0] for x in licenses.match_rules(licenses.recognise(text))] == [name]
