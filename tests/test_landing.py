@@ -193,3 +193,21 @@ def test_analytic_tables_are_read_from_their_files(spark, sf):
 
     plan = _plan(table_queries.gold_allocation(spark, sf))
     assert plan.count("FileScan") < 12 and plan.count("Exchange ") < 20
+
+
+def test_regional_clusters_are_those_of_the_nearest_mean(spark, sf):
+    """In numpy: every region is nearest to the mean of its own cluster, and clusters are numbered by their means."""
+    import numpy as np
+
+    from quillon import queries
+
+    names = ["poverty", "demand", "youth", "digital", "rurality"]
+    rows = queries.queries()["regional_clusters"](spark, sf).collect()
+    x = np.array([[r[n] or 0.0 for n in names] for r in rows], float)
+    x = (x - x.mean(0)) / np.where(x.std(0, ddof=1) > 0, x.std(0, ddof=1), 1)
+    own = np.array([r["cluster"] for r in rows])
+    labels = sorted(set(own))
+    means = np.array([x[own == k].mean(0) for k in labels])
+    far = ((x[:, None] - means[None]) ** 2).sum(-1)
+    assert labels == list(range(1, len(labels) + 1)) and (far[np.arange(len(x)), own - 1] <= far.min(1) + 1e-9).all()
+    assert [tuple(m) for m in means.round(9)] == sorted(tuple(m) for m in means.round(9))
