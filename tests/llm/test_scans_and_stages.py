@@ -266,3 +266,41 @@ def test_whole_licences_are_one_span():
     for name, wanted in (("MIT", ("mit-name", "mit-grant", "mit-condition", "as-is", "mit-liability")), ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-as-is", "bsd-liability")), ("Zlib", ("zlib-as-is", "zlib-liability", "zlib-grant", "zlib-origin", "zlib-altered", "zlib-notice")), ("GPL-3.0-or-later", ("gpl-free", "gpl-3-later", "gpl-warranty", "gpl-merchantability", "gpl-details", "gpl-copy"))):
         text = "\n".join(licenses.SENTENCES[w][0] + "." for w in wanted)
         assert [x[0] for x in licenses.match_rules(licenses.recognise(text))] == [name]
+
+
+def test_repeated_rows_over_several_model_parts(spark, monkeypatch):
+    """Rows that repeat get the perplexity of one, however many parts the model comes in."""
+    words = [a + b for a in ("ka", "lo", "mi", "ne") for b in ("ru", "ta", "so", "vi")]
+    r = random.Random(9)
+    rows = [(i, " ".join(r.choices(words, k=80)), r.choice(["en", "EN", None, ""])) for i in range(30)]
+    rows += rows[:10] + [(3, None, "en"), (None, rows[4][1], "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    whole = sorted(str(tuple(x)) for x in lmquality.judge(spark, df).select("doc_id", "n_words", "base_failed", lmquality.F.round("log_ppl", 4)).collect())
+    monkeypatch.setattr(lmquality, "PART", 200)
+    parts = sorted(str(tuple(x)) for x in lmquality.judge(spark, df).select("doc_id", "n_words", "base_failed", lmquality.F.round("log_ppl", 4)).collect())
+    assert whole == parts and len(whole) == len(rows) and len(set(whole)) == 32
+
+
+def test_labels_of_one_class_only(spark):
+    from quillon.llm import knnquality
+
+    docs = spark.createDataFrame([(i, f"some words of text number {i} that go on") for i in range(40)] + [(40, None), (41, "")], "doc_id long, text string")
+    for quality in (0, 1):
+        labels = spark.createDataFrame([(i, quality) for i in range(40)], "doc_id long, quality int")
+        got = knnquality.classify(spark, docs, labels).collect()
+        assert len(got) == 42 and all(0 <= x["score"] <= 1 and x["predicted"] == (x["score"] >= 0.5) for x in got)
+        assert all(x["predicted"] == quality for x in got if x["doc_id"] < 40)
+
+
+def test_stages_on_repeated_rows_and_clashing_columns(spark, sf):
+    """Each stage on rows that stand twice, rows without ids and columns of the operators' own names: the columns of documents come back, and equal rows fare alike."""
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    odd = spark.createDataFrame([(None, "the " * 60, "en", "s", 1), (None, None, None, None, None), (10**7, "", "en", None, 0)], docs.schema)
+    both = docs.union(docs).union(odd).selectExpr("*", "1 AS hash", "'x' AS tag", "2 AS comp", "'y' AS gone", "3 AS node", "4 AS item", "5 AS starts", "'z' AS leak", "6 AS u")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        rows = stage(spark, both, sf)
+        assert tuple(rows.columns) == corpus_pipeline.COLUMNS, name
+        times = Counter((x["doc_id"], x["text"]) for x in rows.collect() if x["doc_id"] is not None and x["doc_id"] < 10**7)
+        assert set(times.values()) == {2} and len(times) > 100, name
