@@ -81,8 +81,8 @@ def _once_repaired(c: Column) -> Column:
             read = F.try_validate_utf8(F.encode(F.when(broken, back).otherwise(F.lit("")), "ISO-8859-1").cast("string"))
             return F.when(broken, F.coalesce(read, t)).otherwise(t)
 
-        # only a text with a lead byte's character can be broken
-        return F.when(t.rlike(r"[\xC2-\xF4]"), let(F.translate(t, "".join(_CP1252), "".join(_CP1252.values())), decoded)).otherwise(t)
+        # only a text with a lead byte's character before what Windows-1252 or Latin-1 shows for a continuation can be broken
+        return F.when(t.rlike(r"[\xC2-\xF4][\x80-\xBF" + "".join(_CP1252) + "]"), let(F.translate(t, "".join(_CP1252), "".join(_CP1252.values())), decoded)).otherwise(t)
 
     return let(c, repaired)
 
@@ -184,7 +184,7 @@ def has_tab_or_newline(c: Column) -> Column:
 
 
 def has_edge_space(c: Column) -> Column:
-    return c != trim_space(c)
+    return c.rlike(r"(?U)^\s|\s\z")
 
 
 def has_repeated_space(c: Column) -> Column:
@@ -203,6 +203,11 @@ def has_suspicious(c: Column) -> Column:
     return c.rlike(SUSPICIOUS)
 
 
+def is_long(c: Column) -> Column:
+    """50 characters or more once white space is collapsed and trimmed; only so many are looked at."""
+    return c.rlike(r"(?U)^\s*+\S(?:\S|\s++(?=\S)){49}")
+
+
 # Issue codes, in the order in which they are listed.
 ISSUES = (
     ("LEADING_OR_TRAILING_SPACE", has_edge_space),
@@ -216,7 +221,7 @@ ISSUES = (
     ("SUSPICIOUS_SYMBOL", has_suspicious),
     ("LOWERCASE_OR_MIXED_CASE", lambda c: c.rlike(r"\p{Ll}")),
     ("PUNCTUATION_VARIANT", lambda c: c.rlike(PUNCTUATION_VARIANT)),
-    ("LONG_TEXT_VARIANT", lambda c: F.length(collapse_space(c)) >= 50),
+    ("LONG_TEXT_VARIANT", is_long),
 )
 EMPTY_ISSUE = "EMPTY_OR_WHITESPACE"
 #: Codes of differences that a matching key takes away and that need no review.
@@ -228,7 +233,7 @@ def issues(c: Column) -> Column:
 
     def codes(t: Column) -> Column:
         found = F.array_compact(F.array(*[F.when(test(t), F.lit(code)) for code, test in ISSUES]))
-        return F.when(F.coalesce(trim_space(t), F.lit("")) == "", F.array(F.lit(EMPTY_ISSUE))).otherwise(found)
+        return F.when(F.coalesce(t.rlike(r"(?U)\S"), F.lit(False)), found).otherwise(F.array(F.lit(EMPTY_ISSUE)))
 
     return let(c, codes)
 
