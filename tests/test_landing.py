@@ -211,3 +211,17 @@ def test_regional_clusters_are_those_of_the_nearest_mean(spark, sf):
     far = ((x[:, None] - means[None]) ** 2).sum(-1)
     assert labels == list(range(1, len(labels) + 1)) and (far[np.arange(len(x)), own - 1] <= far.min(1) + 1e-9).all()
     assert [tuple(m) for m in means.round(9)] == sorted(tuple(m) for m in means.round(9))
+
+
+def test_top_values_are_cut_before_they_meet(spark):
+    """The rank's limit stands below the shuffle, so a task sends so many rows of each column at most."""
+    from quillon.operators import profile
+
+    df = spark.range(1000).selectExpr("cast(id % 37 as string) AS a", "cast(id as string) AS b")
+    plan = _plan(profile.top_values(df, ["a", "b"], 3))
+    above, _, below = plan.partition("Window [")
+    assert below.count("WindowGroupLimit") == 2 and below.index("WindowGroupLimit") < below.index("Exchange hashpartitioning(column") < below.rindex("WindowGroupLimit")
+    counts = {str(v): sum(i % 37 == v for i in range(1000)) for v in range(37)}
+    want = sorted(counts, key=lambda v: (-counts[v], v))[:3]
+    got = sorted((r["column"], r["place"], r["value"], r["times"]) for r in profile.top_values(df, ["a", "b"], 3).collect())
+    assert got == [("a", i, v, counts[v]) for i, v in enumerate(want, 1)] + [("b", i, v, 1) for i, v in enumerate(("0", "1", "10"), 1)]
