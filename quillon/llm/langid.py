@@ -19,7 +19,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillon.llm import _text as T
 from quillon.llm._ship import ship
 
 #: Lengths of the n-grams, in code points, and the number of hashed n-grams.
