@@ -32,7 +32,7 @@ LEAST_DOCUMENTS, TOP_TERMS = 3, 200
 BLOCK, TILE, PAIRS = 2048, 32, 256
 
 #: Bytes and rows of text that a task counts in one step; what it sends on is a row for each group and term of a step.
-STEP, STEP_ROWS = 16 << 20, 16_384
+STEP, STEP_ROWS = 6 << 20, 8192
 
 _IN_TERM = np.zeros(256, bool)
 _IN_TERM[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
