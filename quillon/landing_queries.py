@@ -88,12 +88,15 @@ _METRICS = ["pia", "pim", "certificacion", "compromiso", "atencion", "devengado"
 SELECT page_id, descriptor, {', '.join(f"(l_partkey + {i})::VARCHAR AS {m}" for i, m in enumerate(_METRICS))} FROM l WHERE i = 1""")
 def html_budget_rows(spark, sf_dir):
     """A page an order, a row a line with its metrics; header rows, rows without figures and repeated descriptors go."""
-    part = _c("l_partkey")
     row = lambda *cells: F.concat(F.lit("<tr>"), *map(_td, cells), F.lit("</tr>"))
-    own = [(part + i).cast("string") for i in range(len(_METRICS))]
-    line = F.when(_c("l_linenumber") % 5 == 0, row(F.lit("no figures"), *[F.lit("-")] * len(_METRICS))).otherwise(row(F.lit("mark"), F.concat("l_returnflag", F.lit(": "), "l_linestatus"), *own))
-    pages = _table(spark, sf_dir, "lineitem").groupBy(_c("l_orderkey").alias("page_id")).agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_suppkey", "l_partkey", line.alias("row")))).alias("rows"))
-    html = F.concat(F.lit("<table><tr><th>descriptor</th><th>metrics</th></tr>"), F.array_join(F.transform("rows", lambda x: x["row"]), ""), F.lit("</table>"))
+
+    def line(x: Column) -> Column:
+        own = [(x["l_partkey"] + i).cast("string") for i in range(len(_METRICS))]
+        return F.when(x["l_linenumber"] % 5 == 0, row(F.lit("no figures"), *[F.lit("-")] * len(_METRICS))).otherwise(row(F.lit("mark"), F.concat(x["l_returnflag"], F.lit(": "), x["l_linestatus"]), *own))
+
+    # the marks are put around a line after the shuffle
+    pages = _table(spark, sf_dir, "lineitem").groupBy(_c("l_orderkey").alias("page_id")).agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_suppkey", "l_partkey", "l_returnflag", "l_linestatus"))).alias("rows"))
+    html = F.concat(F.lit("<table><tr><th>descriptor</th><th>metrics</th></tr>"), F.array_join(F.transform("rows", line), ""), F.lit("</table>"))
     return readers.budget_rows(readers.table_grid(pages.select("page_id", html.alias("html"))), "page_id", _METRICS)
 
 

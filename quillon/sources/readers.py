@@ -189,6 +189,19 @@ def _text_of(html: Column) -> Column:
     return cell_text(t)
 
 
+# Patterns take runs without a tag at once and end where a lazy one would.
+_TABLE = r"(?is)<table\b[^<]*+(?:<(?!/table>)[^<]*+)*+</table>"
+_ROW = r"(?is)<tr\b[^<]*+(?:<(?!/tr>)[^<]*+)*+</tr>"
+#: A whole cell, and its content; a cell that ends before its opening tag does is empty.
+_TD = r"(?is)<t[dh]\b[^<]*+(?:<(?!/t[dh]>)[^<]*+)*+</t[dh]>"
+_CONTENT = r"(?is)<t[dh]\b(?:(?!</t[dh]>)[^>])*+(?:>([^<]*+(?:<(?!/t[dh]>)[^<]*+)*+))?</t[dh]>"
+#: Words with single blanks between them and no tag or entity, which _text_of leaves as they are; words here are of Latin and some other letters.
+_WORDS = r"(?:[!-%'-;=-~\u00A1-\u167F]++(?: [!-%'-;=-~\u00A1-\u167F]++)*+)?"
+#: A table of rows of cells without spans that hold such words alone, and the content of these cells.
+_PLAIN_TABLE = r"(?i)^<table\b[^<>]*+>(?:(?:\s*+<t[dh](?:>|\s(?![^<>]*span)[^<>]*+>)" + _WORDS + r"</t[dh]>)++|\s*+</?t(?:r|head|body|foot)(?:>|\s[^<>]*+>))*+\s*+</table>\z"
+_PLAIN_CONTENT = r"(?i)<t[dh]\b[^>]*+>([^<]*+)<"
+
+
 _CELL = "struct<text:string,across:int,down:int>"
 _PENDING = "map<int,struct<text:string,left:int>>"
 
@@ -208,7 +221,7 @@ def _filled(state: Column) -> Column:
         used = F.transform_values(pending, lambda c, v: F.when((c >= at) & (c < at + n), F.struct(v["text"].alias("text"), (v["left"] - 1).alias("left"))).otherwise(v))
         return F.struct(F.map_filter(used, lambda c, v: v["left"] > 0).alias("pending"), F.concat(state["row"], down).alias("row"))
 
-    return let(run, take)
+    return F.when(F.map_contains_key(pending, at), let(run, take)).otherwise(state)
 
 
 def _placed(state: Column, cell: Column) -> Column:
@@ -245,11 +258,16 @@ def span_grid(rows: Column) -> Column:
 def table_grid(pages: DataFrame, html: str = "html") -> DataFrame:
     """(the other columns, table_no, row_no, cells): every table row that has cells, these repeated over their colspan and rowspan."""
     keep = [c for c in pages.columns if c != html]
-    tables = pages.select(*keep, F.posexplode(F.regexp_extract_all(html, F.lit(r"(?is)<table\b.*?</table>"), F.lit(0))).alias("table_no", "_t"))
+    found = lambda c, pattern, group=0: F.regexp_extract_all(c, F.lit(pattern), F.lit(group))
+    some = lambda cells: F.filter(cells, lambda r: F.size(r) > 0)
+    tables = pages.select(*keep, F.posexplode(found(html, _TABLE)).alias("table_no", "_t"))
     cell = lambda x: F.struct(_text_of(F.regexp_extract(x, r"(?is)^<t[dh]\b[^>]*>(.*?)</t[dh]>$", 1)).alias("text"), _span(x, "colspan").alias("across"), _span(x, "rowspan").alias("down")).cast(_CELL)
-    cells = F.transform(F.regexp_extract_all("_t", F.lit(r"(?is)<tr\b.*?</tr>"), F.lit(0)), lambda r: F.transform(F.regexp_extract_all(r, F.lit(r"(?is)<t[dh]\b.*?</t[dh]>"), F.lit(0)), cell))
-    rows = tables.select(*keep, "table_no", F.filter(cells, lambda r: F.size(r) > 0).alias("_r"))
-    return rows.select(*keep, "table_no", F.posexplode(span_grid(F.col("_r"))).alias("row_no", "cells"))
+    spanned = some(F.transform(found("_t", _ROW), lambda r: F.transform(found(r, _TD), cell)))
+    texts = some(F.transform(found("_t", _ROW), lambda r: F.transform(found(r, _CONTENT, 1), _text_of)))
+    plain = some(F.transform(found("_t", _ROW), lambda r: found(r, _PLAIN_CONTENT, 1)))
+    # most tables have no spans and need no fold, and the cells of most need no cleaning
+    grid = F.when(F.col("_t").rlike(_PLAIN_TABLE), plain).when(F.contains(F.lower("_t"), F.lit("span")), span_grid(spanned)).otherwise(texts)
+    return tables.select(*keep, "table_no", F.posexplode(grid).alias("row_no", "cells"))
 
 
 def table_records(pages: DataFrame, html: str = "html") -> DataFrame:

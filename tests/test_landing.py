@@ -225,3 +225,24 @@ def test_top_values_are_cut_before_they_meet(spark):
     want = sorted(counts, key=lambda v: (-counts[v], v))[:3]
     got = sorted((r["column"], r["place"], r["value"], r["times"]) for r in profile.top_values(df, ["a", "b"], 3).collect())
     assert got == [("a", i, v, counts[v]) for i, v in enumerate(want, 1)] + [("b", i, v, 1) for i, v in enumerate(("0", "1", "10"), 1)]
+
+
+def test_tables_without_spans_need_no_fold(spark, sf):
+    """Plain tables are told by one pattern; those of cells to clean and those with spans go their own ways to the same grid."""
+    pages = [
+        ("<table class=x>\n<thead><TR id='a'><th scope=col>año</th><TD></TD></TR></thead><tr></tr> <tr><td>b c</td><td>1,5%</td></tr>\n</table>", [["año", ""], ["b c", "1,5%"]]),
+        ("<table><tr><td> b  c</td><td>d&nbsp;&amp;lt;</td><td>x<b>y</b></td><td>1 < 2</td></tr></table>", [["b c", "d &lt;", "x y", "1 < 2"]]),
+        ("<table><tr><td>b c </td><td title='a>b'>e</td><td</td><td>日本 x</td></tr></table>", [["b c", "b'>e", "", "日本 x"]]),
+        ("<table><tr><td data-span=1>a</td><td>colspan=3</td></tr></table>", [["a", "colspan=3"]]),
+        ("<table><tr><td COLSPAN = 2>a</td></tr><tr><td rowspan='2'>b</td><td>c</td></tr><tr><td>d</td></tr></table>", [["a", "a"], ["b", "c"], ["b", "d"]]),
+        ("<table><tr><td>one</td></tr></table> <table><tr><td>two</td></tr></TABLE><table><tr><td>open", [["one"], ["two"]]),
+        ("<table>" + "<tr><td>r</td><td>s</td></tr>" * 3000 + "<tr><td>" + "w " * 5000 + "w</td></tr></table>", [["r", "s"]] * 3000 + [["w " * 5000 + "w"]]),
+    ]
+    grid = readers.table_grid(spark.createDataFrame([(i, html) for i, (html, _) in enumerate(pages)], "page int, html string"))
+    got = [[] for _ in pages]
+    for x in sorted(grid.collect(), key=lambda x: (x["page"], x["table_no"], x["row_no"])):
+        got[x["page"]].append(list(x["cells"]))
+    assert got == [want for _, want in pages]
+    assert "CASE WHEN RLIKE(_t" in _plan(grid)
+    shuffled = next(line for line in _plan(landing_queries.html_budget_rows(spark, sf)).splitlines() if "partial_collect_list" in line)
+    assert "<td" not in shuffled
