@@ -66,19 +66,33 @@ def type_suggestions(df: DataFrame) -> DataFrame:
     return g.select("column", kind.otherwise("STRING").alias("suggested_type"), F.round(confidence.otherwise(F.lit(1.0)), 4).alias("confidence"))
 
 
+def _ends(df: DataFrame) -> DataFrame:
+    """(column, least, most) of the filled cells as text.
+
+    Folded side by side without a key: keyed by column, texts can't stand in a hash table of
+    aggregates, so a task would sort all its cells for a row a column.
+    """
+
+    def ends(name: str) -> Column:
+        value = F.col(f"`{name}`").cast("string")
+        filled = F.when(value.rlike(r"(?U)\S"), value)
+        return F.struct(F.lit(name).alias("column"), F.min(filled).alias("least"), F.max(filled).alias("most"))
+
+    return df.agg(F.array(*map(ends, df.columns)).alias("e")).select(F.explode("e").alias("e")).select("e.*")
+
+
 def warnings(df: DataFrame) -> DataFrame:
     """(column, warning), one row each."""
     c = unpivot(df).withColumn("class", value_class(F.col("value")))
     g = c.groupBy("column").agg(
         F.count("*").alias("n"),
         F.count_if(F.col("class") == "EMPTY").alias("empty"),
-        F.min(F.when(F.col("class") != "EMPTY", F.col("value"))).alias("least"),
-        F.max(F.when(F.col("class") != "EMPTY", F.col("value"))).alias("most"),
         F.count_if(F.col("class") == "INTEGER").alias("ints"),
         F.count_if(F.col("class").isin("INTEGER", "NUMERIC")).alias("nums"),
         F.count_if(F.col("class") == "TEXT").alias("texts"),
         F.count_if(F.col("value").rlike(r"^\s*[+-]?\d+,\d{1,2}\s*$")).alias("commas"),
     )
+    g = g.join(F.broadcast(_ends(df)), "column")  # a row a column
     filled = F.col("n") - F.col("empty")
     w = F.array_compact(
         F.array(

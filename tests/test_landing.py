@@ -227,6 +227,18 @@ def test_top_values_are_cut_before_they_meet(spark):
     assert got == [("a", i, v, counts[v]) for i, v in enumerate(want, 1)] + [("b", i, v, 1) for i, v in enumerate(("0", "1", "10"), 1)]
 
 
+def test_warnings_sort_no_cells(spark):
+    """The fold of a column's least and most text keeps one row a task; a table without rows warns of nothing."""
+    from quillon.operators import profile
+
+    df = spark.createDataFrame([(str(i), f"{i},5", " \u00a0", "same", "x" if i % 2 else str(i)) for i in range(40)], "ruc string, nota string, empty string, one string, mixed string").repartition(3)
+    plan = _plan(profile.warnings(df))
+    assert "Sort [" not in plan and "SortAggregate(key=[column" not in plan
+    got = sorted(map(tuple, profile.warnings(df).collect()))
+    assert got == [("empty", "ALL_EMPTY"), ("empty", "HIGH_NULL_PERCENTAGE"), ("mixed", "MIXED_TYPE_VALUES"), ("nota", "POSSIBLE_DECIMAL_COMMA"), ("one", "LOW_DISTINCT"), ("ruc", "POSSIBLE_IDENTIFIER_AS_NUMBER")]
+    assert profile.warnings(df.limit(0)).collect() == []
+
+
 def test_tables_without_spans_need_no_fold(spark, sf):
     """Plain tables are told by one pattern; those of cells to clean and those with spans go their own ways to the same grid."""
     pages = [
